@@ -95,27 +95,27 @@ def repeated_words(words: Column, window: int = WINDOW) -> Column:
     return bind(words, lambda w: F.when(F.size(w) <= window, F.lit(0).cast("long")).otherwise(count(w)))
 
 
-def measure(documents: DataFrame, stratum: str | None = "lang") -> DataFrame:
-    """doc_id, stratum and every statistic of the rules."""
+def measure(documents: DataFrame, stratum: str | None = "lang", carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the columns in carry, stratum and every statistic of the rules."""
     group = F.coalesce(F.col(stratum).cast("string"), F.lit("")) if stratum else F.lit("")
     text = F.coalesce(F.col("text"), F.lit(""))
-    base = documents.select("doc_id", group.alias("stratum"), text.alias("text"))
+    base = documents.select("doc_id", *carry, group.alias("stratum"), text.alias("text"))
     letters = F.length(F.translate("text", "0123456789" + BLANKS + SYMBOLS + ".,;:!?\"'()[]{}-_=+/\\@^~`", ""))
     uppers = F.length("text") - F.length(_without(F.col("text"), "ABCDEFGHIJKLMNOPQRSTUVWXYZÀÂÄÇÈÉÊËÎÏÍÌÔÖÓÒÙÛÜÚÑ"))
     marks = F.length("text") - F.length(_without(F.col("text"), "!?^~=+"))
     out = base.select(
-        "doc_id", "stratum",
+        "doc_id", *carry, "stratum",
         bind(words_of(F.col("text")), lambda w: F.struct(F.size(w).cast("long").alias("n"), repeated_words(w).alias("r"))).alias("w"),
         F.length(_without(F.col("text"), BLANKS)).cast("long").alias("word_chars"),
         (F.length("text") - F.length(_without(F.col("text"), SYMBOLS))).cast("long").alias("n_symbols"),
         dup_lines(F.col("text")).alias("n_dup_lines"),
         F.size(F.split("text", "\n")).alias("n_lines"), letters.alias("letters"), uppers.alias("uppers"), marks.alias("marks"),
     ).select(
-        "doc_id", "stratum", F.col("w.n").alias("n_words"), "word_chars", "n_symbols", "n_dup_lines", F.col("w.r").alias("n_repeat_words"), "n_lines", "letters", "uppers", "marks",
+        "doc_id", *carry, "stratum", F.col("w.n").alias("n_words"), "word_chars", "n_symbols", "n_dup_lines", F.col("w.r").alias("n_repeat_words"), "n_lines", "letters", "uppers", "marks",
     )
     share = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b)).otherwise(F.lit(0.0)).cast("double")
     return out.select(
-        "doc_id", "stratum", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "doc_id", *carry, "stratum", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         ((F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))).alias("base_failed"),
         share("n_symbols", "word_chars").alias("symbol_share"),
         share("n_dup_lines", "n_lines").alias("dup_line_share"),
@@ -188,7 +188,7 @@ def apply_cutoffs(measured: DataFrame, cutoffs: list[Cutoff]) -> DataFrame:
     return measured.withColumn("kept", ~F.col("base_failed") & ~rejected)
 
 
-def judge(documents: DataFrame, labels: DataFrame, stratum: str | None = "lang", alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """Every document's statistics and verdict."""
-    measured = materialize(measure(documents, stratum), "quality")
+def judge(documents: DataFrame, labels: DataFrame, stratum: str | None = "lang", alpha: float = ALPHA, delta: float = DELTA, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Every document's statistics and verdict, beside the columns in carry."""
+    measured = materialize(measure(documents, stratum, carry), "quality")
     return apply_cutoffs(measured, select_cutoffs(measured, labels, alpha, delta))

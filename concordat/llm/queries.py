@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concordat.llm import bpe, chat, licenses, packing, quality, secrets, url_filter, warc
+from concordat.llm import bpe, chat, licenses, nearest, packing, quality, secrets, similarity, url_filter, warc
 from concordat.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similarity.linked(table(spark, sf_dir, "documents"), k=3, num=9, den=10)
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
@@ -61,6 +65,10 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_chat_formatting, op2_best_fit_packing, op3_warc, op4_bpe, op5_quality_rules, op7_license_scan, op8_secret_scan, op9_url_filter)}
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_chat_formatting, op2_best_fit_packing, op3_warc, op4_bpe, op5_quality_rules, op6_ngram_jaccard_join, op7_license_scan, op8_secret_scan, op9_url_filter, op10_nearest_neighbours)}
 
 ORACLES: dict[str, str] = {}
