@@ -3,9 +3,10 @@
 A document's set holds the 64-bit hashes of its distinct word shingles. Documents with equal sets
 form a class with one representative; only representatives are compared.
 
-Index keys. Tokens that many documents share are the frequent class (found over all documents by
-counts within tasks, the ``MOST_FREQUENT`` heaviest kept; the class only decides which keys are
-used, never whether a pair is found). In the order rare tokens (by hash), then frequent ones, let p
+Index keys. Tokens that documents share are the frequent class: a token is in it if its slot (its
+leading bits) was met in two documents of some task. All documents are counted, in a bitmap of fixed
+size; the class is the same for every document and only decides which keys are used, never whether a
+pair is found. In the order rare tokens (by hash), then frequent ones, let p
 be the prefix length: sets of sizes n and m with Jaccard t or more share a token within their first
 p = n - ceil(t n) + 1. A document is indexed
 
@@ -31,6 +32,7 @@ that share a doc_id are one node; a row without doc_id has a null component. Ext
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -42,12 +44,11 @@ from pyspark.sql import functions as F
 from concordat.llm.common import materialize
 from concordat.llm.components import components
 
-MOST_FREQUENT = 1 << 18
-#: A token counts as frequent if some task sees it in so many of its documents.
-LOCAL_FREQUENT = 6
+#: Tokens are classed by slots of their leading bits (8 MB as a bitmap), sent in so many chunks.
+SLOT_BITS = 26
+CHUNKS = 1024
 #: Bits of the filter that spares documents without candidates the second reading.
 FILTER_BITS = 1 << 25
-WORD_CACHE = 500_000
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], dtype=np.uint64)
 
 
@@ -58,29 +59,60 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
+_UNBASE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+_BYTES = _mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
+_BLANK = np.zeros(256, bool)
+_BLANK[[9, 10, 11, 12, 13, 32]] = True
+_BYTES[_BLANK] = 0
+
+
 class Shingler:
-    """Texts to sorted arrays of distinct shingle hashes."""
+    """Texts to sorted arrays of distinct shingle hashes.
+
+    A word's hash is sum(code[byte_i] * B^i) modulo 2^64 for an odd B, taken for all words of a text
+    at once from running sums.
+    """
 
     def __init__(self, k: int):
         self.k = k
-        self.known: dict[bytes, int] = {}
+        self.powers = self.unpowers = np.ones(1, np.uint64)
+
+    def _grow(self, n: int) -> None:
+        if n > len(self.powers):
+            with np.errstate(over="ignore"):
+                for name, base in (("powers", _BASE), ("unpowers", _UNBASE)):
+                    row = np.full(2 * n, base, np.uint64)
+                    row[0] = 1
+                    setattr(self, name, np.multiply.accumulate(row))
+
+    def words(self, text: str | None) -> np.ndarray:
+        """Hashes of the words in order."""
+        data = np.frombuffer((text or "").encode().lower(), np.uint8)
+        n = len(data)
+        self._grow(n + 1)
+        word = np.zeros(n + 2, np.int8)
+        word[1:-1] = ~_BLANK[data]
+        edge = np.diff(word)
+        start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        with np.errstate(over="ignore"):
+            sums = np.zeros(n + 1, np.uint64)
+            np.cumsum(_BYTES[data] * self.powers[:n], out=sums[1:])
+            return _mix((sums[end] - sums[start]) * self.unpowers[start])
 
     def __call__(self, text: str | None) -> np.ndarray:
-        words = (text or "").encode().lower().split()
-        if not words:
-            return np.empty(0, np.uint64)
-        known = self.known
-        for w in set(words).difference(known):
-            known[w] = xxhash.xxh3_64_intdigest(w)
-        codes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-        if len(known) > WORD_CACHE:
-            known.clear()
+        codes = self.words(text)
+        if not len(codes):
+            return codes
         k = min(self.k, len(codes))
+        n = len(codes) - k + 1
         with np.errstate(over="ignore"):
-            total = np.full(len(codes) - k + 1, k, np.uint64)
+            total = np.full(n, k, np.uint64)
             for i in range(k):
-                total = _mix(total * MULTIPLIERS[i % 5] + codes[i : len(codes) - k + 1 + i])
-        return np.unique(total)
+                total += codes[i : n + i] * MULTIPLIERS[i % 5]
+                total ^= total >> np.uint64(29)
+        total = np.sort(_mix(total))
+        return total[np.concatenate(([True], total[1:] != total[:-1]))]
 
 
 def prefix_length(n: int, num: int, den: int) -> int:
@@ -132,37 +164,63 @@ def _ids(column: pd.Series) -> list:
     return column.astype(object).where(column.notna(), None).tolist()
 
 
-def frequent_tokens(documents: DataFrame, k: int) -> np.ndarray:
-    """The frequent class, sorted: at most MOST_FREQUENT tokens (2 MB)."""
+def _slots(tokens: np.ndarray) -> np.ndarray:
+    return (tokens >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingle = Shingler(k)
-        held: list[np.ndarray] = []
-        size = 0
 
-        def counts() -> pd.DataFrame:
-            tokens, n = np.unique(np.concatenate(held), return_counts=True)
-            keep = n >= LOCAL_FREQUENT
-            return pd.DataFrame({"token": tokens[keep].view(np.int64), "n": n[keep]})
+def frequent_slots(documents: DataFrame, k: int) -> np.ndarray:
+    """The frequent class as a bitmap over slots of tokens: 2^SLOT_BITS bits, whatever the corpus.
 
+    Every task marks the slots that it meets in two documents or more, and sends its bitmap in
+    compressed chunks; a chunk's copies are joined one after another, in constant memory.
+    """
+
+    def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shingle = Shingler(k)
+        seen, often = np.zeros(1 << SLOT_BITS - 3, np.uint8), np.zeros(1 << SLOT_BITS - 3, np.uint8)
         for batch in batches:
+            sets: set[bytes] = set()
             for text in batch["text"]:
-                held.append(shingle(text))
-                size += len(held[-1])
-            if size > 4_000_000:
-                yield counts()
-                held, size = [], 0
-        if held:
-            yield counts()
+                tokens = shingle(text)
+                raw = xxhash.xxh3_128_digest(tokens.tobytes())
+                if raw in sets:  # copies within a batch say nothing about their tokens
+                    continue
+                sets.add(raw)
+                at = np.unique(_slots(tokens))
+                byte, bit = at >> 3, np.uint8(1) << (at & 7).astype(np.uint8)
+                again = (seen[byte] & bit) != 0
+                np.bitwise_or.at(often, byte[again], bit[again])
+                np.bitwise_or.at(seen, byte, bit)
+        chunks = often.reshape(CHUNKS, -1)
+        some = np.flatnonzero(chunks.any(1))
+        yield pd.DataFrame({"chunk": some, "bits": [zlib.compress(chunks[i].tobytes(), 1) for i in some]})
+
+    def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, bits = None, None
+        for batch in batches:
+            for chunk, data in zip(batch["chunk"], batch["bits"], strict=True):
+                own = np.frombuffer(zlib.decompress(data), np.uint8)
+                if chunk != now:
+                    if bits is not None:
+                        yield pd.DataFrame({"chunk": [now], "bits": [zlib.compress(bits.tobytes(), 1)]})
+                    now, bits = chunk, own
+                else:
+                    bits = bits | own
+        if bits is not None:
+            yield pd.DataFrame({"chunk": [now], "bits": [zlib.compress(bits.tobytes(), 1)]})
 
-    found = documents.select("text").mapInPandas(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    rows = found.orderBy(F.desc("n"), "token").limit(MOST_FREQUENT).select("token").toPandas()
-    return np.sort(rows["token"].to_numpy(np.int64).view(np.uint64))
+    kind = "chunk int, bits binary"
+    marked = documents.select("text").mapInPandas(mark, kind)
+    rows = marked.repartition("chunk").sortWithinPartitions("chunk").mapInPandas(join, kind).collect()
+    out = np.zeros((CHUNKS, (1 << SLOT_BITS - 3) // CHUNKS), np.uint8)
+    for r in rows:
+        out[r.chunk] |= np.frombuffer(zlib.decompress(r.bits), np.uint8)
+    return out.reshape(-1)
 
 
 def _index(documents: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """doc_id, n (set size), h1, h2 (hashes of the set), keys."""
-    frequent = documents.sparkSession.sparkContext.broadcast(frequent_tokens(documents, k))
+    frequent = documents.sparkSession.sparkContext.broadcast(frequent_slots(documents, k))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingle, common = Shingler(k), frequent.value
@@ -170,11 +228,8 @@ def _index(documents: DataFrame, k: int, num: int, den: int) -> DataFrame:
             rows = []
             for doc, text in zip(_ids(batch["doc_id"]), batch["text"], strict=True):
                 tokens = shingle(text)
-                if len(tokens) and len(common):
-                    at = np.minimum(np.searchsorted(common, tokens), len(common) - 1)
-                    often = common[at] == tokens
-                else:
-                    often = np.zeros(len(tokens), bool)
+                at = _slots(tokens)
+                often = (common[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
                 keys = index_keys(tokens, often, num, den).view(np.int64) if len(tokens) else np.empty(0, np.int64)
                 raw = tokens.tobytes()
                 rows.append((doc, len(tokens), xxhash.xxh3_64_intdigest(raw) - (1 << 63), xxhash.xxh64_intdigest(raw) - (1 << 63), keys))
