@@ -4,8 +4,7 @@ A document's set holds the 64-bit hashes of its distinct word shingles. Document
 form a class with one representative; only representatives are compared.
 
 Index keys. Tokens that documents share are the frequent class: a token is in it if its slot (its
-leading bits) was met in two documents of some task. All documents are counted, in a bitmap of fixed
-size; the class is the same for every document and only decides which keys are used, never whether a
+leading bits) is met in two documents or more. All documents are counted, in a bitmap of fixed size; the class is the same for every document and only decides which keys are used, never whether a
 pair is found. In the order rare tokens (by hash), then frequent ones, let p
 be the prefix length: sets of sizes n and m with Jaccard t or more share a token within their first
 p = n - ceil(t n) + 1. A document is indexed
@@ -44,8 +43,8 @@ from pyspark.sql import functions as F
 from concordat.llm.common import materialize
 from concordat.llm.components import components
 
-#: Tokens are classed by slots of their leading bits (8 MB as a bitmap), sent in so many chunks.
-SLOT_BITS = 26
+#: Tokens are classed by slots of their leading bits (32 MB as a bitmap), sent in so many chunks.
+SLOT_BITS = 28
 CHUNKS = 1024
 #: Bits of the filter that spares documents without candidates the second reading.
 FILTER_BITS = 1 << 25
@@ -171,8 +170,8 @@ def _slots(tokens: np.ndarray) -> np.ndarray:
 def frequent_slots(documents: DataFrame, k: int) -> np.ndarray:
     """The frequent class as a bitmap over slots of tokens: 2^SLOT_BITS bits, whatever the corpus.
 
-    Every task marks the slots that it meets in two documents or more, and sends its bitmap in
-    compressed chunks; a chunk's copies are joined one after another, in constant memory.
+    Every task marks the slots that it meets in one document and in two or more, and sends these
+    bitmaps in compressed chunks; a chunk's are joined one after another, in constant memory.
     """
 
     def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -191,30 +190,32 @@ def frequent_slots(documents: DataFrame, k: int) -> np.ndarray:
                 again = (seen[byte] & bit) != 0
                 np.bitwise_or.at(often, byte[again], bit[again])
                 np.bitwise_or.at(seen, byte, bit)
-        chunks = often.reshape(CHUNKS, -1)
-        some = np.flatnonzero(chunks.any(1))
-        yield pd.DataFrame({"chunk": some, "bits": [zlib.compress(chunks[i].tobytes(), 1) for i in some]})
+        seen, often = seen.reshape(CHUNKS, -1), often.reshape(CHUNKS, -1)
+        pack = lambda x: zlib.compress(x.tobytes(), 1)
+        for i in np.flatnonzero(seen.any(1)):
+            yield pd.DataFrame({"chunk": [i], "seen": [pack(seen[i])], "often": [pack(often[i])]})
 
     def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        now, bits = None, None
+        unpack = lambda data: np.frombuffer(zlib.decompress(data), np.uint8)
+        now, seen, often = None, None, None
+        done = lambda: pd.DataFrame({"chunk": [now], "often": [zlib.compress(often.tobytes(), 1)]})
         for batch in batches:
-            for chunk, data in zip(batch["chunk"], batch["bits"], strict=True):
-                own = np.frombuffer(zlib.decompress(data), np.uint8)
+            for chunk, s, o in zip(batch["chunk"], batch["seen"], batch["often"], strict=True):
+                s, o = unpack(s), unpack(o)
                 if chunk != now:
-                    if bits is not None:
-                        yield pd.DataFrame({"chunk": [now], "bits": [zlib.compress(bits.tobytes(), 1)]})
-                    now, bits = chunk, own
+                    if now is not None:
+                        yield done()
+                    now, seen, often = chunk, s, o
                 else:
-                    bits = bits | own
-        if bits is not None:
-            yield pd.DataFrame({"chunk": [now], "bits": [zlib.compress(bits.tobytes(), 1)]})
+                    seen, often = seen | s, often | o | (seen & s)
+        if now is not None:
+            yield done()
 
-    kind = "chunk int, bits binary"
-    marked = documents.select("text").mapInPandas(mark, kind)
-    rows = marked.repartition("chunk").sortWithinPartitions("chunk").mapInPandas(join, kind).collect()
+    marked = documents.select("text").mapInPandas(mark, "chunk int, seen binary, often binary")
+    rows = marked.repartition("chunk").sortWithinPartitions("chunk").mapInPandas(join, "chunk int, often binary").collect()
     out = np.zeros((CHUNKS, (1 << SLOT_BITS - 3) // CHUNKS), np.uint8)
     for r in rows:
-        out[r.chunk] |= np.frombuffer(zlib.decompress(r.bits), np.uint8)
+        out[r.chunk] |= np.frombuffer(zlib.decompress(r.often), np.uint8)
     return out.reshape(-1)
 
 
