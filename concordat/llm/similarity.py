@@ -46,6 +46,7 @@ from concordat.llm.components import components
 #: Tokens are classed by slots of their leading bits (32 MB as a bitmap), sent in so many chunks.
 SLOT_BITS = 28
 CHUNKS = 1024
+SKETCH_BITS = 512
 #: Bits of the filter that spares documents without candidates the second reading.
 FILTER_BITS = 1 << 25
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], dtype=np.uint64)
@@ -159,6 +160,13 @@ def index_keys(tokens: np.ndarray, is_frequent: np.ndarray, num: int, den: int)
     return np.unique(np.concatenate(keys))
 
 
+def parity_sketch(tokens: np.ndarray) -> np.ndarray:
+    """Parities of the token counts of SKETCH_BITS buckets, as 64-bit words. Sets that differ in d
+    tokens differ in at most d bits, so a larger difference rules a pair out exactly."""
+    odd = np.bincount((tokens & np.uint64(SKETCH_BITS - 1)).astype(np.int64), minlength=SKETCH_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _ids(column: pd.Series) -> list:
     return column.astype(object).where(column.notna(), None).tolist()
 
@@ -220,7 +228,7 @@ def frequent_slots(documents: DataFrame, k: int) -> np.ndarray:
 
 
 def _index(documents: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """doc_id, n (set size), h1, h2 (hashes of the set), keys."""
+    """doc_id, n (set size), h1, h2 (hashes of the set), keys, parity sketch."""
     frequent = documents.sparkSession.sparkContext.broadcast(frequent_slots(documents, k))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -233,10 +241,10 @@ def _index(documents: DataFrame, k: int, num: int, den: int) -> DataFrame:
                 often = (common[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
                 keys = index_keys(tokens, often, num, den).view(np.int64) if len(tokens) else np.empty(0, np.int64)
                 raw = tokens.tobytes()
-                rows.append((doc, len(tokens), xxhash.xxh3_64_intdigest(raw) - (1 << 63), xxhash.xxh64_intdigest(raw) - (1 << 63), keys))
-            yield pd.DataFrame(rows, columns=["doc_id", "n", "h1", "h2", "keys"]).astype({"doc_id": "Int64"})
+                rows.append((doc, len(tokens), xxhash.xxh3_64_intdigest(raw) - (1 << 63), xxhash.xxh64_intdigest(raw) - (1 << 63), keys, parity_sketch(tokens)))
+            yield pd.DataFrame(rows, columns=["doc_id", "n", "h1", "h2", "keys", "sketch"]).astype({"doc_id": "Int64"})
 
-    return documents.select("doc_id", "text").mapInPandas(run, "doc_id long, n long, h1 long, h2 long, keys array<long>")
+    return documents.select("doc_id", "text").mapInPandas(run, "doc_id long, n long, h1 long, h2 long, keys array<long>, sketch array<long>")
 
 
 def _filter_words(ids: DataFrame) -> dict[int, int]:
@@ -291,8 +299,8 @@ def linked(documents: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> Data
     same = index.where("n > 0 AND doc_id IS NOT NULL").groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
     multiple = same.where("copies > 1").drop("copies")
     # Members of a class point at its representative; a hot class is a skewed join, which Spark splits.
-    classes = materialize(index.select("doc_id", "n", "h1", "h2", "keys").join(multiple, ["n", "h1", "h2"], "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep"), F.when(F.col("rep").isNull() | (F.col("rep") == F.col("doc_id")), F.col("keys")).alias("keys")), "classes")
-    inverted = classes.where("keys IS NOT NULL AND n > 0 AND doc_id IS NOT NULL").select(F.explode("keys").alias("key"), F.col("doc_id").alias("id"), "n")
+    classes = materialize(index.select("doc_id", "n", "h1", "h2", "keys", "sketch").join(multiple, ["n", "h1", "h2"], "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep"), F.when(F.col("rep").isNull() | (F.col("rep") == F.col("doc_id")), F.col("keys")).alias("keys"), "sketch"), "classes")
+    inverted = classes.where("keys IS NOT NULL AND n > 0 AND doc_id IS NOT NULL").select(F.explode("keys").alias("key"), F.col("doc_id").alias("id"), "n", "sketch")
     pivots = inverted.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("other")).where("pivot < other").drop("other")
     groups = materialize(inverted.join(pivots, "key"), "groups")
     sets = materialize(_sets(documents, groups.select("id").distinct(), k), "sets")
@@ -310,16 +318,19 @@ def _unsettled(groups: DataFrame, known: DataFrame, num: int, den: int) -> DataF
     """Pairs under one key that are in different components and were not compared with the pivot.
 
     In each key, members outside the pivot's component meet all members of other components; in a
-    group of near copies these are the few that the pivot doesn't reach.
+    group of near copies these are the few that the pivot doesn't reach. Sizes and parity sketches
+    rule out, exactly, most pairs that can't be similar.
     """
-    named = groups.join(known.withColumnRenamed("node", "id"), "id", "left").select("key", "id", "n", "pivot", F.coalesce("component", "id").alias("component"))
+    named = groups.join(known.withColumnRenamed("node", "id"), "id", "left").select("key", "id", "n", "sketch", "pivot", F.coalesce("component", "id").alias("component"))
     centre = named.where("id = pivot").select("key", F.col("component").alias("centre"))
     placed = named.join(centre, "key")
-    outside = placed.where("component <> centre").select("key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), "pivot")
+    outside = placed.where("component <> centre").select("key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), F.col("sketch").alias("sa"))
     keys = outside.select("key").distinct()
-    inside = placed.join(keys, "key", "left_semi").where("id <> pivot").select("key", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
+    inside = placed.join(keys, "key", "left_semi").where("id <> pivot").select("key", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), F.col("sketch").alias("sb"))
     sizes = (F.col("na") * num <= F.col("nb") * den) & (F.col("nb") * num <= F.col("na") * den)
-    met = outside.join(inside, "key").where((F.col("ca") != F.col("cb")) & (F.col("a") != F.col("b")) & sizes)
+    bits = sum((F.bit_count(F.get("sa", F.lit(i)).bitwiseXOR(F.get("sb", F.lit(i)))) for i in range(SKETCH_BITS // 64)), F.lit(0))
+    close = bits * (num + den) <= (F.col("na") + F.col("nb")) * (den - num)
+    met = outside.join(inside, "key").where((F.col("ca") != F.col("cb")) & (F.col("a") != F.col("b")) & sizes & close)
     return met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
