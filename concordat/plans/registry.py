@@ -2,6 +2,214 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from concordat.functions.columns import derived_id
+from concordat.operators import admission, compare, revisions
+from concordat.operators import settlements as stl
+from concordat.operators import transactions as txn
+from concordat.plans.oracle import ORACLES, STL_AMOUNTS, TXN_AMOUNTS
+from concordat.sources import derived
+from concordat.sources.tables import table
+from concordat.streaming import windows
+
+__all__ = ["FLAGSHIP", "ORACLES", "QUERIES"]
 FLAGSHIP = "txn_recon"
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+
+
+def registered(f: Query) -> Query:
+    QUERIES[f.__name__] = f
+    return f
+
+
+def _reconciled(s: SparkSession, d: str) -> DataFrame:
+    return txn.reconcile(derived.events(s, d), derived.journals(s, d))
+
+
+def _first_run(s: SparkSession, d: str) -> DataFrame:
+    return txn.reconcile(derived.events(s, d).where("k % 3 <> 0"), derived.journals(s, d).where("k % 5 <> 0"))
+
+
+def _three(s: SparkSession, d: str) -> DataFrame:
+    return stl.reconcile(derived.settlements(s, d), derived.settlement_journals(s, d), derived.bank(s, d))
+
+
+def _targets(s: SparkSession, d: str) -> DataFrame:
+    return stl.targets(derived.settlements(s, d), derived.settlement_journals(s, d))
+
+
+def _allocations(s: SparkSession, d: str) -> DataFrame:
+    return stl.allocate(derived.bank(s, d), _targets(s, d)).drop("processor", "settlement_cycle")
+
+
+def _history(s: SparkSession, d: str) -> DataFrame:
+    return revisions.proofs(_first_run(s, d), 1, "m1", "policy").unionByName(revisions.proofs(_reconciled(s, d), 2, "m2", "policy"))
+
+
+@registered
+def txn_recon(s, d):
+    return _reconciled(s, d)
+
+
+@registered
+def txn_unresolved_refs(s, d):
+    return txn.reference_flags(derived.events(s, d)).where("unresolved").select("processor", "source_record_id", "reference_event_id", "event_type")
+
+
+@registered
+def txn_capture_capacity(s, d):
+    flags = txn.reference_flags(derived.events(s, d)).where("event_type <> 'CAPTURE' AND NOT unresolved")
+    used = flags.groupBy("processor", F.col("reference_event_id").alias("capture_id")).agg(F.max("capture_minor").alias("captured_minor"), F.sum("amount_minor").alias("applied_minor"))
+    return used.select("*", (F.col("captured_minor") - F.col("applied_minor")).alias("remaining_minor"), F.when(F.col("applied_minor") > F.col("captured_minor"), "OVER_APPLIED").otherwise("VALID").alias("verdict"))
+
+
+@registered
+def journal_movement(s, d):
+    moved = txn.journal_movement(derived.journals(s, d), F.col("entry_type") == "CAPTURE", 1, txn.COUNTERPARTS)
+    return moved.select("journal_id", F.col("movement_minor").cast("bigint").alias("movement_minor"), "invalid_role")
+
+
+@registered
+def journal_balance_violations(s, d):
+    return admission.journal_violations(derived.journals(s, d))
+
+
+@registered
+def stl_net(s, d):
+    return stl.net(derived.settlements(s, d)).select("source_record_id", "net_minor", "formula_mismatch")
+
+
+@registered
+def stl_three_way(s, d):
+    return _three(s, d)
+
+
+@registered
+def bank_allocation(s, d):
+    return _allocations(s, d)
+
+
+@registered
+def bank_duplicates(s, d):
+    return stl.once(derived.bank(s, d)).where("copies > 1").select("bank_account_id", "bank_record_id", "copies")
+
+
+@registered
+def ambiguous_refs(s, d):
+    return stl.ambiguous(_targets(s, d))
+
+
+@registered
+def settlement_targets(s, d):
+    return _targets(s, d)
+
+
+@registered
+def identity_conflicts(s, d):
+    lines = table(s, d, "lineitem").withColumn("payload_sha256", F.concat_ws("-", "l_partkey", "l_suppkey"))
+    return admission.identity_conflicts(lines, ("l_orderkey", "l_linenumber"))
+
+
+@registered
+def replay_dedup(s, d):
+    once = admission.replay_once(admission.with_digest(derived.bank(s, d), ("merchant_id", "settlement_reference", "direction", "currency", "amount_minor")), ("bank_account_id", "bank_record_id"))
+    return once.groupBy("bank_account_id").agg(F.count("*").alias("n_once"))
+
+
+@registered
+def replay_order(s, d):
+    return admission.replay_order(derived.bank(s, d), ("bank_account_id", "bank_record_id"), ("amount_minor",)).select("bank_account_id", "bank_record_id", F.col("occurrence").cast("bigint").alias("occurrence"), "replayed")
+
+
+@registered
+def currency_domain(s, d):
+    return admission.currency_domains(derived.events(s, d), ("cycle", "processor"))
+
+
+@registered
+def missing_side(s, d):
+    rows = _reconciled(s, d).where("ledger_journal_count = 0 OR processor_record_count = 0")
+    return rows.select("reconciliation_key", F.when(F.col("ledger_journal_count") == 0, "LEDGER").otherwise("PROCESSOR").alias("missing"))
+
+
+@registered
+def summary_transactions(s, d):
+    return compare.summary(_reconciled(s, d), ("currency", "status", "reason_codes"), TXN_AMOUNTS)
+
+
+@registered
+def summary_settlements(s, d):
+    return compare.summary(_three(s, d), ("currency", "status", "reason_codes"), STL_AMOUNTS)
+
+
+@registered
+def summary_allocations(s, d):
+    return compare.summary(_allocations(s, d), ("currency", "disposition", "reason_codes"), ("signed_minor",))
+
+
+@registered
+def control_totals(s, d):
+    total = lambda c, name: F.sum(F.col(c).cast("decimal(38,0)")).cast("string").alias(name)
+    return _three(s, d).groupBy("currency").agg(total("processor_net_minor", "processor_total"), total("ledger_clearing_minor", "ledger_total"), total("bank_minor", "bank_total"))
+
+
+@registered
+def batch_verdict(s, d):
+    rows = _reconciled(s, d).groupBy("status", "reason_codes").agg(F.count("*").alias("n"))
+    worst = F.when(F.bool_or(F.col("status") == "EXCEPTION"), "EXCEPTION").when(F.bool_or(F.col("status") == "WITHIN_TOLERANCE"), "WITHIN_TOLERANCE").otherwise("MATCHED")
+    codes = F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.when(F.col("reason_codes") != "", F.split("reason_codes", r"\|"))))))
+    return rows.agg(worst.alias("batch_status"), F.array_join(codes, "|").alias("reason_codes"))
+
+
+@registered
+def table_fingerprint(s, d):
+    return compare.fingerprint(_reconciled(s, d), ("difference_minor", "reconciliation_key", "status"))
+
+
+@registered
+def recon_diff(s, d):
+    columns = ("reconciliation_key", "status")
+    return compare.differences(_first_run(s, d).select(*columns), _reconciled(s, d).select(*columns)).select(*columns, "side")
+
+
+@registered
+def derived_keys(s, d):
+    keys = {"processor": "processor", "merchant_id": "merchant_id", "payment_id": "payment_id", "event_class": "event_type", "currency": "currency"}
+    return derived.events(s, d).select(derived_id("txn:", keys).alias("reconciliation_key")).distinct()
+
+
+@registered
+def revision_chain(s, d):
+    return revisions.chain(_history(s, d)).select("reconciliation_key", "revision", "proof_id", F.col("position").cast("bigint").alias("position"), "predecessor_id")
+
+
+@registered
+def latest_heads(s, d):
+    return revisions.heads(_history(s, d))
+
+
+@registered
+def case_transitions(s, d):
+    history = _history(s, d)
+    return revisions.cases(history.where("revision = 1"), history.where("revision = 2"))
+
+
+@registered
+def state_containment(s, d):
+    every = derived._view(s, d, "v_movement").select("source_record_id", "processor")
+    return revisions.missing_from(every, derived.events(s, d), ("source_record_id", "processor"))
+
+
+@registered
+def row_semantic_check(s, d):
+    return compare.semantic_faults(_reconciled(s, d))
+
+
+@registered
+def event_windows(s, d):
+    return windows.hourly(table(s, d, "events"))
