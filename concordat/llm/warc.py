@@ -2,8 +2,9 @@
 
 Writing is plain SQL: the payload digest, the choice between response and revisit, and the record
 text; Spark's text writer puts records into files with CRLF CRLF as separator, which is how WARC
-records end, so any Hadoop store and the commit protocol serve. Reading takes each archive as one
-binary row (archives hold about ``archive_mb``), walks it by Content-Length, checks every digest
+records end, so any Hadoop store and the commit protocol serve. An archive is one gzip stream of at
+most ``records_per_archive`` records; offsets count in it unpacked. Reading takes each archive as one
+binary row, walks it by Content-Length, checks every digest
 and yields one capture run per archive, sorted by (URL key, date, page_id).
 
 The index is an external merge: runs are dealt by range over (URL key, date, page_id), so that one
@@ -20,6 +21,7 @@ columns are ignored.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import os
 import pickle
@@ -104,7 +106,7 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, records_pe
     """Write one record for each page; archives have at most so many records."""
     (
         decide(pages, least_bytes).select(record_text().alias("value"))
-        .write.option("lineSep", CRLF + CRLF).option("maxRecordsPerFile", records_per_archive).text(path)
+        .write.option("lineSep", CRLF + CRLF).option("maxRecordsPerFile", records_per_archive).option("compression", "gzip").text(path)
     )
     return path
 
@@ -147,7 +149,7 @@ def _runs(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     columns = [c.split()[0] for c in RUN_SCHEMA.split(", ")]
     for batch in batches:
         for path, data in zip(batch["path"], batch["content"], strict=True):
-            run, rows = path.rpartition("/")[2], []
+            run, rows, data = path.rpartition("/")[2], [], gzip.decompress(data)
             for at, head, block in records(data):
                 digest, n = head["WARC-Payload-Digest"].removeprefix("sha1:"), int(head["X-Payload-Length"])
                 if head["WARC-Type"] == "response" and (len(block) != n or base64.b32encode(hashlib.sha1(block).digest()).decode() != digest):
