@@ -37,7 +37,7 @@ from concordat.llm.common import materialize
 PROJECTED = 8
 SAMPLE = 20_000
 CELL_ROWS = 8_000
-LEAF = 64
+LEAF = 256
 MISS = 0.05
 SEED = 20
 K = 20
@@ -118,25 +118,28 @@ class KdTree:
                 heapq.heappush(heap, (far, kid))
 
 
-def search(tree: KdTree, lifted: np.ndarray, vectors: np.ndarray, q: np.ndarray, q_lifted: np.ndarray, q_projected: np.ndarray, k: int, bound: float, stop: float) -> tuple[np.ndarray, np.ndarray]:
-    """Rows (positions in ``order``) of at least the k best of a cell and their inner products.
+def search(tree: KdTree, vectors: np.ndarray, q: np.ndarray, q_projected: np.ndarray, most: float, k: int, bound: float, stop: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows (positions in ``order``) among which are the k best of a cell, their inner products, and
+    their squared lifted distances.
 
     bound: a squared lifted distance within which k neighbours are known already; stop: the
     chi-square quantile.
     """
-    rows, found, best = [], [], np.empty(0)
+    rows, found, fars, best = [], [], [], np.empty(0)
+    shift, scale = 2 * most * most, 2 * most / math.sqrt(q @ q)
     for d2, a, b in tree.incremental(q_projected):
         kth = min(bound, best[-1] if len(best) == k else math.inf)
         if d2 > stop * kth:
             break
-        far = lifted[a:b] - q_lifted
-        far2 = np.einsum("ij,ij->i", far, far)
-        near = far2 <= kth * (1 + 1e-9) + 1e-12
-        if near.any():
-            rows.append(np.arange(a, b)[near])
-            found.append(vectors[a:b][near] @ q)
-            best = np.sort(np.concatenate((best, far2[near])))[:k]
-    return (np.concatenate(rows), np.concatenate(found)) if rows else (np.empty(0, int), np.empty(0))
+        score = vectors[a:b] @ q
+        far2 = shift - scale * score
+        near = np.flatnonzero(far2 <= kth * (1 + 1e-9) + 1e-12)
+        if len(near):
+            rows.append(near + a)
+            found.append(score[near])
+            fars.append(far2[near])
+            best = np.sort(np.concatenate((best, fars[-1])))[:k]
+    return (np.concatenate(rows), np.concatenate(found), np.concatenate(fars)) if rows else (np.empty(0, int), np.empty(0), np.empty(0))
 
 
 def _clean(batch: pd.DataFrame, column: str) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -283,10 +286,9 @@ def _search_cells(rows: DataFrame, dim: int, most: float, k: int, stop: float) -
 
         def build():
             vectors = np.array([np.frombuffer(x) for x in keys])
-            lifted = lift(vectors, most, query=False)
-            tree = KdTree(lifted @ width, LEAF)
+            tree = KdTree(lift(vectors, most, query=False) @ width, LEAF)
             tree.finish()
-            return tree, lifted[tree.order], vectors[tree.order], [ids[i] for i in tree.order]
+            return tree, vectors[tree.order], [ids[i] for i in tree.order]
 
         for batch in batches:
             out = []
@@ -301,18 +303,14 @@ def _search_cells(rows: DataFrame, dim: int, most: float, k: int, stop: float) -
                     out.append((key, [], math.inf))
                     continue
                 index = index or build()
-                tree, lifted, vectors, members = index
+                tree, vectors, members = index
                 q = np.frombuffer(key)
-                q_lifted = lift(q[None], most, query=True)[0]
                 # One more than k, because the query's own vector is among the stored ones.
-                at, score = search(tree, lifted, vectors, q, q_lifted, q_lifted @ width, k + 1, bound, stop)
-                keep = np.argsort(-score, kind="stable")
-                hits = [{"vec_id": int(i), "score": float(score[j])} for j in keep for i in members[at[j]]]
-                hits.sort(key=lambda h: (-h["score"], h["vec_id"]))
-                hits = hits[: k + 1]
-                worst = float(((lifted[at[keep[: k + 1]]] - q_lifted) ** 2).sum(1).max()) if len(hits) == k + 1 else math.inf
-                if len(hits) == k + 1 and len(keep) > k + 1:
-                    worst = float(((lifted[at[keep[k]]] - q_lifted) ** 2).sum())
+                at, score, far2 = search(tree, vectors, q, (lift(q[None], most, query=True) @ width)[0], most, k + 1, bound, stop)
+                keep = np.argsort(far2, kind="stable")
+                hits = sorted(((-float(score[j]), i) for j in keep for i in members[at[j]]))[: k + 1]
+                hits = [{"vec_id": int(i), "score": -s} for s, i in hits]
+                worst = float(far2[keep[k]]) if len(keep) > k else math.inf
                 out.append((key, hits, worst))
             if out:
                 yield pd.DataFrame(out, columns=["key", "hits", "kth"])
