@@ -31,7 +31,7 @@ from concordat.llm.common import materialize
 CAPACITY = 2048
 END = b"\0\0\0\0"
 #: Pieces numbered together; buckets grow with the corpus so that one stays about this large.
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 5_000
 PIECES_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 

@@ -98,7 +98,7 @@ def features(c: Column) -> Column:
         flag(before.rlike(_any_of(KEYWORDS) + near)).alias("keyword"),
         flag(before.rlike(r"[=:]\s*[\"'`]?$")).alias("assigned"),
         flag(before.rlike(r"\b" + _any_of(BENIGN) + near)).alias("benign"),
-        flag(low.rlike("example|sample|dummy|placeholder|change.?me|xxxx|your[_-]|0000|12345|abcdef")).alias("placeholder"),
+        flag(low.rlike("example|sample|dummy|placeholder|change.?me|xxxx|your[_-]|0{6,}|123456|abcdef")).alias("placeholder"),
         flag(low.rlike("^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$")).alias("uuid"),
     )
 

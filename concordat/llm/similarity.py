@@ -268,6 +268,8 @@ def _sets(documents: DataFrame, ids: DataFrame, k: int) -> DataFrame:
             at = batch["at"].to_numpy()
             keep = batch[(bits[at >> 6] >> (at & 63)) & 1 == 1]
             sets = [shingle(t) for t in keep["text"]]
+            if not sets:
+                continue
             yield pd.DataFrame({"id": keep["doc_id"].astype("Int64"), "n": [len(s) for s in sets], "tokens": [s.view(np.int64) for s in sets]})
 
     rows = documents.where(F.col("doc_id").isNotNull()).select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).alias("at"))

@@ -1,0 +1,318 @@
+"""Corpus operators against brute force, with nulls, empty and long texts, repeated rows, empty tables and clashing columns."""
+
+import collections
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from concordat.llm import bpe, chat, components, licenses, nearest, packing, quality, queries, secrets, similarity, url_filter, warc
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, kept string, n_words string"
+RNG = random.Random(3)
+WORDS = ["".join(RNG.choices("abcdefgé", k=RNG.randint(1, 7))) for _ in range(300)]
+
+
+def texts():
+    prose = lambda n: " ".join(RNG.choices(WORDS, k=n))
+    base = [prose(n) for n in (0, 1, 2, 3, 12, 40, 80, 400, 3000)]
+    line = prose(9)
+    near = base[6].split(" ")
+    near[4] = "changed"
+    return [None, "", " \t\n", "<|endoftext|> a  b\n\n c", "😀 x 日本 ٣ ", f"{line}\n{line}\n\n{line} {line}", *base, base[6], " ".join(near), "a" * 4000, base[4].upper(), "see Apache License and MIT license", base[7] + ' token = "9f3b7c01e8d24a6605bb19c4de72f08a3156e9cd" end']
+
+
+@pytest.fixture(scope="module")
+def rows():
+    made = [(i, t, "en", "s", len(t or ""), "x", "y") for i, t in enumerate(texts())]
+    return [*made, made[8], (None, "no id here", None, None, None, None, None)]
+
+
+@pytest.fixture(scope="module")
+def docs(spark, rows):
+    return spark.createDataFrame(rows, DOCS).repartition(3).cache()
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+def by_id(df):
+    out = collections.defaultdict(list)
+    for r in df.collect():
+        out[r.doc_id].append(r)
+    return out
+
+
+def test_bpe_equals_the_library(docs, none, rows):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(queries.vocabulary())
+    got = by_id(bpe.encoding_digests(docs, queries.vocabulary()))
+    for i, text, *_ in rows:
+        ids = library.encode(text or "", add_special_tokens=False).ids
+        digest = hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        plain = library.decode(ids, skip_special_tokens=False)
+        assert (got[i][0].n_tokens, got[i][0].ids_sha256, got[i][0].decoded_sha256) == (len(ids), digest, hashlib.sha256(plain.encode()).hexdigest())
+    assert sum(map(len, got.values())) == len(rows)
+    assert bpe.encoding_digests(none, queries.vocabulary()).count() == 0
+
+
+def test_bpe_on_random_strings():
+    from tokenizers import Tokenizer
+
+    library, ours, fast = Tokenizer.from_file(queries.vocabulary()), bpe.tokenizer(queries.vocabulary()), bpe.fast_tokenizer(queries.vocabulary())
+    pieces = ["a", "b", " ", "\n", "\t", "é", "日", "aaaa", "===", "<|endoftext|>", "'s", "1", "٣", "\u3000", "\u200b", "😀", "\x85", "ing", "\u0558"]
+    for _ in range(1500):
+        text = "".join(RNG.choices(pieces, k=RNG.randint(0, 30)))
+        want = np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        assert ours.encode(text) == want
+        assert next(iter(fast.encode_all([text]))) == want
+
+
+def test_packing(docs, none, rows):
+    got = packing.pack_documents(docs, queries.vocabulary(), capacity=64).collect()
+    own = bpe.tokenizer(queries.vocabulary())
+    want = collections.Counter()
+    for i, text, *_ in rows:
+        code = own.encode(text or "") + packing.END
+        for k, (start, n) in enumerate(packing.cut_points(len(code) // 4, 64)):
+            want[i, k, start, n, zlib.crc32(code[4 * start : 4 * (start + n)])] += 1
+    assert collections.Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == want
+    sequences = collections.defaultdict(list)
+    for r in got:
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for parts in sequences.values():
+        at = 0
+        for offset, n in sorted(parts):
+            assert offset == at
+            at += n
+        assert at <= 64
+    assert packing.pack_documents(none, queries.vocabulary()).count() == 0
+
+
+def test_bulk_best_fit_equals_one_at_a_time():
+    for _ in range(60):
+        capacity = RNG.choice([10, 64, 100])
+        lengths = sorted((RNG.randint(1, capacity) for _ in range(RNG.randint(1, 300))), reverse=True)
+        rooms = []
+        for n in lengths:
+            best = min((i for i, r in enumerate(rooms) if r >= n), key=lambda i: rooms[i], default=None)
+            if best is None:
+                rooms.append(capacity - n)
+            else:
+                rooms[best] -= n
+        plan, bins = packing.plan_best_fit(collections.Counter(lengths), capacity)
+        assert bins == len(rooms)
+        assert sum(p.n for p in plan) == len(lengths)
+
+
+def test_chat(spark):
+    bad = "</s>[INST] ok [/INST]\\ \\| [IN"
+    turns = [(1, 0, "user", "hi"), (1, 1, "assistant", bad), (2, None, None, None), (2, 0, "assistant", " "), (1, 1, "assistant", bad), *[(3, t, "assistant" if t % 2 else "user", f"t{t}") for t in range(200)]]
+    df = spark.createDataFrame([(*t, "c") for t in turns], "conv_id long, turn long, role string, text string, n_turns string")
+    got = {r.conv_id: r for r in chat.format_conversations(df).collect()}
+    for conv in (1, 2, 3):
+        own = sorted(((t is not None, t or 0, r or "", x or "") for c, t, r, x in turns if c == conv))
+        whole = "".join(f"{r}\n{x}\n" for *_, r, x in own)
+        loss = "".join(x for *_, r, x in own if r == "assistant")
+        r = got[conv]
+        assert (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) == (len(own), hashlib.sha256(whole.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest())
+        assert r.formatted_chars == len(chat.InstTemplate().render([(r_, x) for *_, r_, x in own])) and not r.rewrites
+    assert chat.format_conversations(df.limit(0)).count() == 0
+
+
+def test_chat_detects_rewritten_history():
+    class Rewriting(chat.InstTemplate):
+        def render(self, messages):
+            return f"{len(messages)} turns: " + super().render(messages)
+
+    assert chat.rewrites_history(Rewriting(), [("user", "a"), ("assistant", "b")])
+    assert not chat.rewrites_history(chat.InstTemplate(), [("user", "a"), ("assistant", "b")])
+
+
+def test_warc(spark):
+    pages = [(1, "http://a.com/x", "same"), (2, "http://a.com/y z", "same"), (3, None, None), (4, "http://b.com/", ""), (5, "no scheme", "a\r\n\r\nWARC/1.1\r\nb é"), (5, "no scheme", "a\r\n\r\nWARC/1.1\r\nb é"), (None, "http://n/", "alone")]
+    df = spark.createDataFrame([(*p, 0) for p in pages], "page_id long, url string, html string, payload_bytes int")
+    got = sorted(warc.archive_and_index(df).collect(), key=lambda r: (r.merge_part, r.merge_pos))
+    kind = collections.Counter((r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in got)
+    assert kind == {(1, 4, "revisit", 2): 1, (2, 4, "response", None): 1, (3, 0, "revisit", 4): 1, (4, 0, "response", None): 1, (5, len(pages[4][2].encode()), "response", None): 2, (None, 5, "response", None): 1}
+    keys = [(r.url_key, r.warc_date) for r in got]
+    assert keys == sorted(keys)
+    assert next(r for r in got if r.page_id == 4).payload_digest == "3I42H3S6NNFQ2MSVX7XZKYAYSCX5QBYJ"
+    assert warc.archive_and_index(df.limit(0)).count() == 0
+
+
+def test_loser_tree():
+    for k in range(7):
+        runs = [sorted(RNG.choices(range(50), k=RNG.randint(0, 20))) for _ in range(k)]
+        assert list(warc.LoserTree([iter(r) for r in runs], lambda x: x)) == sorted(sum(runs, []))
+
+
+def test_quality_bound():
+    from math import comb
+
+    for n, r, rate, error in ((50, 1, 0.1, 0.05), (200, 3, 0.05, 0.01), (80, 0, 0.05, 0.02), (10, 0, 0.5, 0.001)):
+        tail = sum(comb(n, i) * rate**i * (1 - rate) ** (n - i) for i in range(r + 1))
+        assert quality.bound_holds(n, r, rate, error) == (r < n * rate and tail <= error)
+
+
+def test_quality(spark, docs, none, rows):
+    got = by_id(quality.measure(docs))
+    for i, text, *_ in rows:
+        words = (text or "").encode().split()
+        count = collections.Counter(tuple(words[k : k + 5]) for k in range(len(words) - 4))
+        covered = {k + j for k in range(len(words) - 4) if count[tuple(words[k : k + 5])] > 1 for j in range(5)}
+        lines = [x for x in (text or "").split("\n") if x.strip(" \t\n\x0b\x0c\r")]
+        r = got[i][0]
+        assert (r.n_words, r.n_repeat_words, r.n_dup_lines) == (len(words), len(covered), len(lines) - len(set(lines)))
+    labels = spark.createDataFrame([(1, 1), (1, 1), (None, None), (99, 0)], "doc_id long, quality int")
+    assert quality.judge(docs, labels).count() == len(rows)
+    assert quality.judge(none, labels.limit(0)).count() == 0
+
+
+def test_quality_cutoffs_reject_junk_and_keep_good(spark):
+    data = [(i, " ".join(["word###" if i % 10 == 0 else "word"] + [WORDS[(i + k) % 300] + ("###" if i % 10 == 0 else "") for k in range(30)]), "en") for i in range(9000)]
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i % 10 != 0)) for i in range(9000)], "doc_id long, quality int")
+    kept = quality.judge(df, labels).groupBy((F.col("doc_id") % 10 == 0).alias("junk")).agg(F.sum(F.col("kept").cast("int")).alias("k")).collect()
+    assert {r.junk: r.k for r in kept} == {True: 0, False: 8100}
+
+
+def components_by_hand(rows, k, num, den):
+    sets, parent = {}, {i: i for i, *_ in rows}
+    for i, text, *_ in rows:
+        w = (text or "").encode().lower().split()
+        sets[i] = {tuple(w[j : j + k]) for j in range(len(w) - k + 1)} if len(w) >= k else {tuple(w)} if w else set()
+    find = lambda x: x if parent[x] == x else find(parent[x])
+    ids = sorted(i for i in sets if i is not None)
+    for a in ids:
+        for b in ids:
+            if a < b and sets[a] and sets[b] and den * len(sets[a] & sets[b]) >= num * len(sets[a] | sets[b]):
+                x, y = sorted((find(a), find(b)))
+                parent[y] = x
+    return {i: (len(sets[i]), find(i)) for i in ids}
+
+
+@pytest.mark.parametrize(("k", "num", "den"), [(3, 9, 10), (5, 4, 5)])
+def test_jaccard_join(spark, none, rows, k, num, den):
+    base = [RNG.choices(WORDS, k=n) for n in (25, 60, 150) for _ in range(2)]
+    made = list(rows)
+    for copy in range(60):
+        words = list(base[copy % len(base)])
+        for _ in range(RNG.randint(0, 5)):
+            words[RNG.randrange(len(words))] = RNG.choice(WORDS)
+        made.append((100 + copy, " ".join(words), None, None, None, None, None))
+    got = similarity.linked(spark.createDataFrame(made, DOCS), k, num, den).collect()
+    assert len(got) == len(made)
+    want = components_by_hand(made, k, num, den)
+    assert all((r.n_shingles, r.component_id) == want[r.doc_id] for r in got if r.doc_id is not None)
+    assert similarity.linked(none, k, num, den).count() == 0
+
+
+def test_first_of_each(docs, rows):
+    kept = similarity.first_of_each(docs.select("doc_id", "text"), 3, 9, 10).collect()
+    want = components_by_hand(rows, 3, 9, 10)
+    stay = {i for i, (n, c) in want.items() if c == i}
+    assert collections.Counter(r.doc_id for r in kept) == collections.Counter([*stay, None])
+
+
+def test_components(spark):
+    edges = [(RNG.randrange(60), RNG.randrange(60)) for _ in range(45)] + [(100, 100 + i) for i in range(1, 40)]
+    parent = {x: x for e in edges for x in e}
+    find = lambda x: x if parent[x] == x else find(parent[x])
+    for a, b in edges:
+        x, y = sorted((find(a), find(b)))
+        parent[y] = x
+    got = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert all(got.get(x, x) == find(x) for x in parent)
+
+
+def test_licenses(docs, none, rows):
+    got = by_id(licenses.scan(docs))
+    found = next(i for i, t, *_ in rows if t and t.startswith("see Apache"))
+    r = got[found][0]
+    assert (r.n_base, r.first_word, r.last_word, r.base_labels) == (2, 1, 4, "apache,mit")
+    assert sum(map(len, got.values())) == len(rows) and sum(x.n_base for v in got.values() for x in v) == 2
+    assert licenses.scan(none).count() == 0
+
+
+def test_license_span_survives_edits(spark):
+    words = licenses.TEMPLATES["mit-text"].split(" ")
+    text = "intro words " + " ".join([*words[:15], "inserted", *words[15:30], *words[31:]]) + " end"
+    rows = spark.createDataFrame([(1, text), (1, "other text"), (2, text)], "doc_id long, text string")
+    got = sorted((r.doc_id, r.labels, r.score > 0.8) for r in licenses.scan(rows).collect())
+    assert got == [(1, "", False), (1, "mit-text", True), (2, "mit-text", True)]
+
+
+def test_secrets(docs, none, rows):
+    got = by_id(secrets.scan(docs))
+    i, text, *_ = next(r for r in rows if r[1] and "token = " in r[1])
+    hit = got[i][0]
+    assert hit.n_secrets == 1 and hit.secrets[0].start == text.index("9f3b7c01") and secrets.MARK in hit.redacted
+    assert sum(r.n_secrets for v in got.values() for r in v) == 1
+    redacted = secrets.redact(docs)
+    assert redacted.columns == docs.columns and redacted.count() == len(rows)
+    assert secrets.scan(none).count() == 0
+
+
+def test_secret_forest_on_held_out_findings(spark):
+    x, y = secrets.labelled_features(spark, secrets.made_findings(800, seed=99))
+    forest = secrets.fit(spark)
+
+    def vote(row, t):
+        while isinstance(t, tuple):
+            t = t[2] if row[t[0]] <= t[1] else t[3]
+        return t
+
+    said = np.array([np.mean([vote(r, t) for t in forest]) >= secrets.THRESHOLD for r in x])
+    assert (said == (y == 1)).mean() > 0.95
+
+
+def test_urls(spark):
+    urls = ["http://a.example.com/en/x", "https://WWW.Example.com/en/?q", "http://example.com/en", "http://x.net/es/1", "http://net/fr/", "http://casino-win.example.org/", "http://m.casino-win.example.com/en/1", "http://com", "http://notexample.com/en/", None, "nothing", "http://a.org/#f://b"]
+    rows = [(i, u, "h") for i, u in enumerate(urls)]
+    got = {r.page_id: r for r in url_filter.filter_urls(spark.createDataFrame(rows, "page_id long, url string, host string")).collect()}
+    for i, url in enumerate(urls):
+        rest = url.split("://", 1)[1] if url and "://" in url else ""
+        cut = min([rest.find(c) for c in "/?#" if c in rest] or [len(rest)])
+        host, path = rest[:cut].lower(), rest[cut:].split("?")[0].split("#")[0]
+        fits = [(len(h + p), h + p, v) for v, h, p in url_filter.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        blocked = any(host == x or host.endswith("." + x) for x in url_filter.LISTED)
+        want = (host, path, max(fits)[1] if fits else None, max(fits)[2] if fits else "block" if blocked else "allow")
+        r = got[i]
+        assert (r.host, r.path, r.rule, r.verdict) == want
+    assert url_filter.filter_urls(spark.createDataFrame([], "page_id long, url string")).count() == 0
+
+
+def test_cascade_is_exact(spark):
+    keys = [f"k{i}" for i in range(4000)]
+    universe = spark.createDataFrame([(k,) for k in keys], "key string")
+    cascade = url_filter.build_cascade(keys[::9], universe)
+    got = {r.key: r.hit for r in universe.select("key", cascade.contains(F.col("key")).alias("hit")).collect()}
+    assert {k for k, v in got.items() if v} == set(keys[::9])
+
+
+def test_nearest(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "CELL_ROWS", 150)
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((600, 16))
+    x[100:300] = x[100]
+    rows = [(i, v.tolist(), "l") for i, v in enumerate(x)] + [(1000, None, ""), (1020, [0.0] * 16, ""), (1040, [float("nan")] * 16, "")]
+    got = collections.defaultdict(list)
+    for r in nearest.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>, rank string")).collect():
+        got[r.query_id].append((r["rank"], r.vec_id, r.score))
+    assert set(got) == set(range(0, 600, 20))
+    hits = 0
+    for q, found in got.items():
+        scores = x @ x[q]
+        order = [i for i in np.lexsort((np.arange(600), -scores)) if i != q][:20]
+        hits += len({v for _, v, _ in found} & set(order))
+        assert [r for r, *_ in sorted(found)] == list(range(1, 21))
+        assert all(abs(s - scores[v]) < 1e-9 for _, v, s in found)
+    assert hits / (20 * len(got)) > 0.9
+    assert nearest.nearest(spark.createDataFrame([], "vec_id long, embedding array<double>")).count() == 0
