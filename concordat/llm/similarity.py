@@ -9,7 +9,8 @@ pair is found. In the order rare tokens (by hash), then frequent ones, let p
 be the prefix length: sets of sizes n and m with Jaccard t or more share a token within their first
 p = n - ceil(t n) + 1. A document is indexed
 
-* by each rare token in its prefix (single tokens), and
+* by each rare token in its prefix (single tokens); as a rare token is met in one set only, such a
+  key can't meet another set and is not written: a prefix of rare tokens alone needs no key at all;
 * if frequent tokens reach into its prefix, by token combinations over its frequent tokens: the
   prefix is extended to all of them, they are dealt by hash into as many parts as a similar pair
   can differ in tokens plus one, and each part's combination is one key, for the size class of the
@@ -141,14 +142,13 @@ def index_keys(tokens: np.ndarray, is_frequent: np.ndarray, num: int, den: int)
     n = len(tokens)
     p = prefix_length(n, num, den)
     rare, common = tokens[~is_frequent], tokens[is_frequent]
-    singles = _mix(rare[:p] ^ np.uint64(0x5851F42D4C957F2D))
     if len(rare) >= p:
-        return singles
+        return rare[:0]
     ends = _CLASSES.get((num, den))
     if ends is None or ends[-1] < 2 * n:
         ends = _CLASSES[num, den] = size_classes(num, den, 2 * n + 1024)
     own = int(np.searchsorted(ends, n))
-    keys = [singles]
+    keys = []
     with np.errstate(over="ignore"):
         for c in (own, own + 1):
             count = parts_of(int(ends[c]), num, den)
@@ -298,11 +298,12 @@ def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
 def linked(documents: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
     """doc_id, n_shingles, component_id for every row: the components of links at num/den or more."""
     index = materialize(_index(documents, k, num, den), "index")
+    sizes = index.where("doc_id IS NOT NULL AND size(keys) > 0").select(F.col("doc_id").alias("id"), "n", "sketch")
     same = index.where("n > 0 AND doc_id IS NOT NULL").groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
     multiple = same.where("copies > 1").drop("copies")
     # Members of a class point at its representative; a hot class is a skewed join, which Spark splits.
-    classes = materialize(index.select("doc_id", "n", "h1", "h2", "keys", "sketch").join(multiple, ["n", "h1", "h2"], "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep"), F.when(F.col("rep").isNull() | (F.col("rep") == F.col("doc_id")), F.col("keys")).alias("keys"), "sketch"), "classes")
-    inverted = classes.where("keys IS NOT NULL AND n > 0 AND doc_id IS NOT NULL").select(F.explode("keys").alias("key"), F.col("doc_id").alias("id"), "n", "sketch")
+    classes = materialize(index.select("doc_id", "n", "h1", "h2", "keys").join(multiple, ["n", "h1", "h2"], "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep"), F.when(F.col("rep").isNull() | (F.col("rep") == F.col("doc_id")), F.col("keys")).alias("keys")), "classes")
+    inverted = classes.where("keys IS NOT NULL AND n > 0 AND doc_id IS NOT NULL").select(F.explode("keys").alias("key"), F.col("doc_id").alias("id"))
     pivots = inverted.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("other")).where("pivot < other").drop("other")
     groups = materialize(inverted.join(pivots, "key"), "groups")
     sets = materialize(_sets(documents, groups.select("id").distinct(), k), "sets")
@@ -310,29 +311,31 @@ def linked(documents: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> Data
     links = materialize(_verify(first, sets, num, den), "links")
     copies = classes.where("rep <> doc_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     known = materialize(components(links), "known")
-    rest = _unsettled(groups, known, num, den)
+    rest = _unsettled(groups, known, sizes, num, den)
     more = materialize(_verify(rest, sets, num, den), "links")
     final = components(links.unionByName(more).unionByName(copies))
     return classes.join(final.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
 
-def _unsettled(groups: DataFrame, known: DataFrame, num: int, den: int) -> DataFrame:
+def _unsettled(groups: DataFrame, known: DataFrame, sizes: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs under one key that are in different components and were not compared with the pivot.
 
     In each key, members outside the pivot's component meet all members of other components; in a
     group of near copies these are the few that the pivot doesn't reach. Sizes and parity sketches
     rule out, exactly, most pairs that can't be similar.
     """
-    named = groups.join(known.withColumnRenamed("node", "id"), "id", "left").select("key", "id", "n", "sketch", "pivot", F.coalesce("component", "id").alias("component"))
+    named = groups.join(known.withColumnRenamed("node", "id"), "id", "left").select("key", "id", "pivot", F.coalesce("component", "id").alias("component"))
     centre = named.where("id = pivot").select("key", F.col("component").alias("centre"))
     placed = named.join(centre, "key")
-    outside = placed.where("component <> centre").select("key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), F.col("sketch").alias("sa"))
-    keys = outside.select("key").distinct()
-    inside = placed.join(keys, "key", "left_semi").where("id <> pivot").select("key", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), F.col("sketch").alias("sb"))
-    sizes = (F.col("na") * num <= F.col("nb") * den) & (F.col("nb") * num <= F.col("na") * den)
+    split = placed.where("component <> centre").select("key").distinct()
+    # Sizes and sketches only for members of keys that hold more than one component.
+    members = placed.join(split, "key", "left_semi").join(sizes, "id")
+    outside = members.where("component <> centre").select("key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), F.col("sketch").alias("sa"))
+    inside = members.where("id <> pivot").select("key", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), F.col("sketch").alias("sb"))
+    fits = (F.col("na") * num <= F.col("nb") * den) & (F.col("nb") * num <= F.col("na") * den)
     bits = sum((F.bit_count(F.get("sa", F.lit(i)).bitwiseXOR(F.get("sb", F.lit(i)))) for i in range(SKETCH_BITS // 64)), F.lit(0))
     close = bits * (num + den) <= (F.col("na") + F.col("nb")) * (den - num)
-    met = outside.join(inside, "key").where((F.col("ca") != F.col("cb")) & (F.col("a") != F.col("b")) & sizes & close)
+    met = outside.join(inside, "key").where((F.col("ca") != F.col("cb")) & (F.col("a") != F.col("b")) & fits & close)
     return met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
