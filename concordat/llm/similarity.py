@@ -22,7 +22,8 @@ copies only: documents that merely share a passage don't meet.
 
 Verification is exact on whole sets. Under each key all members are first compared with the key's
 smallest member (links to it join most of a group of near copies); then only members that are still
-in different components are compared, so a group of copies never costs all its pairs.
+in different components are compared, so a group of copies never costs all its pairs. Links found
+then join whole components, not documents.
 
 Defined results: lower-casing is A-Z only; words are runs between ASCII blanks; fewer than k words
 make one shingle of the whole sequence; null or wordless texts have an empty set and no links. Rows
@@ -277,7 +278,7 @@ def _sets(documents: DataFrame, ids: DataFrame, k: int) -> DataFrame:
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Links among pairs (a, b): num (|A| + |B|) <= (num + den) |A & B|."""
+    """Links among pairs (a, b, other columns): num (|A| + |B|) <= (num + den) |A & B|."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -288,11 +289,12 @@ def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
                 merged = np.sort(np.concatenate((x, y)))
                 shared = int((merged[1:] == merged[:-1]).sum())
                 keep.append(num * (len(x) + len(y)) <= (num + den) * shared)
-            yield batch.loc[keep, ["a", "b"]]
+            yield batch.loc[keep, names]
 
+    names = pairs.columns
     left = pairs.join(sets.select(F.col("id").alias("a"), F.col("tokens").alias("x")), "a")
-    both = left.join(sets.select(F.col("id").alias("b"), F.col("tokens").alias("y")), "b").select("a", "b", "x", "y")
-    return both.mapInPandas(run, "a long, b long")
+    both = left.join(sets.select(F.col("id").alias("b"), F.col("tokens").alias("y")), "b").select(*names, "x", "y")
+    return both.mapInPandas(run, pairs.schema)
 
 
 def linked(documents: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
@@ -309,12 +311,29 @@ def linked(documents: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> Data
     sets = materialize(_sets(documents, groups.select("id").distinct(), k), "sets")
     first = groups.where("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
     links = materialize(_verify(first, sets, num, den), "links")
-    copies = classes.where("rep <> doc_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     known = materialize(components(links), "known")
     rest = _unsettled(groups, known, sizes, num, den)
-    more = materialize(_verify(rest, sets, num, den), "links")
-    final = components(links.unionByName(more).unionByName(copies))
-    return classes.join(final.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+    more = _verify(rest, sets, num, den).select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+    joins = materialize(more.unionByName(_shared_ids(classes, known)).distinct(), "links")
+    labels = known if joins.isEmpty() else materialize(_relabel(known, components(joins)), "labels")
+    # A representative is its class's smallest document, so copies take its component as theirs.
+    return classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
+
+
+def _shared_ids(classes: DataFrame, known: DataFrame) -> DataFrame:
+    """Edges between the components of classes that rows of one doc_id are in."""
+    several = classes.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high").select("doc_id")
+    edges = classes.join(several, "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a <> b")
+    for end in ("a", "b"):
+        edges = edges.join(known.select(F.col("node").alias(end), F.col("component").alias("c" + end)), end, "left").withColumn(end, F.coalesce("c" + end, end))
+    return edges.select("a", "b").where("a <> b")
+
+
+def _relabel(known: DataFrame, over: DataFrame) -> DataFrame:
+    """(node, component) when the components of known are nodes of over; nodes of over that known doesn't name are kept."""
+    up = over.select(F.col("node").alias("component"), F.col("component").alias("upper"))
+    moved = known.join(up, "component", "left").select("node", F.coalesce("upper", "component").alias("component"))
+    return moved.unionByName(over.join(known.select("node"), "node", "left_anti"))
 
 
 def _unsettled(groups: DataFrame, known: DataFrame, sizes: DataFrame, num: int, den: int) -> DataFrame:
@@ -336,7 +355,7 @@ def _unsettled(groups: DataFrame, known: DataFrame, sizes: DataFrame, num: int,
     bits = sum((F.bit_count(F.get("sa", F.lit(i)).bitwiseXOR(F.get("sb", F.lit(i)))) for i in range(SKETCH_BITS // 64)), F.lit(0))
     close = bits * (num + den) <= (F.col("na") + F.col("nb")) * (den - num)
     met = outside.join(inside, "key").where((F.col("ca") != F.col("cb")) & (F.col("a") != F.col("b")) & fits & close)
-    return met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    return met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"), F.greatest("ca", "cb").alias("ca"), F.least("ca", "cb").alias("cb")).distinct()
 
 
 def first_of_each(documents: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
