@@ -3,22 +3,28 @@
 A document's set holds the 64-bit hashes of its distinct word shingles. Documents with equal sets
 form a class with one representative; only representatives are compared.
 
-Index keys. Tokens that documents share are the frequent class: a token is in it if its slot (its
-leading bits) is met in two documents or more. All documents are counted, in a bitmap of fixed size; the class is the same for every document and only decides which keys are used, never whether a
-pair is found. In the order rare tokens (by hash), then frequent ones, let p
-be the prefix length: sets of sizes n and m with Jaccard t or more share a token within their first
+Index keys. Tokens are classed by the number of documents (all are counted, in bitmaps of fixed
+size) that meet the token's slot (its leading bits): lone (one), rare (two), frequent (three or
+more). A token's class is the same for every document and only decides which keys are used, never
+whether a pair is found. In the order lone, rare, frequent, then by hash, let p be the prefix
+length: sets of sizes n and m with Jaccard t or more share a token within their first
 p = n - ceil(t n) + 1. A document is indexed
 
-* by each rare token in its prefix (single tokens); as a rare token is met in one set only, such a
-  key can't meet another set and is not written: a prefix of rare tokens alone needs no key at all;
+* by each rare token in its prefix (single tokens); a lone token can't meet another set, so it needs
+  no key, and a prefix of lone tokens alone none at all;
 * if frequent tokens reach into its prefix, by token combinations over its frequent tokens: the
-  prefix is extended to all of them, they are dealt by hash into as many parts as a similar pair
-  can differ in tokens plus one, and each part's combination is one key, for the size class of the
-  document and the next. A similar pair that shares no rare token has all its common tokens among
-  the frequent ones, so it agrees on at least one part's whole combination.
+  prefix is extended to all of them, they are dealt by hash into d + 1 + s parts, d the most tokens
+  in which a similar pair can differ and s spare parts, and each part's combination is one key, for
+  the size class of the document and the next.
 
-So every similar pair meets under some key. Combinations of many tokens are agreed on by near
-copies only: documents that merely share a passage don't meet.
+If a document of a similar pair has no combinations, its prefix holds the shared token as a rare one,
+which is in the other's prefix as well. If both have combinations, at least s + 1 parts hold no token
+in which they differ, so they agree on the combination of one of them, or all these parts are empty
+in both. Empty parts are no key (all documents would agree on them); a document with more than s empty
+parts is also indexed by each token of its whole prefix, for these size classes.
+
+So every similar pair meets under some key. Combinations of several tokens are agreed on by near
+copies mostly: documents that merely share a passage seldom meet.
 
 Verification is exact on whole sets. Under each key all members are first compared with the key's
 smallest member (links to it join most of a group of near copies); then only members that are still
@@ -45,9 +51,12 @@ from pyspark.sql import functions as F
 from concordat.llm.common import materialize
 from concordat.llm.components import components
 
-#: Tokens are classed by slots of their leading bits (32 MB as a bitmap), sent in so many chunks.
+#: Tokens are classed by slots of their leading bits (two bitmaps of 32 MB), sent in so many chunks.
 SLOT_BITS = 28
 CHUNKS = 1024
+#: Classes of tokens: met in one document, in two, in three or more.
+LONE, RARE, FREQUENT = 0, 1, 2
+_SINGLE = np.uint64(0x6A09E667F3BCC909)
 SKETCH_BITS = 512
 #: Bits of the filter that spares documents without candidates the second reading.
 FILTER_BITS = 1 << 25
@@ -138,26 +147,43 @@ def parts_of(largest: int, num: int, den: int) -> int:
 _CLASSES: dict[tuple[int, int], np.ndarray] = {}
 
 
-def index_keys(tokens: np.ndarray, is_frequent: np.ndarray, num: int, den: int) -> np.ndarray:
-    """Keys under which every set that is similar to this one (or equal in part) is found."""
+def spare_parts(parts: int, smallest: int, num: int, den: int) -> int:
+    """More empty parts than a set of at least this size, of which the frequent tokens are more than
+    num/den, is likely to have. Only the number of keys depends on it, not what is found."""
+    return 0 if parts == 1 else math.ceil(1.5 * parts * math.exp(-smallest * num / den / parts))
+
+
+def index_keys(tokens: np.ndarray, kind: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Keys under which every similar set is found; kind: LONE, RARE or FREQUENT for each token."""
     n = len(tokens)
     p = prefix_length(n, num, den)
-    rare, common = tokens[~is_frequent], tokens[is_frequent]
-    if len(rare) >= p:
-        return rare[:0]
+    lone = int((kind == LONE).sum())
+    if lone >= p:
+        return tokens[:0]
+    rare, common = tokens[kind == RARE][: p - lone], tokens[kind == FREQUENT]
+    singles = _mix(rare ^ _SINGLE)
+    if lone + len(rare) >= p:
+        return singles
     ends = _CLASSES.get((num, den))
     if ends is None or ends[-1] < 2 * n:
         ends = _CLASSES[num, den] = size_classes(num, den, 2 * n + 1024)
     own = int(np.searchsorted(ends, n))
-    keys = []
+    prefix = np.concatenate((rare, common[: p - lone - len(rare)]))
+    keys = [singles]
     with np.errstate(over="ignore"):
         for c in (own, own + 1):
+            of_class = _mix(np.uint64(c + 1) * np.uint64(1 << 32) + np.uint64(1 << 31))
             count = parts_of(int(ends[c]), num, den)
+            spare = spare_parts(count, int(ends[c - 2]) + 1 if c > 1 else 1, num, den)
+            count += spare
             part = (_mix(common + np.uint64(c)) % np.uint64(count)).astype(np.int64)
             sums = np.zeros(count, np.uint64)
             np.add.at(sums, part, _mix(common))
             sizes = np.bincount(part, minlength=count).astype(np.uint64)
-            keys.append(_mix(_mix(sums + sizes * np.uint64(0x2545F4914F6CDD1D)) + _mix(np.uint64(c + 1) * np.uint64(1 << 32) + np.arange(count, dtype=np.uint64))))
+            combined = _mix(_mix(sums + sizes * np.uint64(0x2545F4914F6CDD1D)) + _mix(np.uint64(c + 1) * np.uint64(1 << 32) + np.arange(count, dtype=np.uint64)))
+            keys.append(combined[sizes > 0])
+            if (sizes == 0).sum() > spare:
+                keys.append(_mix(prefix ^ of_class))
     return np.unique(np.concatenate(keys))
 
 
@@ -176,16 +202,17 @@ def _slots(tokens: np.ndarray) -> np.ndarray:
     return (tokens >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
 
-def frequent_slots(documents: DataFrame, k: int) -> np.ndarray:
-    """The frequent class as a bitmap over slots of tokens: 2^SLOT_BITS bits, whatever the corpus.
+def slot_classes(documents: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bitmaps over slots of tokens: met in two documents or more, in three or more. Each has
+    2^SLOT_BITS bits, whatever the corpus.
 
-    Every task marks the slots that it meets in one document and in two or more, and sends these
-    bitmaps in compressed chunks; a chunk's are joined one after another, in constant memory.
+    Every task marks the slots that it meets in one document, in two and in three or more, and sends
+    these bitmaps in compressed chunks; a chunk's are joined one after another, in constant memory.
     """
 
     def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingle = Shingler(k)
-        seen, often = np.zeros(1 << SLOT_BITS - 3, np.uint8), np.zeros(1 << SLOT_BITS - 3, np.uint8)
+        once, twice, often = (np.zeros(1 << SLOT_BITS - 3, np.uint8) for _ in range(3))
         for batch in batches:
             sets: set[bytes] = set()
             for text in batch["text"]:
@@ -196,51 +223,61 @@ def frequent_slots(documents: DataFrame, k: int) -> np.ndarray:
                 sets.add(raw)
                 at = np.unique(_slots(tokens))
                 byte, bit = at >> 3, np.uint8(1) << (at & 7).astype(np.uint8)
-                again = (seen[byte] & bit) != 0
-                np.bitwise_or.at(often, byte[again], bit[again])
-                np.bitwise_or.at(seen, byte, bit)
-        seen, often = seen.reshape(CHUNKS, -1), often.reshape(CHUNKS, -1)
-        pack = lambda x: zlib.compress(x.tobytes(), 1)
-        for i in np.flatnonzero(seen.any(1)):
-            yield pd.DataFrame({"chunk": [i], "seen": [pack(seen[i])], "often": [pack(often[i])]})
+                again, more = (once[byte] & bit) != 0, (twice[byte] & bit) != 0
+                np.bitwise_or.at(often, byte[more], bit[more])
+                np.bitwise_or.at(twice, byte[again], bit[again])
+                np.bitwise_or.at(once, byte, bit)
+        once, twice, often = (x.reshape(CHUNKS, -1) for x in (once, twice, often))
+        for i in np.flatnonzero(once.any(1)):
+            yield pd.DataFrame({"chunk": [i], "once": [_pack(once[i])], "twice": [_pack(twice[i])], "often": [_pack(often[i])]})
 
     def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        unpack = lambda data: np.frombuffer(zlib.decompress(data), np.uint8)
-        now, seen, often = None, None, None
-        done = lambda: pd.DataFrame({"chunk": [now], "often": [zlib.compress(often.tobytes(), 1)]})
+        now = once = twice = often = None
+        done = lambda: pd.DataFrame({"chunk": [now], "twice": [_pack(twice)], "often": [_pack(often)]})
         for batch in batches:
-            for chunk, s, o in zip(batch["chunk"], batch["seen"], batch["often"], strict=True):
-                s, o = unpack(s), unpack(o)
+            for chunk, *maps in zip(batch["chunk"], batch["once"], batch["twice"], batch["often"], strict=True):
+                x, y, z = map(_unpack, maps)
                 if chunk != now:
                     if now is not None:
                         yield done()
-                    now, seen, often = chunk, s, o
+                    now, once, twice, often = chunk, x, y, z
                 else:
-                    seen, often = seen | s, often | o | (seen & s)
+                    often = often | z | (twice & x) | (once & y)
+                    twice = twice | y | (once & x)
+                    once = once | x
         if now is not None:
             yield done()
 
-    marked = documents.select("text").mapInPandas(mark, "chunk int, seen binary, often binary")
-    rows = marked.repartition("chunk").sortWithinPartitions("chunk").mapInPandas(join, "chunk int, often binary").collect()
-    out = np.zeros((CHUNKS, (1 << SLOT_BITS - 3) // CHUNKS), np.uint8)
+    marked = documents.select("text").mapInPandas(mark, "chunk int, once binary, twice binary, often binary")
+    rows = marked.repartition("chunk").sortWithinPartitions("chunk").mapInPandas(join, "chunk int, twice binary, often binary").collect()
+    twice, often = (np.zeros((CHUNKS, (1 << SLOT_BITS - 3) // CHUNKS), np.uint8) for _ in range(2))
     for r in rows:
-        out[r.chunk] |= np.frombuffer(zlib.decompress(r.often), np.uint8)
-    return out.reshape(-1)
+        twice[r.chunk], often[r.chunk] = _unpack(r.twice), _unpack(r.often)
+    return twice.reshape(-1), often.reshape(-1)
+
+
+def _pack(bits: np.ndarray) -> bytes:
+    return zlib.compress(bits.tobytes(), 1)
+
+
+def _unpack(data: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(data), np.uint8)
 
 
 def _index(documents: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """doc_id, n (set size), h1, h2 (hashes of the set), keys, parity sketch."""
-    frequent = documents.sparkSession.sparkContext.broadcast(frequent_slots(documents, k))
+    counted = documents.sparkSession.sparkContext.broadcast(slot_classes(documents, k))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingle, common = Shingler(k), frequent.value
+        shingle, (twice, often) = Shingler(k), counted.value
         for batch in batches:
             rows = []
             for doc, text in zip(_ids(batch["doc_id"]), batch["text"], strict=True):
                 tokens = shingle(text)
                 at = _slots(tokens)
-                often = (common[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
-                keys = index_keys(tokens, often, num, den).view(np.int64) if len(tokens) else np.empty(0, np.int64)
+                byte, bit = at >> 3, (at & 7).astype(np.uint8)
+                kind = (twice[byte] >> bit & 1) + (often[byte] >> bit & 1)
+                keys = index_keys(tokens, kind, num, den).view(np.int64) if len(tokens) else np.empty(0, np.int64)
                 raw = tokens.tobytes()
                 rows.append((doc, len(tokens), xxhash.xxh3_64_intdigest(raw) - (1 << 63), xxhash.xxh64_intdigest(raw) - (1 << 63), keys, parity_sketch(tokens)))
             yield pd.DataFrame(rows, columns=["doc_id", "n", "h1", "h2", "keys", "sketch"]).astype({"doc_id": "Int64"})

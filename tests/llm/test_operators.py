@@ -214,6 +214,37 @@ def test_jaccard_join(spark, none, rows, k, num, den):
     assert similarity.linked(none, k, num, den).count() == 0
 
 
+@pytest.mark.parametrize(("num", "den"), [(9, 10), (4, 5), (1, 2)])
+def test_jaccard_keys_meet(num, den):
+    """Every similar pair of different sets shares a key, whatever the classes of its tokens."""
+    pairs = 0
+    for _ in range(150):
+        n = RNG.choice([1, 2, 3, 4, 5, 6, 8, 10, 15, 20, 40, 80, 200])
+        base = {RNG.getrandbits(64) for _ in range(n)}
+        sets = []
+        for _ in range(6):
+            own = set(base)
+            for _ in range(RNG.randint(0, max(1, n * (den - num) // den))):
+                if own and RNG.random() < 0.5:
+                    own.discard(RNG.choice(sorted(own)))
+                else:
+                    own.add(RNG.getrandbits(64))
+            sets.append(own)
+        met = collections.Counter(t for own in sets for t in own)
+        met.update({t: RNG.randint(0, 3) for t in met if RNG.random() < 0.3})
+        keys = []
+        for own in map(sorted, sets):
+            kind = np.array([min(met[t], 3) - 1 for t in own], np.uint8)
+            keys.append(set(similarity.index_keys(np.array(own, np.uint64), kind, num, den).tolist()) if own else set())
+        for i, a in enumerate(sets):
+            for j in range(i):
+                b = sets[j]
+                if a and b and a != b and den * len(a & b) >= num * len(a | b):
+                    pairs += 1
+                    assert keys[i] & keys[j]
+    assert pairs > 100
+
+
 def test_first_of_each(docs, rows):
     kept = similarity.first_of_each(docs.select("doc_id", "text"), 3, 9, 10).collect()
     want = components_by_hand(rows, 3, 9, 10)
