@@ -2,12 +2,15 @@
 
 Rule statistics come from words ``[^\\x20\\x09-\\x0D]+`` and lines of whole texts, computed inside the
 row: no text is shuffled. Fixed base rules reject first. Then, for each stratum (by default the
-language) and each scored rule, a cutoff is selected on labelled rows: of a fixed grid of cutoffs
-the one that rejects most, among those whose exact binomial (Clopper-Pearson) upper bound for the
-rate of good documents rejected is at most ``alpha`` divided by the number of rules. The error
-``delta`` is divided by strata, rules and cutoffs (Bonferroni), so all selected cutoffs hold at
-once with probability 1 - delta: no stratum loses more than ``alpha`` of its good documents to the
-method. A cutoff without enough labelled rows is never selected; a stratum without labels keeps all.
+language), cutoffs of all scored rules are selected together on labelled rows: they are tightened
+step by step in an order fixed beforehand, as long as the exact binomial (Clopper-Pearson) upper
+bound for the rate of good documents that any of them rejects is at most ``alpha``. The order
+comes from the bad and the unlabelled documents only (``tightening``), never from the good ones
+that the bound is computed on, and the first step that fails ends it, so steps and rules need no
+correction (fixed sequence testing). The error ``delta`` is divided by the strata that have enough
+good labels for any cutoff (Bonferroni), so all selected cutoffs hold at once with probability
+1 - delta: no stratum loses more than ``alpha`` of its good documents to the method. A stratum
+with fewer, where even no good document rejected would not do, keeps all that the base rules keep.
 
 Defined results: null or wordless text has no words and fails the base rule; a null stratum is a
 stratum of its own ('' after coalescing); label rows that are null, repeated or without a document
@@ -17,7 +20,10 @@ are ignored. Repeated rows each get their row.
 
 from __future__ import annotations
 
+import json
 import math
+from bisect import bisect_left
+from collections import Counter
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -141,6 +147,8 @@ def bound_holds(n: int, rejected: int, rate: float, error: float) -> bool:
 
 @dataclass(frozen=True)
 class Cutoff:
+    """A rule's cutoff; good_rejected counts what all cutoffs of the stratum reject together."""
+
     stratum: str
     rule: str
     cutoff: float
@@ -153,26 +161,70 @@ def _below(rule: str, grid: tuple[float, ...]) -> Column:
     return F.size(F.filter(F.array(*map(F.lit, grid)), lambda c: c < F.col(rule)))
 
 
+def tightening(bad: dict[str, Counter], unlabelled: dict[str, Counter]) -> list[tuple[str, int]]:
+    """All (rule, grid index) in the order in which cutoffs are tightened, each rule from its loosest.
+
+    Counters are histograms of places (how many cutoffs a score exceeds) by rule. What rejects the
+    fewest unlabelled documents for each bad one comes first, both counted with one bad document at
+    the stratum's own ratio added; a loose cutoff ranks with the best tighter one it leads to.
+    """
+    n_bad = max((c.total() for c in bad.values()), default=0)
+    usual = (max((c.total() for c in unlabelled.values()), default=0) + 1) / (n_bad + 1)
+    order = []
+    for rule, grid in GRIDS.items():
+        costs, b, u = [], 0, 0
+        for k in reversed(range(len(grid))):
+            b, u = b + bad.get(rule, Counter())[k + 1], u + unlabelled.get(rule, Counter())[k + 1]
+            costs.append((u + usual) / (b + 1))
+        best = math.inf
+        for k, cost in enumerate(reversed(costs)):  # from the tightest
+            best = min(best, cost)
+            order.append((best, len(grid) - 1 - k, rule, k))
+    return [(rule, k) for _, _, rule, k in sorted(order)]
+
+
+def able_strata(good: dict[str, int], alpha: float, delta: float) -> list[str]:
+    """The largest strata, as many as can share delta and still pass with no good document rejected."""
+    ranked = sorted(good, key=lambda s: (-good[s], s))
+    fits = [m for m in range(1, len(ranked) + 1) if bound_holds(good[ranked[m - 1]], 0, alpha, delta / m)]
+    return ranked[: max(fits, default=0)]
+
+
 def select_cutoffs(measured: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> list[Cutoff]:
-    """Cutoffs by stratum and rule. The driver gets one row for each stratum, rule and grid step."""
+    """Cutoffs by stratum and rule. The driver gets at most three rows for each stratum, rule and
+    grid step, and then one for each stratum and step of the order."""
     good = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id").agg(F.max("quality").alias("good"))
-    held = measured.where(~F.col("base_failed")).join(good, "doc_id").where("good = 1")
-    # How many grid steps lie below a document's score; one histogram for each stratum and rule.
+    held = measured.where(~F.col("base_failed")).join(good, "doc_id", "left")
+    # How many grid steps lie below a document's score; one histogram for each stratum, label and rule.
     places = F.array(*(F.struct(F.lit(rule).alias("rule"), _below(rule, grid).alias("place")) for rule, grid in GRIDS.items()))
-    rows = held.select("stratum", F.explode(places).alias("p")).groupBy("stratum", "p.rule", "p.place").agg(F.count("*").alias("n")).collect()
-    histogram: dict[tuple[str, str], dict[int, int]] = {}
+    rows = held.select("stratum", "good", F.explode(places).alias("p")).groupBy("stratum", "good", "p.rule", "p.place").agg(F.count("*").alias("n")).collect()
+    histogram: dict[tuple, dict[str, Counter]] = {}
     for r in rows:
-        histogram.setdefault((r.stratum, r.rule), {})[r.place] = r.n
-    strata = len({s for s, _ in histogram}) or 1
-    tests = strata * sum(map(len, GRIDS.values()))
+        histogram.setdefault((r.stratum, r.good), {}).setdefault(r.rule, Counter())[r.place] += r.n
+    n_good = {s: next(iter(rules.values())).total() for (s, label), rules in histogram.items() if label == 1}
+    chosen_from = able_strata(n_good, alpha, delta)
+    if not chosen_from:
+        return []
+    orders = {s: tightening(histogram.get((s, 0), {}), histogram.get((s, None), {})) for s in chosen_from}
+    # The first step that rejects a document: the least, over rules, of the step of the loosest cutoff exceeded.
+    steps = {s: {rule: [step for step, (name, _) in enumerate(order) if name == rule] for rule in GRIDS} for s, order in orders.items()}
+    kind = "map<string,struct<" + ",".join(f"{rule}:array<int>" for rule in GRIDS) + ">>"
+    own = F.try_element_at(F.from_json(F.lit(json.dumps(steps)), kind), F.col("stratum"))
+    met = [F.get(own[rule], F.size(own[rule]) - _below(rule, grid)) for rule, grid in GRIDS.items()]
+    counted = held.where((F.col("good") == 1) & F.col("stratum").isin(chosen_from)).groupBy("stratum", F.least(*met).alias("step")).agg(F.count("*").alias("n")).collect()
+    rejected_at: dict[str, Counter] = {}
+    for r in counted:
+        rejected_at.setdefault(r.stratum, Counter())[r.step] += r.n
     chosen = []
-    for (stratum, rule), counts in sorted(histogram.items()):
-        n = sum(counts.values())
-        for k, cutoff in enumerate(GRIDS[rule]):  # from the lowest: the first that holds rejects most
-            rejected = sum(v for place, v in counts.items() if place > k)
-            if bound_holds(n, rejected, alpha / len(GRIDS), delta / tests):
-                chosen.append(Cutoff(stratum, rule, cutoff, n, rejected))
-                break
+    for stratum in sorted(chosen_from):
+        n, total, rejected = n_good[stratum], 0, []
+        for step in range(len(orders[stratum])):
+            total += rejected_at[stratum][step]
+            rejected.append(total)
+        # The bound only grows along the order, so bisection finds the first step that fails.
+        passed = bisect_left(rejected, True, key=lambda x: not bound_holds(n, x, alpha, delta / len(chosen_from)))
+        reached = {rule: GRIDS[rule][k] for rule, k in orders[stratum][:passed]}
+        chosen += [Cutoff(stratum, rule, cutoff, n, rejected[passed - 1]) for rule, cutoff in sorted(reached.items())]
     return chosen
 
 
