@@ -1,4 +1,4 @@
-"""python -m concordat admit | reconcile-transaction | reconcile-settlement | finalize | verify."""
+"""python -m concordat admit | reconcile-transaction | reconcile-settlement | finalize | correct | verify."""
 
 from __future__ import annotations
 
@@ -6,36 +6,33 @@ import argparse
 import json
 import sys
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
-from concordat.operators import settlements, transactions
+from concordat.operators.policy import check_manifest, read_policy
+from concordat.plans import engine
 from concordat.session import guard, local_session
 from concordat.sources import files, publication
 
 
-def results(found: dict[str, DataFrame], which: str) -> dict[str, DataFrame]:
-    """Result tables of admitted families; settlement journals are those that name a settlement."""
-    journals = found["LEDGER_JOURNALS"]
-    out = {}
-    if which in ("transaction", "all"):
-        out["transactions"] = transactions.reconcile(found["PROCESSOR_EVENTS"], journals.where("payment_id IS NOT NULL"))
-    if which in ("settlement", "all"):
-        own, bank, sets = journals.where("settlement_id IS NOT NULL"), found["BANK_ENTRIES"], found["PROCESSOR_SETTLEMENTS"]
-        out["settlements"] = settlements.reconcile(sets, own, bank)
-        out["bank-allocations"] = settlements.allocate(bank, settlements.targets(sets, own))
-    return out
+def _document(spark: SparkSession, path: str) -> dict:
+    folder, _, name = path.rpartition("/")
+    return json.loads(publication.Files(spark, folder or ".").read(name))
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     parser = argparse.ArgumentParser(prog="concordat")
     verbs = parser.add_subparsers(dest="verb", required=True)
-    for verb in ("admit", "reconcile-transaction", "reconcile-settlement", "finalize"):
+    for verb in ("admit", "reconcile-transaction", "reconcile-settlement", "finalize", "correct"):
         p = verbs.add_parser(verb)
         p.add_argument("manifest")
         p.add_argument("root", help="folder of local objects")
+        p.add_argument("policy", help="policy document")
         if verb != "admit":
             p.add_argument("out", help="bundle to write, or the log's folder")
-        if verb == "finalize":
+        if verb == "correct":
+            p.add_argument("correction", help="correction document")
+            p.add_argument("--prior-policy", help="policy document of the run before, if another")
+        if verb in ("finalize", "correct"):
             p.add_argument("--attempt", required=True)
             p.add_argument("--head", help="digest of the entry this one follows; none for the first")
     verbs.add_parser("verify").add_argument("out")
@@ -46,14 +43,24 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         if args.verb == "verify":
             said = {"entries": publication.History(spark, args.out).verify()}
         else:
-            manifest = json.loads(publication.Files(spark, args.manifest.rpartition("/")[0] or ".").read(args.manifest.rpartition("/")[2]))
-            found, run = files.admit_bundle(spark, manifest, args.root), {"run_id": str(manifest.get("run_id"))}
-            if args.verb == "admit":
-                said = {"admitted": sorted(found)}
-            elif args.verb == "finalize":
-                said = publication.History(spark, args.out).finalize(args.attempt, results(found, "all"), run, args.head)
+            policy, manifest = read_policy(_document(spark, args.policy)), _document(spark, args.manifest)
+            digest, run = check_manifest(manifest, policy), {"run_id": str(manifest.get("run_id")), "manifest_sha256": manifest["manifest_sha256"], "policy_sha256": policy.sha256}
+            if args.verb in ("finalize", "correct"):
+                log = publication.History(spark, args.out)
+                found = files.admit_bundle(spark, manifest, args.root, policy, log.runs())
+                # An attempt that was finished before gives its entry again; what follows it is not its prior state.
+                prior = log.state() if log.head() and not log.attempt(args.attempt) else None
+                extra = {}
+                if args.verb == "correct":
+                    extra = {"document": _document(spark, args.correction), "prior_policy": read_policy(_document(spark, args.prior_policy)) if args.prior_policy else None}
+                said = log.attempt(args.attempt) or log.finalize(args.attempt, engine.run(spark, found, policy, digest, prior, **extra), run, args.head)
             else:
-                said = {"manifest_sha256": publication.write_bundle(spark, results(found, args.verb.removeprefix("reconcile-")), args.out, run)}
+                found = files.admit_bundle(spark, manifest, args.root, policy)
+                if args.verb == "admit":
+                    said = {"admitted": sorted(found)}
+                else:
+                    tables = engine.published(engine.reconciled(found, policy, policy.permitted(spark), args.verb.removeprefix("reconcile-")))
+                    said = {"manifest_sha256": publication.write_bundle(spark, tables, args.out, run)}
     except (ValueError, FileExistsError) as error:
         print(json.dumps({"refused": str(error)}), file=sys.stderr)
         return 2

@@ -28,13 +28,20 @@ def differences(expected: DataFrame, actual: DataFrame) -> DataFrame:
     return tagged.groupBy(*names).agg(F.sum("e").alias("balance")).where("balance <> 0").withColumn("side", F.when(F.col("balance") > 0, "expected").otherwise("actual"))
 
 
-def semantic_faults(rows: DataFrame) -> DataFrame:
-    """Transaction result rows whose arithmetic or status contradicts itself."""
-    tests = F.array_compact(F.array(
-        F.when(F.col("processor_ledger_delta_minor") != F.col("processor_minor") - F.col("ledger_minor"), "DELTA"),
-        F.when(F.col("difference_minor") != F.abs("processor_ledger_delta_minor"), "DIFFERENCE"),
-        F.when((F.col("status") == "MATCHED") & ((F.col("difference_minor") != 0) | (F.col("reason_codes") != "")), "MATCHED"),
-        F.when((F.col("status") == "EXCEPTION") & (F.col("reason_codes") == ""), "EXCEPTION"),
-        F.when(~F.col("currency").rlike("^[A-Z]{3}$"), "CURRENCY"),
-    ))
-    return rows.withColumn("faults", F.array_join(tests, "|")).where("faults <> ''").select("reconciliation_key", "faults")
+def verdict(rows: DataFrame, order: tuple[str, ...]) -> DataFrame:
+    """batch_status and reason_codes of a run: all reasons of all rows, in the policy's order."""
+    seen = rows.where("reason_codes <> ''").select(F.explode(F.split("reason_codes", r"\|")).alias("code")).distinct().agg(F.collect_set("code").alias("codes"))
+    listed = F.array_intersect(F.array(*map(F.lit, order)), "codes")
+    status = F.when(F.size(listed) > 0, "EXCEPTION").when(F.array_contains("codes", "TOLERATED_DIFFERENCE"), "WITHIN_TOLERANCE").otherwise("MATCHED")
+    codes = F.when((F.size(listed) == 0) & F.array_contains("codes", "TOLERATED_DIFFERENCE"), "TOLERATED_DIFFERENCE").otherwise(F.array_join(listed, "|"))
+    return seen.select(status.alias("batch_status"), codes.alias("reason_codes"))
+
+
+def repeated(rows: DataFrame, identity: tuple[str, ...]) -> DataFrame:
+    """Identities that a table holds more than once; comparisons refuse such tables."""
+    return rows.groupBy(*identity).agg(F.count("*").alias("n_rows")).where("n_rows > 1")
+
+
+def first_difference(expected: DataFrame, actual: DataFrame) -> list:
+    """One row in which two tables differ, or none."""
+    return differences(expected, actual).take(1)

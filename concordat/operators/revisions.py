@@ -2,28 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from concordat.functions.columns import derived_id
 
+OPEN, LATE, CORRECTED = "OPEN", "RESOLVED_BY_LATE_DATA", "RESOLVED_BY_CORRECTION"
 
-def merge_state(prior: DataFrame, observed: DataFrame, identity: tuple[str, ...], last_wins: bool) -> DataFrame:
-    """Stored and observed records by identity; for equal identities the last (or first) source wins."""
-    both = prior.withColumn("seq", F.lit(0)).unionByName(observed.withColumn("seq", F.lit(1)))
-    order = F.col("seq").desc() if last_wins else F.col("seq").asc()
-    return both.withColumn("at", F.row_number().over(Window.partitionBy(*identity).orderBy(order))).where("at = 1").drop("at", "seq")
 
+def proof_id(grain: Column | str, revision: Column | str, manifest: Column | str, policy: Column | str) -> Column:
+    return derived_id("prf:", {"grain": grain, "reconciliation_key": "reconciliation_key", "revision": revision, "manifest_sha256": manifest, "policy_sha256": policy})
 
-def missing_from(prior: DataFrame, current: DataFrame, identity: tuple[str, ...]) -> DataFrame:
-    """Prior records that are not contained in the current state."""
-    return prior.join(current.select(*identity), list(identity), "left_anti")
 
+def proofs(candidates: DataFrame, manifest: str, policy: str, grain: str, heads: DataFrame | None = None) -> DataFrame:
+    """reconciliation_key, revision, proof_id, prior_proof_id, status, reason_codes, difference_minor of a run's
+    candidates; each continues the key's head (revision, proof_id), if it has one."""
+    now = candidates.select("reconciliation_key", "status", "reason_codes", "difference_minor")
+    if heads is None:
+        now = now.withColumn("prior_proof_id", F.lit(None).cast("string")).withColumn("revision", F.lit(1))
+    else:
+        last = heads.select("reconciliation_key", F.col("proof_id").alias("prior_proof_id"), F.col("revision").alias("last"))
+        now = now.join(last, "reconciliation_key", "left").withColumn("revision", (F.coalesce("last", F.lit(0)) + 1).cast("int"))
+    ident = proof_id(F.lit(grain), F.col("revision"), F.lit(manifest), F.lit(policy))
+    named = now.withColumn("proof_id", ident)
+    return named.select("reconciliation_key", F.lit(grain).alias("grain"), "revision", "proof_id", "prior_proof_id", F.lit(manifest).alias("manifest_sha256"), F.lit(policy).alias("policy_sha256"), "status", "reason_codes", "difference_minor")
 
-def proofs(candidates: DataFrame, revision: int, manifest: str, policy: str, grain: str = "transaction") -> DataFrame:
-    """reconciliation_key, revision, proof_id, status, reason_codes of one run."""
-    named = {"grain": F.lit(grain), "reconciliation_key": "reconciliation_key", "revision": F.lit(revision), "manifest_sha256": F.lit(manifest), "policy_sha256": F.lit(policy)}
-    return candidates.select("reconciliation_key", F.lit(revision).alias("revision"), derived_id("prf:", named).alias("proof_id"), "status", "reason_codes")
+
+def proof_faults(now: DataFrame, before: DataFrame | None) -> DataFrame:
+    """Proofs whose id isn't derived from their fields, that don't continue the head before, or heads that vanished."""
+    wrong = F.col("proof_id") != proof_id("grain", "revision", "manifest_sha256", "policy_sha256")
+    names = ("reconciliation_key", "fault")
+    found = now.where(wrong).select("reconciliation_key", F.lit("PROOF_ID").alias("fault"))
+    if before is None:
+        return found.unionByName(now.where("revision <> 1 OR prior_proof_id IS NOT NULL").select("reconciliation_key", F.lit("FIRST_REVISION").alias("fault")))
+    last = before.select("reconciliation_key", F.col("proof_id").alias("last_id"), F.col("revision").alias("last"))
+    both = now.select("reconciliation_key", "revision", "prior_proof_id", "proof_id").join(last, "reconciliation_key", "full_outer")
+    fault = F.when(F.col("proof_id").isNull(), "VANISHED").when((F.col("revision") != F.coalesce("last", F.lit(0)) + 1) | ~F.col("prior_proof_id").eqNullSafe(F.col("last_id")), "BROKEN_CHAIN")
+    return found.unionByName(both.select("reconciliation_key", fault.alias("fault")).where("fault IS NOT NULL").select(*names))
 
 
 def chain(history: DataFrame) -> DataFrame:
@@ -37,16 +52,28 @@ def heads(history: DataFrame) -> DataFrame:
     return history.groupBy("reconciliation_key").agg(F.max_by(F.struct("revision", "proof_id", "status", "reason_codes"), "revision").alias("h")).select("reconciliation_key", "h.*")
 
 
-def cases(before: DataFrame, after: DataFrame, resolution: str = "RESOLVED_BY_LATE_DATA") -> DataFrame:
-    """Case of every key that is or was an exception: opened, still open or resolved (with its prior reasons)."""
-    b = before.where("status = 'EXCEPTION'").select("reconciliation_key", F.col("proof_id").alias("initial_proof_id"), F.col("reason_codes").alias("prior_reasons"))
-    a = after.select("reconciliation_key", F.col("status").alias("now"), F.col("proof_id").alias("now_id"), F.col("reason_codes").alias("now_reasons"))
-    rows = a.join(b, "reconciliation_key", "full_outer").where("initial_proof_id IS NOT NULL OR now = 'EXCEPTION'")
-    was = F.col("initial_proof_id").isNotNull()
-    still = F.coalesce(F.col("now") == "EXCEPTION", F.lit(True))
-    first = F.coalesce("initial_proof_id", "now_id")
-    return rows.select(
-        "reconciliation_key", derived_id("case:", {"grain": F.lit("transaction"), "reconciliation_key": "reconciliation_key", "initial_exception_proof_id": first}).alias("case_id"),
-        F.when(still, "OPEN").otherwise(resolution).alias("case_status"), F.when(was, 2).otherwise(1).alias("case_revision"),
-        F.when(still, F.coalesce("now_reasons", "prior_reasons")).otherwise(F.col("prior_reasons")).alias("reason_codes"),
+CASE = "reconciliation_key string, grain string, case_id string, initial_exception_proof_id string, case_revision int, case_status string, reason_codes string, proof_id string"
+
+
+def cases(now: DataFrame, before: DataFrame | None = None, corrected: DataFrame | None = None) -> DataFrame:
+    """Case heads after a run: a key's case opens with its first exception; each later run adds a revision,
+    open while the key is an exception, else resolved with the reasons it had. corrected: keys whose
+    correction was accepted."""
+    rows = now.select("reconciliation_key", "grain", "proof_id", "status", "reason_codes")
+    if before is None:
+        rows = rows.select("*", *(F.lit(None).cast(t).alias(c) for c, t in (("initial", "string"), ("last", "int"), ("reasons", "string"))))
+    else:
+        prior = before.select("reconciliation_key", F.col("initial_exception_proof_id").alias("initial"), F.col("case_revision").alias("last"), F.col("reason_codes").alias("reasons"))
+        rows = rows.join(prior, "reconciliation_key", "left")
+    mended = F.lit(False)
+    if corrected is not None:
+        rows = rows.join(corrected.select("reconciliation_key", F.lit(True).alias("mended")).distinct(), "reconciliation_key", "left")
+        mended = F.coalesce("mended", F.lit(False))
+    open_now = F.col("status") == "EXCEPTION"
+    kept = rows.where(F.col("initial").isNotNull() | open_now).withColumn("initial_exception_proof_id", F.coalesce("initial", "proof_id"))
+    ident = derived_id("case:", {c: c for c in ("grain", "reconciliation_key", "initial_exception_proof_id")})
+    return kept.select(
+        "reconciliation_key", "grain", ident.alias("case_id"), "initial_exception_proof_id", (F.coalesce("last", F.lit(0)) + 1).cast("int").alias("case_revision"),
+        F.when(open_now, OPEN).when(mended, CORRECTED).otherwise(LATE).alias("case_status"),
+        F.when(open_now, F.col("reason_codes")).otherwise(F.col("reasons")).alias("reason_codes"), "proof_id",
     )

@@ -1,7 +1,9 @@
 """Payment families derived from the star schema, written once as SQL text for Spark and DuckDB.
 
-``{div}`` is integer division and ``{month}`` the year and month of an order's date; everything else
-is common to both dialects. Faults (missing, wrong or repeated evidence) follow fixed moduli.
+``{div}`` is integer division, ``{month}`` the year and month of an order's date, ``{oday}`` and
+``{lday}`` the days of order and shipment since 1992, ``{sha}x{ahs}`` a SHA-256 in hex; everything else
+is common to both dialects. Faults (missing, wrong or repeated evidence) follow fixed moduli. Views
+named raw hold, besides the records, replays and faults of every kind that admission refuses.
 """
 
 from __future__ import annotations
@@ -12,21 +14,21 @@ from pyspark.sql import functions as F
 from concordat.sources.tables import table
 
 VIEWS: dict[str, str] = {
-    "v_customer": """SELECT c_custkey, CASE c_nationkey % 3 WHEN 0 THEN 'INR' WHEN 1 THEN 'JPY' ELSE 'USD' END AS currency,
+    "v_customer": """SELECT c_custkey, c_nationkey, CASE c_nationkey % 3 WHEN 0 THEN 'INR' WHEN 1 THEN 'JPY' ELSE 'USD' END AS currency,
         'm-' || CAST(c_nationkey AS STRING) AS merchant_id FROM customer""",
     "v_order": """SELECT o_orderkey, 'p-' || CAST(o_custkey % 2 AS STRING) AS processor, merchant_id, 'pay-' || CAST(o_orderkey AS STRING) AS payment_id,
-        currency, {month} AS cycle, CAST(ROUND(o_totalprice * 100) AS BIGINT) AS amount FROM orders JOIN v_customer ON o_custkey = c_custkey""",
+        currency, {month} AS cycle, {oday} AS day, CAST(ROUND(o_totalprice * 100) AS BIGINT) AS amount FROM orders JOIN v_customer ON o_custkey = c_custkey""",
     "v_movement": """SELECT 'cap-' || CAST(o_orderkey AS STRING) AS source_record_id, processor, merchant_id, payment_id, 'CAPTURE' AS event_type, amount AS amount_minor,
-        currency, CAST(NULL AS STRING) AS reference_event_id, cycle, o_orderkey AS k FROM v_order
+        currency, CAST(NULL AS STRING) AS reference_event_id, cycle, o_orderkey AS k, day FROM v_order
         UNION ALL SELECT 'neg-' || CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) || '-' || CAST(l_partkey AS STRING) || '-' || CAST(l_suppkey AS STRING) || '-' ||
         CAST(CAST(l_quantity AS BIGINT) AS STRING) || '-' || CAST(CAST(ROUND(l_extendedprice * 100) AS BIGINT) AS STRING), processor, merchant_id, payment_id,
         CASE WHEN l_returnflag = 'R' THEN 'REFUND' WHEN l_linestatus = 'F' THEN 'CHARGEBACK' ELSE 'REVERSAL' END, CAST(ROUND(l_extendedprice * 100) AS BIGINT), currency,
-        CASE WHEN (l_orderkey + l_linenumber + l_partkey) % 103 = 0 THEN 'cap-x' ELSE 'cap-' || CAST(l_orderkey AS STRING) END, cycle, l_orderkey + l_linenumber + l_partkey
+        CASE WHEN (l_orderkey + l_linenumber + l_partkey) % 103 = 0 THEN 'cap-x' ELSE 'cap-' || CAST(l_orderkey AS STRING) END, cycle, l_orderkey + l_linenumber + l_partkey, {lday}
         FROM lineitem JOIN v_order ON l_orderkey = o_orderkey WHERE l_returnflag IN ('R', 'A')""",
     "v_event": "SELECT * FROM v_movement WHERE k % 101 <> 0",
-    "v_journal": """SELECT 'jrn-' || source_record_id AS journal_id, processor, merchant_id, payment_id, event_type AS entry_type, currency,
+    "v_journal": """SELECT 'led' AS ledger_system, 'jrn-' || source_record_id AS journal_id, processor, merchant_id, payment_id, event_type AS entry_type, currency,
         amount_minor - CASE WHEN k % 89 = 0 THEN 1 ELSE 0 END AS amount_minor, CASE WHEN event_type = 'CAPTURE' THEN 'DEBIT' ELSE 'CREDIT' END AS clearing_side,
-        CASE WHEN k % 83 = 0 THEN 'BANK_CASH' ELSE 'MERCHANT_PAYABLE' END AS counter_role, k FROM v_movement WHERE k % 97 <> 0""",
+        CASE WHEN k % 83 = 0 THEN 'BANK_CASH' ELSE 'MERCHANT_PAYABLE' END AS counter_role, k, day + CAST(k % 40 AS INT) AS day FROM v_movement WHERE k % 97 <> 0""",
     "v_sum": """SELECT processor, merchant_id, cycle, currency, CAST(SUM(CASE WHEN event_type = 'CAPTURE' THEN amount_minor ELSE 0 END) AS BIGINT) AS gross_minor,
         CAST(SUM(CASE WHEN event_type = 'REFUND' THEN amount_minor ELSE 0 END) AS BIGINT) AS refund_minor,
         CAST(SUM(CASE WHEN event_type IN ('CHARGEBACK', 'REVERSAL') THEN amount_minor ELSE 0 END) AS BIGINT) AS chargeback_minor
@@ -35,35 +37,57 @@ VIEWS: dict[str, str] = {
         gross_minor - gross_minor {div} 100 - refund_minor - chargeback_minor - gross_minor {div} 200 AS net_minor FROM v_sum""",
     "v_settlement": """SELECT 'rec-' || settlement_id AS source_record_id, processor, merchant_id, settlement_id, cycle AS settlement_cycle, currency, gross_minor, fee_minor, refund_minor,
         chargeback_minor, reserve_minor, net_minor + CASE WHEN gross_minor % 53 = 0 THEN 1 ELSE 0 END AS reported_net_minor FROM v_net WHERE gross_minor % 59 <> 0""",
-    "v_set_journal": """SELECT 'jrn-' || settlement_id AS journal_id, processor, merchant_id, settlement_id, cycle AS settlement_cycle,
+    "v_set_journal": """SELECT 'led' AS ledger_system, 'jrn-' || settlement_id AS journal_id, processor, merchant_id, settlement_id, cycle AS settlement_cycle,
         CASE gross_minor % 3 WHEN 0 THEN 'SETTLEMENT' WHEN 1 THEN 'FEE' ELSE 'RESERVE' END AS entry_type, currency,
         ABS(net_minor) + CASE WHEN gross_minor % 43 = 0 THEN 1 ELSE 0 END + CASE WHEN gross_minor % 13 = 0 THEN 1 ELSE 0 END AS amount_minor, CASE WHEN net_minor > 0 THEN 'CREDIT' ELSE 'DEBIT' END AS clearing_side,
         CASE WHEN gross_minor % 47 = 0 THEN 'PROCESSOR_FEES' ELSE 'BANK_CASH' END AS counter_role FROM v_net WHERE net_minor <> 0 AND gross_minor % 41 <> 0""",
-    "v_bank": """SELECT 'bk-' || settlement_id || '-' || CAST(part AS STRING) AS bank_record_id, CASE WHEN gross_minor % 29 = 0 THEN 'bank-other' ELSE 'bank-' || merchant_id || '-' || currency END AS bank_account_id,
+    "v_bank": """SELECT 'bk-' || settlement_id || '-' || CAST(part AS STRING) AS bank_record_id, CASE WHEN gross_minor % 29 = 0 THEN 'bank-other' WHEN gross_minor % 3 = 0 THEN 'acct-' || merchant_id ELSE 'bank-' || merchant_id || '-' || currency END AS bank_account_id,
         merchant_id, CASE WHEN gross_minor % 31 = 0 THEN NULL WHEN gross_minor % 37 = 0 THEN 'x-' || settlement_id WHEN gross_minor % 5 = 0 THEN '  ' || settlement_id || ' ' ELSE settlement_id END AS settlement_reference,
         CASE WHEN net_minor > 0 THEN 'CREDIT' ELSE 'DEBIT' END AS direction, currency,
         CASE WHEN gross_minor % 10 <> 0 THEN ABS(net_minor) WHEN part = 1 THEN ABS(net_minor) {div} 2 ELSE ABS(net_minor) - ABS(net_minor) {div} 2 END AS amount_minor
         FROM v_net, (SELECT 1 AS part, 0 AS again UNION ALL SELECT 2, 0 UNION ALL SELECT 1, 1) parts
         WHERE net_minor <> 0 AND (part = 1 OR gross_minor % 10 = 0) AND (again = 0 OR gross_minor % 23 = 0)""",
+    "v_account": """SELECT DISTINCT merchant_id, currency, 'bank-' || merchant_id || '-' || currency AS bank_account_id FROM v_customer WHERE c_nationkey % 11 <> 0
+        UNION ALL SELECT DISTINCT merchant_id, currency, 'acct-' || merchant_id FROM v_customer""",
+    "v_record": """SELECT '2.0' AS schema_version, source_record_id, 'b-' || CAST(k % 7 AS STRING) AS source_batch_id, CASE WHEN k % 307 = 0 THEN processor || ' ' ELSE processor END AS processor, merchant_id, payment_id,
+        CASE WHEN k % 311 = 0 THEN 'VOID' ELSE event_type END AS event_type, CASE WHEN k % 313 = 0 THEN -amount_minor ELSE amount_minor END AS amount_minor,
+        CASE WHEN k % 317 = 0 THEN 'EUR' ELSE currency END AS currency, CASE WHEN k % 331 = 0 THEN '2020-13-01T00:00:00Z' ELSE '2020-01-01T00:00:00Z' END AS occurred_at,
+        CASE WHEN k % 337 = 0 THEN NULL ELSE '2020-01-01T00:00:00.5+00:00' END AS received_at, CASE WHEN k % 347 = 0 THEN 'cap-q' WHEN k % 349 = 0 THEN NULL ELSE reference_event_id END AS reference_event_id, k FROM v_movement""",
+    "v_raw_record": """SELECT *, {sha}'{{"amount_minor":' || CAST(amount_minor + CASE WHEN k % 353 = 0 THEN 1 ELSE 0 END AS STRING) || ',"currency":"' || currency || '","event_type":"' || event_type || '","merchant_id":"' || merchant_id ||
+        '","occurred_at":"' || occurred_at || '","payment_id":"' || payment_id || '","processor":"' || processor || COALESCE('","reference_event_id":"' || reference_event_id, '') ||
+        '","schema_version":"2.0","source_record_id":"' || source_record_id || '"}}'{ahs} AS payload_sha256 FROM v_record""",
+    "v_raw_event": """SELECT e.*, {sha}CAST(amount_minor AS STRING) || currency{ahs} AS payload_sha256, k * 10 + part AS line FROM (
+        SELECT source_record_id, processor, merchant_id, payment_id, event_type, amount_minor + CASE WHEN part = 2 THEN 1 ELSE 0 END AS amount_minor,
+        CASE WHEN part = 3 THEN 'EUR' ELSE currency END AS currency, reference_event_id, cycle, k, day, part
+        FROM v_movement, (SELECT 0 AS part UNION ALL SELECT 1 UNION ALL SELECT 2 UNION ALL SELECT 3) parts
+        WHERE part = 0 OR (part = 1 AND k % 17 = 0) OR (part = 2 AND k % 401 = 0) OR (part = 3 AND k % 409 = 0)) e""",
+    "v_raw_posting": """SELECT journal_id, CASE WHEN side = 1 OR k % 67 = 0 THEN 'l1' ELSE 'l2' END AS line_id, CASE WHEN side = 1 THEN 'PROCESSOR_CLEARING' ELSE counter_role END AS account_role,
+        CASE WHEN k % 73 = 0 AND side = 2 THEN 'LEFT' WHEN (clearing_side = 'DEBIT') = (side = 1) THEN 'DEBIT' ELSE 'CREDIT' END AS side,
+        CASE WHEN k % 71 = 0 THEN CAST(0 AS BIGINT) WHEN k % 79 = 0 AND side = 2 THEN amount_minor + 1 ELSE amount_minor END AS amount_minor
+        FROM v_journal, (SELECT 1 AS side UNION ALL SELECT 2) sides WHERE side = 1 OR k % 61 <> 0""",
+    "v_raw_target": "SELECT processor, merchant_id, 'set-' || merchant_id || '-' || cycle AS settlement_id, cycle AS settlement_cycle, currency FROM v_net WHERE gross_minor % 2 = 0",
 }
 DIALECTS = {
-    "spark": {"div": "DIV", "month": "date_format(o_orderdate, 'yyyy-MM')"},
-    "duckdb": {"div": "//", "month": "strftime(o_orderdate, '%Y-%m')"},
+    "spark": {"div": "DIV", "month": "date_format(o_orderdate, 'yyyy-MM')", "oday": "datediff(o_orderdate, DATE'1992-01-01')", "lday": "datediff(l_shipdate, DATE'1992-01-01')", "sha": "sha2(", "ahs": ", 256)"},
+    "duckdb": {"div": "//", "month": "strftime(o_orderdate, '%Y-%m')", "oday": "CAST(datediff('day', DATE '1992-01-01', o_orderdate) AS INTEGER)", "lday": "CAST(datediff('day', DATE '1992-01-01', l_shipdate) AS INTEGER)", "sha": "sha256(", "ahs": ")"},
 }
 NEEDS = ("customer", "orders", "lineitem")
+#: A first bundle holds what was shipped, ordered or posted before this day.
+FIRST_DAYS = 2000
 
 
 def duckdb_prefix() -> str:
-    """WITH clause of all views for DuckDB."""
+    """WITH clause of all views for DuckDB; those that several others read are computed once."""
     views = {k: v.format(**DIALECTS["duckdb"]).replace("AS STRING", "AS VARCHAR") for k, v in VIEWS.items()}
-    return "WITH " + ",\n".join(f"{k} AS ({v})" for k, v in views.items())
+    return "WITH " + ",\n".join(f"{k} AS {'MATERIALIZED ' if k in ('v_movement', 'v_event', 'v_net') else ''}({v})" for k, v in views.items())
 
 
 def _view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     frames = {t: table(spark, sf_dir, t) for t in NEEDS}
     text = "WITH " + ", ".join(f"{t} AS (SELECT * FROM {{{t}}})" for t in NEEDS)
     for k, v in VIEWS.items():
-        text += f", {k} AS ({v.format(**DIALECTS['spark'])})"
+        own = v.format(**DIALECTS["spark"]).replace("{", "{{").replace("}", "}}")
+        text += f", {k} AS ({own})"
         if k == name:
             break
     return spark.sql(f"{text} SELECT * FROM {name}", **frames)
@@ -77,6 +101,21 @@ def _postings(df: DataFrame) -> DataFrame:
     return df.withColumn("postings", rows).drop("clearing_side", "counter_role", "amount_minor")
 
 
+def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A view with planted faults, by its name after v_raw_."""
+    return _view(spark, sf_dir, f"v_raw_{name}")
+
+
+def raw_journals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Journals with faulty postings; a journal has two at most."""
+    line = F.struct("line_id", "account_role", "side", "amount_minor")
+    return raw(spark, sf_dir, "posting").groupBy("journal_id").agg(F.collect_list(line).alias("postings"))
+
+
+def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _view(spark, sf_dir, "v_account")
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _view(spark, sf_dir, "v_event")
 

@@ -17,7 +17,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concordat.operators.admission import VIOLATION, admit, violations
+from concordat.operators.admission import VIOLATION, admit, admitted, violations
+from concordat.operators.policy import Policy, check_manifest
 
 # Families, their formats and their fields in file order.
 _POSTINGS = "array<struct<line_id:string,account_role:string,side:string,amount_minor:bigint>>"
@@ -150,12 +151,15 @@ def object_violations(spark: SparkSession, declared: Iterable[Mapping[str, Any]]
     return violations(wrong, loose.select(F.lit(SCHEMA).alias("rule"), "family", F.col("path").alias("identity"), "detail"))
 
 
-def admit_bundle(spark: SparkSession, manifest: Mapping[str, Any], root: str | Path) -> dict[str, DataFrame]:
-    """The families of a manifest, after every object proved to be what the manifest says.
+def admit_bundle(spark: SparkSession, manifest: Mapping[str, Any], root: str | Path, policy: Policy, known_runs: Mapping[str, str] | None = None) -> dict[str, DataFrame]:
+    """The families of a manifest, after the manifest, every object and every record passed.
 
-    Refused: repeated locators, families that are missing or unknown, objects that differ in size, digest,
-    record count or framing, and JSON that isn't strict. Nothing is returned or written before that.
+    Refused: a manifest that isn't what it says or names another policy, repeated locators, families
+    that are missing or unknown, objects that differ in size, digest, record count or framing, JSON
+    that isn't strict, and all that ``admission.gates`` finds. Replays are dropped. Nothing is
+    returned or written before that.
     """
+    check_manifest(manifest, policy, known_runs)
     objects = list(manifest.get("objects", ()))
     names = [locator(o) for o in objects]
     if len(set(names)) < len(names):
@@ -164,4 +168,4 @@ def admit_bundle(spark: SparkSession, manifest: Mapping[str, Any], root: str | P
         raise ValueError(f"{SCHEMA}: families must be {sorted(FAMILIES)}")
     placed = [dict(o) | {"path": confined(root, o["relative_path"]) if o["locator_type"] == "LOCAL_FILE" else o["s3_uri"]} for o in objects]
     admit(object_violations(spark, placed))
-    return {f: read_family(spark, [o["path"] for o in placed if o["family"] == f], f) for f in FAMILIES}
+    return admitted({f: read_family(spark, [o["path"] for o in placed if o["family"] == f], f) for f in FAMILIES}, policy)

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from concordat.operators.compare import fingerprint
+from concordat.operators.revisions import proof_faults
 
 MANIFEST, COMPLETED = "candidate-manifest.json", "COMPLETED.json"
 
@@ -136,15 +137,45 @@ def open_bundle(spark: SparkSession, destination: str, manifest_sha256: str | No
     return {t: spark.read.parquet(f"{files.root}/{t}") for t in manifest["tables"]}
 
 
-def write_shards(df: DataFrame, destination: str, form: str, rows_per_shard: int) -> list[dict[str, Any]]:
-    """df as JSON Lines or CSV files of at most so many rows; returns their inventory."""
-    writer = df.write.mode("errorifexists").option("maxRecordsPerFile", rows_per_shard).option("lineSep", "\n")
+def write_shards(df: DataFrame, destination: str, form: str, rows_per_shard: int, order: tuple[str, ...]) -> list[dict[str, Any]]:
+    """df in that order as JSON Lines or CSV files of at most so many rows; returns their inventory with
+    each file's first and last index (from 0) in the whole.
+
+    Rows are ordered by ranges, and a file's rows follow one another in its range, so indices come
+    from the files' own line counts.
+    """
+    spark = df.sparkSession
+    writer = df.orderBy(*order).write.mode("errorifexists").option("maxRecordsPerFile", rows_per_shard).option("lineSep", "\n")
+    header = 0 if form == "json" else 1
     if form == "json":
         writer.json(destination)
     else:
         writer.options(header="true", quote='"', escape='"', emptyValue="").csv(destination)
-    files = Files(df.sparkSession, destination)
-    return inventory(df.sparkSession, files.root)
+    root = Files(spark, destination).root
+    inside = F.regexp_replace(F.regexp_replace(F.col("_metadata.file_path"), "^[a-z0-9]+:/+", "/"), "^" + _plain(root) + "/", "")
+    lines = {r.path: r.n - header for r in spark.read.options(lineSep="\n").text(root).groupBy(inside.alias("path")).agg(F.count("*").alias("n")).collect()}
+    at, out = 0, []
+    for item in inventory(spark, root):
+        n = lines.get(item["path"], 0)
+        out.append(item | {"first_index": at, "last_index": at + n - 1})
+        at += n
+    return out
+
+
+def write_registered(spark: SparkSession, df: DataFrame, root: str, run_id: str, attempt_id: str) -> str:
+    """Add one attempt's rows to a table partitioned by run and attempt; each partition is written once."""
+    place = f"run_id={run_id}/attempt_id={attempt_id}"
+    files = Files(spark, root)
+    if files.exists(place):
+        raise FileExistsError(f"{root}/{place}")
+    df.write.mode("errorifexists").parquet(f"{files.root}/{place}")
+    return f"{files.root}/{place}"
+
+
+def read_registered(spark: SparkSession, root: str, run_id: str, attempt_id: str, schema: str | None = None) -> DataFrame:
+    """One attempt's rows; the filter reaches the scan, which lists only that partition."""
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(root).where((F.col("run_id") == run_id) & (F.col("attempt_id") == attempt_id))
 
 
 class History:
@@ -187,7 +218,7 @@ class History:
         manifest = self.files.read(f"{bundle}/{MANIFEST}")
         if json.loads(manifest)["run"] != dict(run):
             raise ValueError(f"attempt {attempt_id} wrote a bundle of another run")
-        entry = {"number": len(known) + 1, "parent_sha256": expected_head, "attempt_id": attempt_id, "bundle": bundle, "manifest_sha256": hashlib.sha256(manifest).hexdigest()}
+        entry = {"number": len(known) + 1, "parent_sha256": expected_head, "attempt_id": attempt_id, "bundle": bundle, "run": dict(run), "manifest_sha256": hashlib.sha256(manifest).hexdigest()}
         raw = canonical_bytes(entry)
         return entry | {"sha256": self.files.put(f"log/{entry['number']:09d}.json", raw)}
 
@@ -198,9 +229,19 @@ class History:
             raise ValueError("the log is empty")
         return open_bundle(self.spark, f"{self.files.root}/{found[-1]['bundle']}", found[-1]["manifest_sha256"])
 
+    def runs(self) -> dict[str, str]:
+        """Manifest digests by run id of all entries."""
+        return {e["run"]["run_id"]: e["run"]["manifest_sha256"] for e in self.entries() if "manifest_sha256" in e.get("run", {})}
+
     def verify(self) -> int:
-        """Check every entry and every bundle's files; returns the number of entries."""
-        found = self.entries()
+        """Check every entry, every bundle's files, and that each bundle's proofs are derived from
+        their fields and continue the ones before; returns the number of entries."""
+        found, before = self.entries(), None
         for e in found:
-            open_bundle(self.spark, f"{self.files.root}/{e['bundle']}", e["manifest_sha256"])
+            tables = open_bundle(self.spark, f"{self.files.root}/{e['bundle']}", e["manifest_sha256"])
+            if "proofs" in tables:
+                wrong = proof_faults(tables["proofs"], before).take(1)
+                if wrong:
+                    raise ValueError(f"{e['bundle']}: {wrong[0].fault} of {wrong[0].reconciliation_key}")
+                before = tables["proofs"]
         return len(found)

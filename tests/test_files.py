@@ -1,42 +1,29 @@
 """Source objects, bundles, the log and the command line."""
 
-import hashlib
 import json
 
 import pytest
 
 from concordat.__main__ import main
+from concordat.operators.policy import read_policy
 from concordat.sources import files, publication
+from tests import records
 
-EVENT = {"schema_version": "1.0", "source_record_id": "e1", "source_batch_id": "b", "processor": "p", "merchant_id": "m", "payment_id": "pay", "event_type": "CAPTURE", "amount_minor": 100,
-         "currency": "INR", "occurred_at": "2026-09-01T00:00:00Z", "received_at": "2026-09-01T00:00:00Z", "reference_event_id": None, "payload_sha256": "0"}
-JOURNAL = {"schema_version": "1.0", "journal_id": "j1", "source_batch_id": "b", "ledger_system": "l", "processor": "p", "merchant_id": "m", "payment_id": "pay", "settlement_id": None, "settlement_cycle": None,
-           "entry_type": "CAPTURE", "currency": "INR", "effective_at": "2026-09-01T00:00:00Z", "received_at": "2026-09-01T00:00:00Z", "payload_sha256": "0",
-           "postings": [{"line_id": "l1", "account_role": "PROCESSOR_CLEARING", "side": "DEBIT", "amount_minor": 100}, {"line_id": "l2", "account_role": "MERCHANT_PAYABLE", "side": "CREDIT", "amount_minor": 100}]}
+POLICY = records.policy()
+RULES = read_policy(POLICY)
+EVENT = records.event()
 
 
-def header(family):
-    return ",".join(c.split()[0] for c in files.FAMILIES[family][1].split(",")) + "\n"
+def bundle(folder, **texts):
+    return records.bundle(folder, POLICY, [EVENT], [records.journal()], [records.settlement()], [records.bank("k,1", reference=None)], texts=texts)
 
 
-def bundle(folder, **changed):
-    texts = {
-        "PROCESSOR_EVENTS": json.dumps(EVENT) + "\n",
-        "LEDGER_JOURNALS": json.dumps(JOURNAL) + "\n",
-        "PROCESSOR_SETTLEMENTS": header("PROCESSOR_SETTLEMENTS") + "1.0,s1,b,p,m,set,2026-09,INR,100,1,0,0,0,99,t,t,0\n",
-        "BANK_ENTRIES": header("BANK_ENTRIES") + '1.0,"k,1",b,acc,m,,CREDIT,99,INR,t,t,0\n',
-    } | changed
-    objects = []
-    for family, text in texts.items():
-        raw = text if isinstance(text, bytes) else text.encode()
-        (folder / family).write_bytes(raw)
-        n = raw.count(b"\n") - (files.FAMILIES[family][0] == "csv")
-        objects.append({"family": family, "locator_type": "LOCAL_FILE", "relative_path": family, "size_bytes": len(raw), "sha256": hashlib.sha256(raw).hexdigest(), "record_count": 0 if raw == b"\n" else n})
-    return {"run_id": "r1", "objects": objects}
+def admit(spark, folder, **texts):
+    return files.admit_bundle(spark, bundle(folder, **texts), folder, RULES)
 
 
 def test_families_are_read(spark, tmp_path):
-    found = files.admit_bundle(spark, bundle(tmp_path), tmp_path)
+    found = admit(spark, tmp_path)
     assert {f: d.count() for f, d in found.items()} == dict.fromkeys(files.FAMILIES, 1)
     row = found["BANK_ENTRIES"].first()
     assert (row.bank_record_id, row.settlement_reference, row.amount_minor) == ("k,1", None, 99)
@@ -44,7 +31,7 @@ def test_families_are_read(spark, tmp_path):
 
 
 def test_object_without_records(spark, tmp_path):
-    found = files.admit_bundle(spark, bundle(tmp_path, PROCESSOR_EVENTS="\n"), tmp_path)
+    found = admit(spark, tmp_path, PROCESSOR_EVENTS="\n")
     assert found["PROCESSOR_EVENTS"].where("source_record_id IS NOT NULL").count() == 0
 
 
@@ -62,15 +49,17 @@ def test_object_without_records(spark, tmp_path):
 ])
 def test_bad_lines_are_refused(spark, tmp_path, text, detail):
     with pytest.raises(ValueError, match=detail):
-        files.admit_bundle(spark, bundle(tmp_path, PROCESSOR_EVENTS=text), tmp_path)
+        admit(spark, tmp_path, PROCESSOR_EVENTS=text)
 
 
 @pytest.mark.parametrize(("field", "value", "detail"), [("size_bytes", 3, "size"), ("sha256", "0" * 64, "digest"), ("record_count", 2, "record count")])
 def test_identity_is_checked(spark, tmp_path, field, value, detail):
     manifest = bundle(tmp_path)
     manifest["objects"][0][field] = value
+    with pytest.raises(ValueError, match="manifest digest"):
+        files.admit_bundle(spark, manifest, tmp_path, RULES)
     with pytest.raises(ValueError, match=detail):
-        files.admit_bundle(spark, manifest, tmp_path)
+        files.admit_bundle(spark, records.bound({k: v for k, v in manifest.items() if k != "manifest_sha256"}), tmp_path, RULES)
 
 
 def test_composed_and_decomposed_names_collide():
@@ -119,16 +108,35 @@ def test_log(spark, tmp_path):
 
 
 def test_shards(spark, tmp_path):
-    listed = publication.write_shards(spark.range(10).coalesce(1), str(tmp_path / "s"), "json", 4)
-    assert len(listed) == 3 and all(f["size_bytes"] > 0 for f in listed)
+    listed = publication.write_shards(spark.range(10), str(tmp_path / "s"), "json", 4, ("id",))
+    assert [(f["first_index"], f["last_index"]) for f in listed][-1][1] == 9 and all(f["size_bytes"] > 0 for f in listed)
+    for f in listed:
+        ids = [json.loads(x)["id"] for x in (tmp_path / "s" / f["path"]).read_text().splitlines()]
+        assert ids == list(range(f["first_index"], f["last_index"] + 1)) and len(ids) <= 4
+    assert [f["last_index"] for f in publication.write_shards(spark.range(5).coalesce(1), str(tmp_path / "c"), "csv", 2, ("id",))][-1] == 4
+
+
+def test_registered_attempts_are_pruned(spark, tmp_path):
+    root = str(tmp_path / "t")
+    for attempt in ("a1", "a2"):
+        publication.write_registered(spark, spark.range(3), root, "r1", attempt)
+    with pytest.raises(FileExistsError):
+        publication.write_registered(spark, spark.range(3), root, "r1", "a1")
+    rows = publication.read_registered(spark, root, "r1", "a2")
+    assert rows.count() == 3
+    assert "PartitionFilters: [isnotnull(run_id" in rows._jdf.queryExecution().toString()
 
 
 def test_command_line(spark, tmp_path, capsys):
     (tmp_path / "m.json").write_text(json.dumps(bundle(tmp_path)))
-    at = [str(tmp_path / "m.json"), str(tmp_path)]
+    (tmp_path / "policy.json").write_text(json.dumps(POLICY))
+    at = [str(tmp_path / "m.json"), str(tmp_path), str(tmp_path / "policy.json")]
     assert main(["admit", *at], spark) == 0
     assert main(["reconcile-transaction", *at, str(tmp_path / "txn")], spark) == 0
-    assert publication.open_bundle(spark, str(tmp_path / "txn"))["transactions"].first().status == "MATCHED"
+    row = publication.open_bundle(spark, str(tmp_path / "txn"))["transactions"].first()
+    assert (row.status, row.authoritative_proof) == ("MATCHED", False)
+    assert row.source_identities == [["LEDGER_JOURNAL", "led", "j1"], ["PROCESSOR_EVENT", "p", "e1"]]
+    assert main(["finalize", *at, str(tmp_path / "log"), "--attempt", "a1"], spark) == 0
     assert main(["finalize", *at, str(tmp_path / "log"), "--attempt", "a1"], spark) == 0
     assert main(["verify", str(tmp_path / "log")], spark) == 0
     assert '"entries": 1' in capsys.readouterr().out

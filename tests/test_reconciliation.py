@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from concordat.functions.columns import derived_id, outer_trim
-from concordat.operators import admission, compare, revisions, settlements, transactions
+from concordat.operators import admission, compare, policy, revisions, settlements, transactions
 
 EVENT = "source_record_id string, processor string, merchant_id string, payment_id string, event_type string, amount_minor long, currency string, reference_event_id string"
 JOURNAL = "journal_id string, processor string, merchant_id string, payment_id string, entry_type string, currency string, postings array<struct<line_id:string,account_role:string,side:string,amount_minor:long>>"
@@ -25,6 +25,10 @@ def journal(i, kind="CAPTURE", amount=100, role="MERCHANT_PAYABLE", side=None, p
     return (i, "p", "m", payment, kind, "INR", postings(side or ("DEBIT" if kind == "CAPTURE" else "CREDIT"), amount, role))
 
 
+def limits(transaction=None, settlement=None):
+    return policy.Policy("v1", "x", transaction or policy.DEFAULT.transaction_tolerance, settlement or policy.DEFAULT.settlement_tolerance)
+
+
 def run(spark, events, journals, **kw):
     rows = transactions.reconcile(spark.createDataFrame(events, EVENT), spark.createDataFrame(journals, JOURNAL), **kw).collect()
     return {r.event_class: (r.status, r.reason_codes, r.processor_minor, r.ledger_minor) for r in rows}
@@ -59,17 +63,19 @@ def test_transaction_cases(spark, events, journals, kind, expected):
 
 
 def test_tolerance_and_missing_policy(spark):
-    assert run(spark, [event("c")], [journal("j", amount=99)], limits={"INR": 1})["CAPTURE"][:2] == ("WITHIN_TOLERANCE", "TOLERATED_DIFFERENCE")
+    assert run(spark, [event("c")], [journal("j", amount=99)], policy=limits({"INR": 1}))["CAPTURE"][:2] == ("WITHIN_TOLERANCE", "TOLERATED_DIFFERENCE")
     with pytest.raises(Exception, match="POLICY_MISMATCH"):
-        run(spark, [event("c")], [journal("j", amount=99)], limits={"USD": 1})
+        run(spark, [event("c")], [journal("j", amount=99)], policy=limits({"USD": 1}))
 
 
 def test_settlement_cases(spark):
-    def three(gross, fee, refund, reported, ledger, side, bank, limits=None):
+    permitted = spark.createDataFrame([("m", "INR", "bank-m-INR")], policy.ACCOUNTS)
+
+    def three(gross, fee, refund, reported, ledger, side, bank):
         s = spark.createDataFrame([("r", "p", "m", "s", "c", "INR", gross, fee, refund, 0, 0, reported)], SETTLEMENT)
         j = spark.createDataFrame([("j", "p", "m", "s", "c", "INR", postings(side, ledger, "BANK_CASH"))] if ledger else [], SET_JOURNAL)
         b = spark.createDataFrame(bank, BANK)
-        r = settlements.reconcile(s, j, b, limits).first()
+        r = settlements.reconcile(s, j, settlements.allocate(b, settlements.targets(s, j), permitted)).first()
         return r.status, r.reason_codes
 
     entry = lambda i, amount, ref="s", account="bank-m-INR", direction="CREDIT": (i, account, "m", ref, direction, "INR", amount)
@@ -86,7 +92,7 @@ def test_settlement_cases(spark):
 def test_allocation_dispositions(spark):
     targets = spark.createDataFrame([("p", "m", "s", "c", "INR")], "processor string, merchant_id string, settlement_id string, settlement_cycle string, currency string")
     rows = [("1", "a", "m", None, "CREDIT", "INR", 5), ("2", "a", "m", " ", "DEBIT", "INR", 5), ("3", "a", "m", "x", "CREDIT", "INR", 5), ("4", "bank-m-INR", "m", " s\t", "CREDIT", "INR", 5)]
-    got = {r.bank_record_id: (r.disposition, r.signed_minor) for r in settlements.allocate(spark.createDataFrame(rows, BANK), targets).collect()}
+    got = {r.bank_record_id: (r.disposition, r.signed_minor) for r in settlements.allocate(spark.createDataFrame(rows, BANK), targets, spark.createDataFrame([("m", "INR", "bank-m-INR")], policy.ACCOUNTS)).collect()}
     assert got == {"1": ("UNALLOCATED_MISSING_REFERENCE", 5), "2": ("UNALLOCATED_MISSING_REFERENCE", -5), "3": ("UNALLOCATED_UNKNOWN_REFERENCE", 5), "4": ("ALLOCATED", 5)}
 
 
@@ -105,11 +111,16 @@ def test_overflow_is_rejected(spark):
 
 
 def test_case_resolution_keeps_prior_reasons(spark):
-    schema = "reconciliation_key string, status string, reason_codes string"
-    before = revisions.proofs(spark.createDataFrame([("k", "EXCEPTION", "MISSING_LEDGER_MOVEMENT"), ("o", "MATCHED", "")], schema), 1, "m", "p")
-    after = revisions.proofs(spark.createDataFrame([("k", "MATCHED", ""), ("o", "EXCEPTION", "X")], schema), 2, "m", "p")
-    got = {r.reconciliation_key: (r.case_status, r.reason_codes, r.case_revision) for r in revisions.cases(before, after).collect()}
+    schema = "reconciliation_key string, status string, reason_codes string, difference_minor long"
+    first = revisions.proofs(spark.createDataFrame([("k", "EXCEPTION", "MISSING_LEDGER_MOVEMENT", 5), ("o", "MATCHED", "", 0)], schema), "m1", "p", "TRANSACTION")
+    second = revisions.proofs(spark.createDataFrame([("k", "MATCHED", "", 0), ("o", "EXCEPTION", "X", 1)], schema), "m2", "p", "TRANSACTION", first)
+    opened = revisions.cases(first)
+    third = revisions.cases(revisions.proofs(spark.createDataFrame([("k", "MATCHED", "", 0), ("o", "MATCHED", "", 0)], schema), "m3", "p", "TRANSACTION", second), revisions.cases(second, opened), second.where("reconciliation_key = 'o'"))
+    got = {r.reconciliation_key: (r.case_status, r.reason_codes, r.case_revision) for r in revisions.cases(second, opened).collect()}
     assert got == {"k": ("RESOLVED_BY_LATE_DATA", "MISSING_LEDGER_MOVEMENT", 2), "o": ("OPEN", "X", 1)}
+    assert {r.reconciliation_key: (r.case_status, r.case_revision) for r in third.collect()} == {"k": ("RESOLVED_BY_LATE_DATA", 3), "o": ("RESOLVED_BY_CORRECTION", 2)}
+    assert revisions.proof_faults(first, None).isEmpty() and revisions.proof_faults(second, first).isEmpty()
+    assert {r.fault for r in revisions.proof_faults(second.where("reconciliation_key = 'k'").withColumn("revision", F.lit(7)), first).collect()} == {"PROOF_ID", "BROKEN_CHAIN", "VANISHED"}
 
 
 def test_fingerprint_ignores_order_and_partitions(spark):
