@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,10 +12,14 @@ _own: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where it is unset (tests), a temporary one of this process."""
+    """The folder in spark.checkpoint.dir. Where it is unset, a temporary one of this process, which
+    only a local master can share with its executors; other masters are refused."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[[^]]*\])?", master):
+        raise RuntimeError(f"spark.checkpoint.dir is unset and {master} shares no local folder")
     app = spark.sparkContext.applicationId
     if app not in _own:
         _own[app] = "file://" + tempfile.mkdtemp(prefix="concordat-")
@@ -28,14 +33,26 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet into the shared folder and read it back: lineage ends there and every
     executor sees the files, so a lost executor costs only its running tasks."""
-    spark = df.sparkSession
-    path = fresh_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return Steps(df.sparkSession).save(df, name)
 
 
-def forget(spark: SparkSession, df: DataFrame) -> None:
-    """Delete the files of a materialised step that nothing reads any more."""
-    for file in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(file)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+class Steps:
+    """The materialised steps of one computation, deleted as soon as nothing reads them any more."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self._saved: dict[int, tuple[DataFrame, str]] = {}
+
+    def save(self, df: DataFrame, name: str) -> DataFrame:
+        path = fresh_path(self.spark, name)
+        df.write.parquet(path)
+        saved = self.spark.read.schema(df.schema).parquet(path)
+        self._saved[id(saved)] = saved, path
+        return saved
+
+    def drop(self, *frames: DataFrame) -> None:
+        """Delete the files of saved frames; frames that were not saved here are left alone."""
+        for df in frames:
+            if own := self._saved.pop(id(df), None):
+                place = self.spark._jvm.org.apache.hadoop.fs.Path(own[1])
+                place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from concordat.llm.common import materialize
+from concordat.llm.common import Steps
 
 MOST_ROUNDS = 40
 
@@ -36,12 +36,20 @@ def _settled(edges: DataFrame) -> bool:
     return counts.where((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))).isEmpty()
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, component) for every node of the edges (columns a, b); component: its smallest node."""
-    now = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
-    now = materialize(now, "edges")
+def components(edges: DataFrame, steps: Steps) -> DataFrame:
+    """(node, component) for every node of the edges (columns a, b); component: its smallest node.
+
+    Edges with a null end are left out. The result is a step of its own; those before it are dropped.
+    """
+    now = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a IS NOT NULL AND b IS NOT NULL AND a <> b").distinct()
+    now = steps.save(now, "edges")
     for _ in range(MOST_ROUNDS):
         if _settled(now):
-            return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
-        now = materialize(_star(_star(now, large=True), large=False), "edges")
+            roots = now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
+            labels = steps.save(now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots), "labels")
+            steps.drop(now)
+            return labels
+        later = steps.save(_star(_star(now, large=True), large=False), "edges")
+        steps.drop(now)
+        now = later
     raise RuntimeError(f"components did not settle in {MOST_ROUNDS} rounds")

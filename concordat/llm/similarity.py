@@ -3,59 +3,65 @@
 A document's set holds the 64-bit hashes of its distinct word shingles. Documents with equal sets
 form a class with one representative; only representatives are compared.
 
-Index keys. Tokens are classed by the number of documents (all are counted, in bitmaps of fixed
-size) that meet the token's slot (its leading bits): lone (one), rare (two), frequent (three or
-more). A token's class is the same for every document and only decides which keys are used, never
-whether a pair is found. In the order lone, rare, frequent, then by hash, let p be the prefix
-length: sets of sizes n and m with Jaccard t or more share a token within their first
-p = n - ceil(t n) + 1. A document is indexed
-
-* by each rare token in its prefix (single tokens); a lone token can't meet another set, so it needs
-  no key, and a prefix of lone tokens alone none at all;
-* if frequent tokens reach into its prefix, by token combinations over its frequent tokens: the
-  prefix is extended to all of them, they are dealt by hash into d + 1 + s parts, d the most tokens
-  in which a similar pair can differ and s spare parts, and each part's combination is one key, for
-  the size class of the document and the next.
-
-If a document of a similar pair has no combinations, its prefix holds the shared token as a rare one,
-which is in the other's prefix as well. If both have combinations, at least s + 1 parts hold no token
-in which they differ, so they agree on the combination of one of them, or all these parts are empty
-in both. Empty parts are no key (all documents would agree on them); a document with more than s empty
-parts is also indexed by each token of its whole prefix, for these size classes.
-
-So every similar pair meets under some key. Combinations of several tokens are agreed on by near
-copies mostly: documents that merely share a passage seldom meet.
-
-Verification is exact on whole sets. Under each key all members are first compared with the key's
-smallest member (links to it join most of a group of near copies); then only members that are still
-in different components are compared, so a group of copies never costs all its pairs. Links found
-then join whole components, not documents.
+Classes of tokens. Tokens fall into slots (their leading bits), and every slot is counted over all
+documents. A slot's count makes its tokens lone (one), rare, frequent or very frequent; what counts
+as frequent rises with the mean count of slots, so classes stay apart when slots fill up. A token's
+class is the same for every document and only decides which keys are used, never whether a pair is
+found.
+
+Index keys. A similar set lacks at most d = n - ceil(t n) of a set's n tokens. Tokens are taken in
+the order of their classes, then by hash. Lone and rare tokens are indexed singly; frequent tokens
+are dealt by hash into groups and indexed by pairs within a group, very frequent ones by triples. A
+group of g tokens of which k are combined still holds a shared combination after any g - k
+losses, so it covers max(0, g - k + 1) of them. The prefix is extended until its tokens cover d + 1:
+then, whatever d of them the other set lacks, some class or group keeps k shared tokens. Of two
+similar sets the one whose prefix ends first has these in its prefix, and the other one's prefix
+reaches beyond them, so both have the same combination as a key. Rare singles stand for themselves
+(k = 1), and a lone token, which covers one loss too, needs no key because no other set has it.
+
+The number of groups depends on the size bucket (powers of two), so that keys grow linearly with
+the set. A set whose similar sets can be in the next bucket is indexed for that one as well. Where a
+bucket's sets are too small for an extended prefix, k is lowered for the bucket.
+
+Verification is exact on whole sets, of which only those are read again that are in a pair which
+sizes and parity sketches don't rule out. Under each key all members are first compared with the
+key's smallest member (links to it join most of a group of near copies); then only members that are
+still in different components are compared. Links found then join whole components, not documents.
 
 Defined results: lower-casing is A-Z only; words are runs between ASCII blanks; fewer than k words
-make one shingle of the whole sequence; null or wordless texts have an empty set and no links. Rows
-that share a doc_id are one node; a row without doc_id has a null component. Extra columns are ignored.
+make one shingle of the whole sequence; null or wordless texts have an empty set and no links, also
+where they share a doc_id. Other rows that share a doc_id are one node; a row without doc_id has a
+null component. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 import zlib
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from concordat.llm.common import materialize
+from concordat.llm.common import Steps
 from concordat.llm.components import components
 
-#: Tokens are classed by slots of their leading bits (two bitmaps of 32 MB), sent in so many chunks.
-SLOT_BITS = 28
-CHUNKS = 1024
-#: Classes of tokens: met in one document, in two, in three or more.
-LONE, RARE, FREQUENT = 0, 1, 2
+#: Tokens are counted by slots of their leading bits; two bits of class a slot make 16 MB, in so many ranges.
+SLOT_BITS = 26
+RANGES = 1024
+#: Classes of tokens, and how many tokens of a class are combined in a key.
+LONE, RARE, FREQUENT, COMMON = 0, 1, 2, 3
+#: Rare tokens are met in so many documents at most (beside what a slot holds on average); common ones in COMMON_TIMES more.
+RARE_MOST, COMMON_TIMES = 8, 8
+#: Tokens that a task holds before it writes them or their counts.
+HELD = 1 << 20
 _SINGLE = np.uint64(0x6A09E667F3BCC909)
 SKETCH_BITS = 512
 #: Bits of the filter that spares documents without candidates the second reading.
@@ -131,62 +137,92 @@ def prefix_length(n: int, num: int, den: int) -> int:
     return n - -(-num * n // den) + 1
 
 
-def size_classes(num: int, den: int, most: int) -> np.ndarray:
-    """Largest sizes of the classes: similar sets are in one class or in neighbouring ones."""
-    ends = [1]
-    while ends[-1] < most:
-        ends.append(max(ends[-1] + 1, (ends[-1] + 1) * den // num))
-    return np.array(ends)
-
-
-def parts_of(largest: int, num: int, den: int) -> int:
-    """One more than similar sets of at most this size can differ in tokens."""
-    return 2 * largest * (den - num) // (den + num) + 1
-
-
-_CLASSES: dict[tuple[int, int], np.ndarray] = {}
-
-
-def spare_parts(parts: int, smallest: int, num: int, den: int) -> int:
-    """More empty parts than a set of at least this size, of which the frequent tokens are more than
-    num/den, is likely to have. Only the number of keys depends on it, not what is found."""
-    return 0 if parts == 1 else math.ceil(1.5 * parts * math.exp(-smallest * num / den / parts))
+@dataclass(frozen=True)
+class Scheme:
+    """How the frequent tokens of a size bucket are combined: groups and tokens a combination, for FREQUENT and COMMON."""
+
+    bucket: int
+    groups: tuple[int, int]
+    sizes: tuple[int, int]
+
+
+@lru_cache(maxsize=256)
+def scheme_of(bucket: int, num: int, den: int) -> Scheme:
+    """The scheme of sets of 2^bucket tokens to twice as many; its combinations are as large as the smallest prefix allows."""
+    high = (2 << bucket) - 1
+    lost = prefix_length(high, num, den) - 1
+    groups = max(1, lost // 4), max(1, lost // 3)
+    sizes = np.unique(np.linspace(-(-num * (1 << bucket) // den), high, 4096).astype(np.int64))
+    spare = int((sizes - prefix_length(sizes, num, den)).min())
+    for combined in ((2, 3), (2, 2), (1, 2), (1, 1)):
+        # Each group may hold k - 1 tokens that cover nothing.
+        if sum(g * (k - 1) for g, k in zip(groups, combined, strict=True)) <= spare:
+            break
+    return Scheme(bucket, groups, combined)
+
+
+def _combinations(tokens: np.ndarray, group: np.ndarray, size: int, salt: int) -> np.ndarray:
+    """Hashes of all combinations of so many tokens within a group; tokens are ordered, groups are not."""
+    order = np.argsort(group, kind="stable")
+    tokens, group = tokens[order], group[order]
+    found, start = [], _mix(tokens + np.uint64(salt))
+    if size == 1:
+        return start
+    reach = int(np.bincount(group).max(initial=0))
+    for i in range(1, reach):
+        same = group[i:] == group[:-i]
+        pair = _mix(start[:-i] * MULTIPLIERS[0] + tokens[i:])
+        if size == 2:
+            found.append(pair[same])
+            continue
+        for j in range(i + 1, reach):
+            whole = group[j:] == group[:-j]
+            found.append(_mix(pair[: len(tokens) - j] * MULTIPLIERS[1] + tokens[j:])[whole])
+    return np.concatenate(found) if found else tokens[:0]
 
 
 def index_keys(tokens: np.ndarray, kind: np.ndarray, num: int, den: int) -> np.ndarray:
-    """Keys under which every similar set is found; kind: LONE, RARE or FREQUENT for each token."""
+    """Keys of which every similar, different set has one too; kind: the class of each token, which are sorted."""
     n = len(tokens)
-    p = prefix_length(n, num, den)
+    needed = prefix_length(n, num, den)
+    if needed == 1 and n * den // num == n:  # only equal sets are similar
+        return tokens[:0]
     lone = int((kind == LONE).sum())
-    if lone >= p:
+    if lone >= needed:
         return tokens[:0]
-    rare, common = tokens[kind == RARE][: p - lone], tokens[kind == FREQUENT]
-    singles = _mix(rare ^ _SINGLE)
-    if lone + len(rare) >= p:
-        return singles
-    ends = _CLASSES.get((num, den))
-    if ends is None or ends[-1] < 2 * n:
-        ends = _CLASSES[num, den] = size_classes(num, den, 2 * n + 1024)
-    own = int(np.searchsorted(ends, n))
-    prefix = np.concatenate((rare, common[: p - lone - len(rare)]))
-    keys = [singles]
+    rare = tokens[kind == RARE][: needed - lone]
     with np.errstate(over="ignore"):
-        for c in (own, own + 1):
-            of_class = _mix(np.uint64(c + 1) * np.uint64(1 << 32) + np.uint64(1 << 31))
-            count = parts_of(int(ends[c]), num, den)
-            spare = spare_parts(count, int(ends[c - 2]) + 1 if c > 1 else 1, num, den)
-            count += spare
-            part = (_mix(common + np.uint64(c)) % np.uint64(count)).astype(np.int64)
-            sums = np.zeros(count, np.uint64)
-            np.add.at(sums, part, _mix(common))
-            sizes = np.bincount(part, minlength=count).astype(np.uint64)
-            combined = _mix(_mix(sums + sizes * np.uint64(0x2545F4914F6CDD1D)) + _mix(np.uint64(c + 1) * np.uint64(1 << 32) + np.arange(count, dtype=np.uint64)))
-            keys.append(combined[sizes > 0])
-            if (sizes == 0).sum() > spare:
-                keys.append(_mix(prefix ^ of_class))
+        keys = [_mix(rare ^ _SINGLE)]
+        needed -= lone + len(rare)
+        buckets = range(n.bit_length() - 1, (n * den // num).bit_length()) if needed else ()
+        for scheme in (scheme_of(b, num, den) for b in buckets):
+            left = needed
+            for of_class, groups, size in zip((FREQUENT, COMMON), scheme.groups, scheme.sizes, strict=True):
+                own = tokens[kind == of_class]
+                if not left or not len(own):
+                    continue
+                group = (_mix(own + np.uint64(of_class)) % np.uint64(groups)).astype(np.int64)
+                covering = _rank(group) >= size - 1
+                covered = np.cumsum(covering)
+                end = int(np.searchsorted(covered, left)) + 1
+                keys.append(_combinations(own[:end], group[:end], size, (scheme.bucket << 8) + of_class << 32))
+                left -= min(left, int(covered[min(end, len(own)) - 1]))
+            if left:
+                raise AssertionError(f"a set of {n} tokens has no whole prefix")
     return np.unique(np.concatenate(keys))
 
 
+def _rank(group: np.ndarray) -> np.ndarray:
+    """How many earlier elements are in the same group."""
+    order = np.argsort(group, kind="stable")
+    ordered = group[order]
+    at = np.arange(len(group))
+    first = np.maximum.accumulate(np.where(np.concatenate(([True], ordered[1:] != ordered[:-1])), at, 0))
+    rank = np.empty(len(group), np.int64)
+    rank[order] = at - first
+    return rank
+
+
 def parity_sketch(tokens: np.ndarray) -> np.ndarray:
     """Parities of the token counts of SKETCH_BITS buckets, as 64-bit words. Sets that differ in d
     tokens differ in at most d bits, so a larger difference rules a pair out exactly."""
@@ -202,165 +238,204 @@ def _slots(tokens: np.ndarray) -> np.ndarray:
     return (tokens >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
 
-def slot_classes(documents: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bitmaps over slots of tokens: met in two documents or more, in three or more. Each has
-    2^SLOT_BITS bits, whatever the corpus.
+def _pack_counts(at: np.ndarray, counts: np.ndarray) -> bytes:
+    """Places within a range (16 bits, ascending) and counts up to 255, compressed: about a byte a place."""
+    gaps = np.diff(at.astype(np.int32), prepend=0).astype(np.uint16)
+    planes = ((gaps & 255).astype(np.uint8), (gaps >> 8).astype(np.uint8), np.minimum(counts, 255).astype(np.uint8))
+    return zlib.compress(b"".join(p.tobytes() for p in planes), 1)
+
+
+def _add_counts(total: np.ndarray, data: bytes) -> None:
+    low, high, counts = np.frombuffer(zlib.decompress(data), np.uint8).reshape(3, -1)
+    total[np.cumsum(low + high.astype(np.int64) * 256)] += counts
+
+
+def classes_of(counts: np.ndarray) -> np.ndarray:
+    """LONE, RARE, FREQUENT or COMMON by count; the mean count and its noise don't make a slot frequent."""
+    mean = float(counts.mean())
+    rare = RARE_MOST + int(mean + 4 * math.sqrt(mean))
+    return (counts > 1).astype(np.uint8) + (counts > rare) + (counts > rare * COMMON_TIMES)
+
+
+def slot_classes(documents: DataFrame, k: int) -> np.ndarray:
+    """The class of every slot, two bits each: 2^(SLOT_BITS - 2) bytes, whatever the corpus.
 
-    Every task marks the slots that it meets in one document, in two and in three or more, and sends
-    these bitmaps in compressed chunks; a chunk's are joined one after another, in constant memory.
+    Every task counts the slots of its documents and writes about a byte for each that it met; each
+    range of slots is then summed in constant memory.
     """
+    width = (1 << SLOT_BITS) // RANGES
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shingle, held, size = Shingler(k), [], 0
+
+        def flush() -> pd.DataFrame:
+            slots, counts = np.unique(np.concatenate(held), return_counts=True)
+            ends = np.searchsorted(slots, np.arange(RANGES + 1) * width)
+            spans = [(r, a, b) for r, (a, b) in enumerate(itertools.pairwise(ends.tolist())) if a < b]
+            return pd.DataFrame({"part": [r for r, _, _ in spans], "counts": [_pack_counts(slots[a:b] - r * width, counts[a:b]) for r, a, b in spans]})
 
-    def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingle = Shingler(k)
-        once, twice, often = (np.zeros(1 << SLOT_BITS - 3, np.uint8) for _ in range(3))
         for batch in batches:
             sets: set[bytes] = set()
             for text in batch["text"]:
                 tokens = shingle(text)
                 raw = xxhash.xxh3_128_digest(tokens.tobytes())
-                if raw in sets:  # copies within a batch say nothing about their tokens
+                if raw in sets or not len(tokens):  # copies within a batch say nothing about their tokens
                     continue
                 sets.add(raw)
-                at = np.unique(_slots(tokens))
-                byte, bit = at >> 3, np.uint8(1) << (at & 7).astype(np.uint8)
-                again, more = (once[byte] & bit) != 0, (twice[byte] & bit) != 0
-                np.bitwise_or.at(often, byte[more], bit[more])
-                np.bitwise_or.at(twice, byte[again], bit[again])
-                np.bitwise_or.at(once, byte, bit)
-        once, twice, often = (x.reshape(CHUNKS, -1) for x in (once, twice, often))
-        for i in np.flatnonzero(once.any(1)):
-            yield pd.DataFrame({"chunk": [i], "once": [_pack(once[i])], "twice": [_pack(twice[i])], "often": [_pack(often[i])]})
-
-    def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        now = once = twice = often = None
-        done = lambda: pd.DataFrame({"chunk": [now], "twice": [_pack(twice)], "often": [_pack(often)]})
+                held.append(_slots(tokens).astype(np.int32))
+                size += len(tokens)
+                if size >= HELD:
+                    yield flush()
+                    held, size = [], 0
+        if held:
+            yield flush()
+
+    def total(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, counts = None, np.zeros(width, np.int64)
+
+        def done() -> pd.DataFrame:
+            kinds = classes_of(counts).reshape(-1, 4)
+            return pd.DataFrame({"part": [now], "kinds": [(kinds[:, 0] | kinds[:, 1] << 2 | kinds[:, 2] << 4 | kinds[:, 3] << 6).tobytes()]})
+
         for batch in batches:
-            for chunk, *maps in zip(batch["chunk"], batch["once"], batch["twice"], batch["often"], strict=True):
-                x, y, z = map(_unpack, maps)
-                if chunk != now:
+            for part, data in zip(batch["part"], batch["counts"], strict=True):
+                if part != now:
                     if now is not None:
                         yield done()
-                    now, once, twice, often = chunk, x, y, z
-                else:
-                    often = often | z | (twice & x) | (once & y)
-                    twice = twice | y | (once & x)
-                    once = once | x
+                    now, counts = part, np.zeros(width, np.int64)
+                _add_counts(counts, data)
         if now is not None:
             yield done()
 
-    marked = documents.select("text").mapInPandas(mark, "chunk int, once binary, twice binary, often binary")
-    rows = marked.repartition("chunk").sortWithinPartitions("chunk").mapInPandas(join, "chunk int, twice binary, often binary").collect()
-    twice, often = (np.zeros((CHUNKS, (1 << SLOT_BITS - 3) // CHUNKS), np.uint8) for _ in range(2))
+    counted = documents.select("text").mapInPandas(count, "part int, counts binary")
+    rows = counted.repartition("part").sortWithinPartitions("part").mapInPandas(total, "part int, kinds binary").collect()
+    kinds = np.zeros((RANGES, width // 4), np.uint8)
     for r in rows:
-        twice[r.chunk], often[r.chunk] = _unpack(r.twice), _unpack(r.often)
-    return twice.reshape(-1), often.reshape(-1)
-
+        kinds[r.part] = np.frombuffer(r.kinds, np.uint8)
+    return kinds.reshape(-1)
 
-def _pack(bits: np.ndarray) -> bytes:
-    return zlib.compress(bits.tobytes(), 1)
 
+def _kinds(tokens: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+    at = _slots(tokens)
+    return kinds[at >> 2] >> (2 * (at & 3)).astype(np.uint8) & 3
 
-def _unpack(data: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(data), np.uint8)
 
-
-def _index(documents: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """doc_id, n (set size), h1, h2 (hashes of the set), keys, parity sketch."""
-    counted = documents.sparkSession.sparkContext.broadcast(slot_classes(documents, k))
+def _index(documents: DataFrame, k: int, num: int, den: int, kinds: Broadcast) -> DataFrame:
+    """doc_id, n (set size), h1, h2 (hashes of the set), keys, parity sketch (of documents with keys)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingle, (twice, often) = Shingler(k), counted.value
+        shingle, of_slot = Shingler(k), kinds.value
         for batch in batches:
             rows = []
             for doc, text in zip(_ids(batch["doc_id"]), batch["text"], strict=True):
                 tokens = shingle(text)
-                at = _slots(tokens)
-                byte, bit = at >> 3, (at & 7).astype(np.uint8)
-                kind = (twice[byte] >> bit & 1) + (often[byte] >> bit & 1)
-                keys = index_keys(tokens, kind, num, den).view(np.int64) if len(tokens) else np.empty(0, np.int64)
+                keys = index_keys(tokens, _kinds(tokens, of_slot), num, den).view(np.int64) if len(tokens) else np.empty(0, np.int64)
                 raw = tokens.tobytes()
-                rows.append((doc, len(tokens), xxhash.xxh3_64_intdigest(raw) - (1 << 63), xxhash.xxh64_intdigest(raw) - (1 << 63), keys, parity_sketch(tokens)))
+                rows.append((doc, len(tokens), xxhash.xxh3_64_intdigest(raw) - (1 << 63), xxhash.xxh64_intdigest(raw) - (1 << 63), keys, parity_sketch(tokens) if len(keys) else None))
             yield pd.DataFrame(rows, columns=["doc_id", "n", "h1", "h2", "keys", "sketch"]).astype({"doc_id": "Int64"})
 
     return documents.select("doc_id", "text").mapInPandas(run, "doc_id long, n long, h1 long, h2 long, keys array<long>, sketch array<long>")
 
 
-def _filter_words(ids: DataFrame) -> dict[int, int]:
-    """A bit filter of ids, as its nonzero 64-bit words: at most FILTER_BITS / 64 rows."""
+def _filter_bits(ids: DataFrame) -> np.ndarray:
+    """A bit filter of ids as FILTER_BITS / 64 words of 64 bits: 4 MB, whatever the ids."""
     bit = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
     rows = ids.select(F.shiftright(bit, 6).alias("word"), bit.bitwiseAND(F.lit(63)).cast("int").alias("bit")).groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
-    frame = rows.toPandas()
-    return dict(zip(frame["word"].tolist(), frame["bits"].tolist(), strict=True))
+    found = rows.toArrow()
+    words = np.zeros(FILTER_BITS // 64, np.int64)
+    words[found["word"].to_numpy()] = found["bits"].to_numpy()
+    return words
 
 
-def _sets(documents: DataFrame, ids: DataFrame, k: int) -> DataFrame:
-    """id, n, tokens of the documents named in ids."""
-    words = np.zeros(FILTER_BITS // 64, np.int64)
-    found = _filter_words(ids)
-    words[np.fromiter(found, np.int64, len(found))] = np.fromiter(found.values(), np.int64, len(found))
-    shared = documents.sparkSession.sparkContext.broadcast(words)
+def _sets(documents: DataFrame, pairs: DataFrame, k: int, steps: Steps) -> DataFrame:
+    """id, n, tokens of the documents of pairs (and of few others, which a bit filter of ids lets through)."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
+    wanted = documents.sparkSession.sparkContext.broadcast(_filter_bits(ids))
+    names = ["id", "n", "tokens"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingle, bits = Shingler(k), shared.value
+        shingle, bits = Shingler(k), wanted.value
         for batch in batches:
             at = batch["at"].to_numpy()
             keep = batch[(bits[at >> 6] >> (at & 63)) & 1 == 1]
-            sets = [shingle(t) for t in keep["text"]]
-            if not sets:
-                continue
-            yield pd.DataFrame({"id": keep["doc_id"].astype("Int64"), "n": [len(s) for s in sets], "tokens": [s.view(np.int64) for s in sets]})
+            rows, size = [], 0
+            for doc, text in zip(keep["doc_id"], keep["text"], strict=True):
+                tokens = shingle(text)
+                rows.append((doc, len(tokens), tokens.view(np.int64)))
+                size += len(tokens)
+                if size >= HELD:
+                    yield pd.DataFrame(rows, columns=names)
+                    rows, size = [], 0
+            if rows:
+                yield pd.DataFrame(rows, columns=names)
 
     rows = documents.where(F.col("doc_id").isNotNull()).select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).alias("at"))
-    return rows.mapInPandas(run, "id long, n long, tokens array<long>")
+    sets = steps.save(rows.mapInPandas(run, "id long, n long, tokens array<long>"), "sets")
+    wanted.destroy()
+    return sets
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Links among pairs (a, b, other columns): num (|A| + |B|) <= (num + den) |A & B|."""
+def _possible(pairs: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs that sizes (na, nb) and parity sketches (sa, sb) don't rule out."""
+    fits = (F.col("na") * num <= F.col("nb") * den) & (F.col("nb") * num <= F.col("na") * den)
+    bits = sum((F.bit_count(F.get("sa", F.lit(i)).bitwiseXOR(F.get("sb", F.lit(i)))) for i in range(SKETCH_BITS // 64)), F.lit(0))
+    return pairs.where(fits & (bits * (num + den) <= (F.col("na") + F.col("nb")) * (den - num)))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch["x"], batch["y"], strict=True):
-                x, y = np.asarray(x), np.asarray(y)
-                # Tokens are sorted as unsigned numbers; both sides in one order is all that counts.
-                merged = np.sort(np.concatenate((x, y)))
-                shared = int((merged[1:] == merged[:-1]).sum())
-                keep.append(num * (len(x) + len(y)) <= (num + den) * shared)
-            yield batch.loc[keep, names]
 
-    names = pairs.columns
-    left = pairs.join(sets.select(F.col("id").alias("a"), F.col("tokens").alias("x")), "a")
-    both = left.join(sets.select(F.col("id").alias("b"), F.col("tokens").alias("y")), "b").select(*names, "x", "y")
-    return both.mapInPandas(run, pairs.schema)
+def _verify(documents: DataFrame, pairs: DataFrame, k: int, num: int, den: int, steps: Steps, name: str) -> DataFrame:
+    """Links among saved pairs (a, b, other columns): num (|A| + |B|) <= (num + den) |A & B|, row by row in the JVM."""
+    sets = _sets(documents, pairs, k, steps)
+    side = lambda end: sets.select(F.col("id").alias(end), F.col("n").alias("n" + end), F.col("tokens").alias("t" + end))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    shared = F.size(F.array_intersect("ta", "tb"))
+    links = steps.save(both.where((F.col("na") + F.col("nb")) * num <= shared * (num + den)).select(*pairs.columns), name)
+    steps.drop(sets, pairs)
+    return links
 
 
 def linked(documents: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
     """doc_id, n_shingles, component_id for every row: the components of links at num/den or more."""
-    index = materialize(_index(documents, k, num, den), "index")
-    sizes = index.where("doc_id IS NOT NULL AND size(keys) > 0").select(F.col("doc_id").alias("id"), "n", "sketch")
+    context, steps = documents.sparkSession.sparkContext, Steps(documents.sparkSession)
+    kinds = context.broadcast(slot_classes(documents, k))
+    index = steps.save(_index(documents, k, num, den, kinds), "index")
+    kinds.destroy()
     same = index.where("n > 0 AND doc_id IS NOT NULL").groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
-    multiple = same.where("copies > 1").drop("copies")
-    # Members of a class point at its representative; a hot class is a skewed join, which Spark splits.
-    classes = materialize(index.select("doc_id", "n", "h1", "h2", "keys").join(multiple, ["n", "h1", "h2"], "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep"), F.when(F.col("rep").isNull() | (F.col("rep") == F.col("doc_id")), F.col("keys")).alias("keys")), "classes")
-    inverted = classes.where("keys IS NOT NULL AND n > 0 AND doc_id IS NOT NULL").select(F.explode("keys").alias("key"), F.col("doc_id").alias("id"))
-    pivots = inverted.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("other")).where("pivot < other").drop("other")
-    groups = materialize(inverted.join(pivots, "key"), "groups")
-    sets = materialize(_sets(documents, groups.select("id").distinct(), k), "sets")
+    multiple = steps.save(same.where("copies > 1").drop("copies"), "multiple")
+    # Members of a class point at its representative. The join is one of its own, so that Spark can split a hot class.
+    own = F.when(F.col("rep").isNull() | (F.col("rep") == F.col("doc_id")), F.col("keys"))
+    classes = steps.save(index.join(multiple, ["n", "h1", "h2"], "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep"), own.alias("keys"), "sketch"), "classes")
+    steps.drop(index, multiple)
+    inverted = classes.where("size(keys) > 0 AND doc_id IS NOT NULL").select(F.explode("keys").alias("key"), F.col("doc_id").alias("id"))
+    pivots = steps.save(inverted.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("other")).where("pivot < other").drop("other"), "pivots")
+    groups = steps.save(inverted.join(pivots, "key"), "groups")
+    steps.drop(pivots)
+    nodes = classes.where("size(keys) > 0 AND doc_id IS NOT NULL").select("doc_id", "n", "sketch")
+    end = lambda e: nodes.select(F.col("doc_id").alias(e), F.col("n").alias("n" + e), F.col("sketch").alias("s" + e))
     first = groups.where("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
-    links = materialize(_verify(first, sets, num, den), "links")
-    known = materialize(components(links), "known")
-    rest = _unsettled(groups, known, sizes, num, den)
-    more = _verify(rest, sets, num, den).select(F.col("ca").alias("a"), F.col("cb").alias("b"))
-    joins = materialize(more.unionByName(_shared_ids(classes, known)).distinct(), "links")
-    labels = known if joins.isEmpty() else materialize(_relabel(known, components(joins)), "labels")
+    pairs = steps.save(_possible(first.join(end("a"), "a").join(end("b"), "b"), num, den).select("a", "b").distinct(), "pairs")
+    links = _verify(documents, pairs, k, num, den, steps, "links")
+    known = components(links, steps)
+    steps.drop(links)
+    rest = _unsettled(groups, known, nodes, num, den, steps)
+    steps.drop(groups)
+    joins = _shared_ids(classes, known)
+    if not rest.isEmpty():
+        joins = joins.unionByName(_verify(documents, rest, k, num, den, steps, "more").select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    joins = steps.save(joins.distinct(), "joins")
+    labels = known
+    if not joins.isEmpty():
+        labels = steps.save(_relabel(known, over := components(joins, steps)), "labels")
+        steps.drop(known, over)
+    steps.drop(joins)
     # A representative is its class's smallest document, so copies take its component as theirs.
-    return classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
+    named = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+    return named.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.coalesce("component", "rep")).alias("component_id"))
 
 
 def _shared_ids(classes: DataFrame, known: DataFrame) -> DataFrame:
     """Edges between the components of classes that rows of one doc_id are in."""
-    several = classes.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high").select("doc_id")
-    edges = classes.join(several, "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a <> b")
+    several = classes.where("n > 0 AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high").select("doc_id")
+    edges = classes.where("n > 0").join(several, "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a <> b")
     for end in ("a", "b"):
         edges = edges.join(known.select(F.col("node").alias(end), F.col("component").alias("c" + end)), end, "left").withColumn(end, F.coalesce("c" + end, end))
     return edges.select("a", "b").where("a <> b")
@@ -373,7 +448,7 @@ def _relabel(known: DataFrame, over: DataFrame) -> DataFrame:
     return moved.unionByName(over.join(known.select("node"), "node", "left_anti"))
 
 
-def _unsettled(groups: DataFrame, known: DataFrame, sizes: DataFrame, num: int, den: int) -> DataFrame:
+def _unsettled(groups: DataFrame, known: DataFrame, nodes: DataFrame, num: int, den: int, steps: Steps) -> DataFrame:
     """Pairs under one key that are in different components and were not compared with the pivot.
 
     In each key, members outside the pivot's component meet all members of other components; in a
@@ -381,18 +456,17 @@ def _unsettled(groups: DataFrame, known: DataFrame, sizes: DataFrame, num: int,
     rule out, exactly, most pairs that can't be similar.
     """
     named = groups.join(known.withColumnRenamed("node", "id"), "id", "left").select("key", "id", "pivot", F.coalesce("component", "id").alias("component"))
-    centre = named.where("id = pivot").select("key", F.col("component").alias("centre"))
-    placed = named.join(centre, "key")
-    split = placed.where("component <> centre").select("key").distinct()
+    centre = F.max(F.when(F.col("id") == F.col("pivot"), F.col("component"))).alias("centre")
+    split = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), centre).where("low < high").select("key", "centre")
+    split = steps.save(split, "split")
     # Sizes and sketches only for members of keys that hold more than one component.
-    members = placed.join(split, "key", "left_semi").join(sizes, "id")
+    members = steps.save(named.join(split, "key").join(nodes.withColumnRenamed("doc_id", "id"), "id"), "members")
     outside = members.where("component <> centre").select("key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), F.col("sketch").alias("sa"))
     inside = members.where("id <> pivot").select("key", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), F.col("sketch").alias("sb"))
-    fits = (F.col("na") * num <= F.col("nb") * den) & (F.col("nb") * num <= F.col("na") * den)
-    bits = sum((F.bit_count(F.get("sa", F.lit(i)).bitwiseXOR(F.get("sb", F.lit(i)))) for i in range(SKETCH_BITS // 64)), F.lit(0))
-    close = bits * (num + den) <= (F.col("na") + F.col("nb")) * (den - num)
-    met = outside.join(inside, "key").where((F.col("ca") != F.col("cb")) & (F.col("a") != F.col("b")) & fits & close)
-    return met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"), F.greatest("ca", "cb").alias("ca"), F.least("ca", "cb").alias("cb")).distinct()
+    met = _possible(outside.join(inside, "key").where((F.col("ca") != F.col("cb")) & (F.col("a") != F.col("b"))), num, den)
+    pairs = steps.save(met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"), F.greatest("ca", "cb").alias("ca"), F.least("ca", "cb").alias("cb")).distinct(), "rest")
+    steps.drop(split, members)
+    return pairs
 
 
 def first_of_each(documents: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
@@ -400,17 +474,22 @@ def first_of_each(documents: DataFrame, k: int = 5, num: int = 4, den: int = 5)
 
     Rows with an empty set or without doc_id stay. Of rows that share the smallest doc_id one stays
     if their texts are equal; rows with one doc_id and different texts are one node, of which the
-    smallest text stays. Columns are those of documents.
+    smallest text stays. Columns are those of documents. Texts meet only the ids of rows that go,
+    which Spark broadcasts while that table is small.
     """
-    names = documents.columns
-    links = linked(documents, k, num, den)
-    keep = links.where(F.col("doc_id").isNull() | (F.col("component_id") == F.col("doc_id"))).groupBy("doc_id").agg(F.count("*").alias("__rows"), F.min("n_shingles").alias("__n"))
-    joined = documents.join(keep, documents["doc_id"].eqNullSafe(keep["doc_id"])).select(*(documents[c] for c in names), "__rows", "__n")
-    single = joined.where(F.col("doc_id").isNull() | (F.col("__rows") == 1) | (F.col("__n") == 0)).select(*names)
-    repeated = joined.where(F.col("doc_id").isNotNull() & (F.col("__rows") > 1) & (F.col("__n") > 0))
+    names, steps = documents.columns, Steps(documents.sparkSession)
+    verdicts = steps.save(linked(documents, k, num, den).where("n_shingles > 0 AND doc_id IS NOT NULL"), "verdicts")
+    gone = steps.save(verdicts.where("component_id < doc_id").select(F.col("doc_id").alias("__id")).distinct(), "gone")
+    repeated = steps.save(verdicts.where("component_id = doc_id").groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("rows")).where("rows > 1").select("__id"), "repeated")
+    steps.drop(verdicts)
+    # Rows without words have no key here, so nothing removes them.
+    keyed = documents.withColumn("__id", F.when(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.col("doc_id")))
+    kept = keyed.join(gone, "__id", "left_anti")
+    if repeated.isEmpty():
+        return kept.select(*names)
     order = [F.col(f"`{c}`").cast("string") for c in ["text", *[c for c in names if c != "text"]]]
-    one = repeated.withColumn("__at", F.row_number().over(Window.partitionBy("doc_id").orderBy(*order))).where("__at = 1").select(*names)
-    return single.unionByName(one)
+    one = kept.join(repeated, "__id", "left_semi").withColumn("__at", F.row_number().over(Window.partitionBy("__id").orderBy(*order))).where("__at = 1")
+    return kept.join(repeated, "__id", "left_anti").select(*names).unionByName(one.select(*names))
 
 
 def jaccard(a: Iterable[int], b: Iterable[int]) -> float:

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from concordat.llm import bpe, chat, components, licenses, nearest, packing, quality, queries, secrets, similarity, url_filter, warc
+from concordat.llm import bpe, chat, common, components, licenses, nearest, packing, quality, queries, secrets, similarity, url_filter, warc
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, kept string, n_words string"
 RNG = random.Random(3)
@@ -231,10 +231,10 @@ def test_jaccard_keys_meet(num, den):
                     own.add(RNG.getrandbits(64))
             sets.append(own)
         met = collections.Counter(t for own in sets for t in own)
-        met.update({t: RNG.randint(0, 3) for t in met if RNG.random() < 0.3})
+        met.update({t: RNG.randint(0, 4) for t in met if RNG.random() < 0.4})
         keys = []
         for own in map(sorted, sets):
-            kind = np.array([min(met[t], 3) - 1 for t in own], np.uint8)
+            kind = np.array([min(met[t], 4) - 1 for t in own], np.uint8)
             keys.append(set(similarity.index_keys(np.array(own, np.uint64), kind, num, den).tolist()) if own else set())
         for i, a in enumerate(sets):
             for j in range(i):
@@ -259,7 +259,7 @@ def test_components(spark):
     for a, b in edges:
         x, y = sorted((find(a), find(b)))
         parent[y] = x
-    got = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    got = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long"), common.Steps(spark)).collect()}
     assert all(got.get(x, x) == find(x) for x in parent)
 
 
