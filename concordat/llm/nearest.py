@@ -6,24 +6,29 @@ order). Vectors are projected by ``PROJECTED`` Gaussian (2-stable) directions: t
 distance over the squared true distance is chi-square distributed with that many degrees of freedom.
 
 All vectors are dealt to the cells of a top-level kd-tree over projections (its splits come from at
-most ``SAMPLE`` projected vectors; every vector is indexed) and each cell holds a kd-tree of its
-own. A search takes a cell's leaves in order of projected distance (incremental neighbours),
-verifies their vectors in double precision, and stops when a nearer vector with so large a projected
-distance would be an event of probability below ``MISS``: chi2_cdf(projected^2 / kth distance^2)
-> 1 - MISS. First every query searches its own cell; the distance found there bounds the projected
-distance at which other cells can matter, and only those cells are searched, from that bound on.
+most ``SAMPLE`` projected vectors; every vector is indexed). A cell that holds more than
+``CELL_ROWS`` vectors is dealt by hash into parts of about that size, each with a kd-tree of its own,
+and one that more than ``CELL_QUERIES`` queries visit is copied, so that a task's vectors are bounded
+and its queries shared. A search takes leaves in order of projected distance (incremental
+neighbours) and verifies, in double precision, the vectors whose own projected distance passes the
+same test as the stop: a nearer vector with so large a projected distance would be an event of
+probability below ``MISS``: chi2_cdf(projected^2 / kth distance^2) > 1 - MISS. The search stops when no
+leaf can pass. First every query searches its own cell; the distance found there bounds the
+projected distance at which other cells can matter, and only those cells are searched, from that
+bound on. ``MISS`` is what a recall of 0.9 allows the farthest of the k neighbours; nearer ones are
+missed less often.
 
 Equal vectors are one indexed vector with its ``k + 1`` smallest ids, and equal queries are searched
 once, so a vector that a third of all rows share is no hot spot and results are the same.
 
 Defined results: null, zero and non-finite vectors take no part, nor do rows without an id; vectors
-of other lengths than the commonest are refused. Fewer than k candidates give them all. Ties go to
-the smaller id. Rows that share an id are ranked each; a query excludes all rows with its own id.
+of unequal lengths are refused. Fewer than k candidates give them all. Ties go to the smaller id.
+Rows that share an id are ranked each; a query excludes all rows with its own id. An empty table
+gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
 
-import heapq
 import math
 from collections.abc import Iterable, Iterator
 
@@ -34,11 +39,12 @@ from pyspark.sql import functions as F
 
 from concordat.llm.common import materialize
 
-PROJECTED = 8
+PROJECTED = 16
 SAMPLE = 20_000
 CELL_ROWS = 8_000
-LEAF = 256
-MISS = 0.05
+CELL_QUERIES = 4_000
+LEAF = 64
+MISS = 0.07
 SEED = 20
 K = 20
 
@@ -105,41 +111,43 @@ class KdTree:
         gap = np.maximum(np.maximum(self.low[nodes] - q, q - self.high[nodes]), 0)
         return np.einsum("ij,ij->i", gap, gap)
 
-    def incremental(self, q: np.ndarray) -> Iterator[tuple[float, int, int]]:
-        """Leaves as (squared distance, first, last) by growing distance of their boxes."""
-        heap = [(0.0, 0)]
-        while heap:
-            d, node = heapq.heappop(heap)
-            if self.kids[node] is None:
-                yield d, *self.range[node]
-                continue
-            kids = np.array(self.kids[node])
-            for kid, far in zip(kids.tolist(), self.distances(q, kids).tolist(), strict=True):
-                heapq.heappush(heap, (far, kid))
+    def incremental(self, q: np.ndarray) -> Iterator[tuple[float, np.ndarray]]:
+        """Positions by growing distance of their leaves' boxes, in steps of growing size, each with
+        the least squared distance in it."""
+        far = self.distances(q, self.leaves)
+        order = np.argsort(far, kind="stable")
+        at, step = 0, 1
+        while at < len(order):
+            own = order[at : at + step]
+            yield far[own[0]], np.concatenate([np.arange(*self.range[leaf]) for leaf in self.leaves[own]])
+            at, step = at + step, step * 2
 
 
-def search(tree: KdTree, vectors: np.ndarray, q: np.ndarray, q_projected: np.ndarray, most: float, k: int, bound: float, stop: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rows (positions in ``order``) among which are the k best of a cell, their inner products, and
-    their squared lifted distances.
+def search(tree: KdTree, vectors: np.ndarray, projected: np.ndarray, q: np.ndarray, q_projected: np.ndarray, most: float, k: int, bound: float, stop: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Rows (positions in ``order``) among which are the k best found of a cell, their inner products,
+    their squared lifted distances, and how many vectors were verified.
 
     bound: a squared lifted distance within which k neighbours are known already; stop: the
     chi-square quantile.
     """
-    rows, found, fars, best = [], [], [], np.empty(0)
+    rows, found, fars, best, verified = [], [], [], np.empty(0), 0
     shift, scale = 2 * most * most, 2 * most / math.sqrt(q @ q)
-    for d2, a, b in tree.incremental(q_projected):
+    for d2, at in tree.incremental(q_projected):
         kth = min(bound, best[-1] if len(best) == k else math.inf)
         if d2 > stop * kth:
             break
-        score = vectors[a:b] @ q
+        gap = projected[at] - q_projected
+        at = at[np.einsum("ij,ij->i", gap, gap) <= stop * kth]
+        verified += len(at)
+        score = vectors[at] @ q
         far2 = shift - scale * score
         near = np.flatnonzero(far2 <= kth * (1 + 1e-9) + 1e-12)
         if len(near):
-            rows.append(near + a)
+            rows.append(at[near])
             found.append(score[near])
             fars.append(far2[near])
             best = np.sort(np.concatenate((best, fars[-1])))[:k]
-    return (np.concatenate(rows), np.concatenate(found), np.concatenate(fars)) if rows else (np.empty(0, int), np.empty(0), np.empty(0))
+    return (np.concatenate(rows), np.concatenate(found), np.concatenate(fars), verified) if rows else (np.empty(0, int), np.empty(0), np.empty(0), verified)
 
 
 def _clean(batch: pd.DataFrame, column: str) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -201,7 +209,7 @@ def _nearest_leaf(tree: KdTree, p: np.ndarray) -> int:
 
 
 ROUTE_SCHEMA = "cell int, kind int, key binary, ids array<long>, bound double"
-FOUND_SCHEMA = "key binary, hits array<struct<vec_id:long,score:double>>, kth double"
+FOUND_SCHEMA = "key binary, hits array<struct<vec_id:long,score:double>>, kth double, verified long"
 
 
 def nearest(embeddings: DataFrame, column: str = "embedding", k: int = K, step: int = 20, miss: float = MISS) -> DataFrame:
@@ -251,7 +259,8 @@ def nearest(embeddings: DataFrame, column: str = "embedding", k: int = K, step:
                 if len(near):
                     yield pd.DataFrame({"cell": near, "kind": 1, "key": key, "ids": None, "bound": kth})
 
-    bounds = asked.select("cell", "key").join(first.select("key", "kth"), "key")
+    # The best kth distance of the parts of a query's own cell bounds the search of all others.
+    bounds = asked.select("cell", "key").join(first.groupBy("key").agg(F.min("kth").alias("kth")), "key")
     second = _search_cells(stored.unionByName(bounds.mapInPandas(further, ROUTE_SCHEMA)), dim, most, k, stop)
     hits = first.select("key", "hits").unionByName(second.select("key", "hits"))
     order = lambda x, y: F.when(x["score"] > y["score"], -1).when(x["score"] < y["score"], 1).when(x["vec_id"] < y["vec_id"], -1).when(x["vec_id"] > y["vec_id"], 1).otherwise(0)
@@ -277,43 +286,57 @@ def _boxes(stored: DataFrame, project, n_cells: int) -> tuple[np.ndarray, np.nda
     return low, high
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """rows with the part of their cell and its copy: stored vectors go to one part and all copies of
+    it, queries to all parts and one copy. There is a row for each cell in the table that says how many."""
+    kind = F.col("kind")
+    count = lambda which: F.count_if(kind == which)
+    sizes = rows.groupBy("cell").agg(F.ceil(count(0) / CELL_ROWS).cast("int").alias("parts"), F.ceil(count(1) / CELL_QUERIES).cast("int").alias("copies"))
+    of_key = lambda n: F.array(F.pmod(F.xxhash64("key"), F.greatest(F.col(n), F.lit(1))).cast("int"))
+    every = lambda n: F.sequence(F.lit(0), F.greatest(F.col(n), F.lit(1)) - 1)
+    placed = rows.join(F.broadcast(sizes), "cell")
+    placed = placed.withColumn("part", F.explode(F.when(kind == 0, of_key("parts")).otherwise(every("parts"))))
+    return placed.withColumn("copy", F.explode(F.when(kind == 0, every("copies")).otherwise(of_key("copies")))).drop("parts", "copies")
+
+
 def _search_cells(rows: DataFrame, dim: int, most: float, k: int, stop: float) -> DataFrame:
-    """Each cell's stored vectors (about CELL_ROWS) answer the queries sent to it, batch by batch."""
+    """Each part's stored vectors (about CELL_ROWS) answer the queries sent to it, batch by batch."""
     width = directions(dim)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cell, keys, ids, index = None, [], [], None
+        place, keys, ids, index = None, [], [], None
 
         def build():
             vectors = np.array([np.frombuffer(x) for x in keys])
-            tree = KdTree(lift(vectors, most, query=False) @ width, LEAF)
+            points = lift(vectors, most, query=False) @ width
+            tree = KdTree(points, LEAF)
             tree.finish()
-            return tree, vectors[tree.order], [ids[i] for i in tree.order]
+            return tree, vectors[tree.order], points[tree.order], [ids[i] for i in tree.order]
 
         for batch in batches:
             out = []
-            for c, kind, key, own, bound in zip(batch["cell"], batch["kind"], batch["key"], batch["ids"], batch["bound"], strict=True):
-                if c != cell:
-                    cell, keys, ids, index = c, [], [], None
+            for own_place, kind, key, own, bound in zip(zip(batch["cell"], batch["part"], batch["copy"], strict=True), batch["kind"], batch["key"], batch["ids"], batch["bound"], strict=True):
+                if own_place != place:
+                    place, keys, ids, index = own_place, [], [], None
                 if kind == 0:
                     keys.append(key)
                     ids.append(own)
                     continue
                 if not keys:
-                    out.append((key, [], math.inf))
+                    out.append((key, [], math.inf, 0))
                     continue
                 index = index or build()
-                tree, vectors, members = index
+                tree, vectors, points, members = index
                 q = np.frombuffer(key)
                 # One more than k, because the query's own vector is among the stored ones.
-                at, score, far2 = search(tree, vectors, q, (lift(q[None], most, query=True) @ width)[0], most, k + 1, bound, stop)
+                at, score, far2, verified = search(tree, vectors, points, q, (lift(q[None], most, query=True) @ width)[0], most, k + 1, bound, stop)
                 keep = np.argsort(far2, kind="stable")
                 hits = sorted(((-float(score[j]), i) for j in keep for i in members[at[j]]))[: k + 1]
                 hits = [{"vec_id": int(i), "score": -s} for s, i in hits]
                 worst = float(far2[keep[k]]) if len(keep) > k else math.inf
-                out.append((key, hits, worst))
+                out.append((key, hits, worst, verified))
             if out:
-                yield pd.DataFrame(out, columns=["key", "hits", "kth"])
+                yield pd.DataFrame(out, columns=["key", "hits", "kth", "verified"])
 
-    dealt = rows.repartition("cell").sortWithinPartitions("cell", "kind", "key")
+    dealt = _dealt(rows).repartition("cell", "part", "copy").sortWithinPartitions("cell", "part", "copy", "kind", "key")
     return dealt.mapInPandas(run, FOUND_SCHEMA)
