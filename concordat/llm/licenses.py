@@ -2,18 +2,21 @@
 
 Base labels come from places where a phrase's words stand consecutively. The method finds passages
 of license templates: all rolling k-grams of a document's words are hashed and joined with the
-templates' positions (a table whose size is that of the templates, so it is broadcast); a hit votes
-for its diagonal, document position minus template position. Diagonals of one document and template
-are merged with neighbours up to ``SLACK`` apart (inserted or lost words shift the diagonal), hits
-are compared word by word to drop equal hashes of unequal words, and a span counts when it covers
-at least ``LEAST`` of the template's words.
+templates' positions (a table whose size is that of the templates; Spark broadcasts it while it is
+small); a hit votes for its diagonal, document position minus template position. Diagonals of one
+document and template are merged with neighbours up to ``SLACK`` words apart, or a share of
+``STRETCH`` of the template's words if that is more (inserted or lost words shift the diagonal). A
+span is verified by its words: the k-grams of a hit are compared word by word, so equal hashes of
+unequal words don't count; a span counts when it covers at least ``LEAST`` of the template's words
+in at most ``LONGEST`` times the template's length.
 
 A document's hits are aggregated by (document, template, diagonal) with set semantics, so one hot
 passage never meets in one task, and repeated rows change nothing. Rows are matched to their hits by
 doc_id and a hash of the text, so rows that share a doc_id keep their own results.
 
-Defined results: null text is empty: no words, no labels, score 0. Score: the largest covered share
-of a template, 1 where a base phrase stands. Extra columns are ignored.
+Defined results: null text is empty: no words, no labels, score 0; texts of any length are scanned
+whole. Score: the largest covered share of a template, 1 where a base phrase stands. Extra columns
+are ignored, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -23,25 +26,20 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from concordat.llm.license_texts import TEXTS
 from concordat.llm.quality import bind
 
 #: The contract's phrases and labels.
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
-#: Template passages of well-known public licenses and of the usual notices, with their labels.
-TEMPLATES = {
-    "mit-notice": "released under the mit license",
-    "gpl-notice": "this work is licensed under the gnu general public license version 3",
-    "apache-notice": "licensed under the apache license version 2 0",
-    "cc-by-nc": "licensed under cc by nc 4 0",
-    "cc-by-sa": "licensed under cc by sa 4 0",
-    "mit-text": "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software",
-    "apache-text": "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied",
-    "gpl-text": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",
-    "bsd-text": "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
-}
+#: Template passages with their labels.
+TEMPLATES = TEXTS
 K = 3
 SLACK = 2
+STRETCH = 0.25
 LEAST = 0.6
+LONGEST = 2.0
+#: Up to so many hashes of templates stand in the filter as literals; more are left to the join.
+MOST_LITERALS = 20_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -69,44 +67,45 @@ def _places(words: Column, first: str, *rest: str, label: str) -> Column:
 
 
 def _grams(words: Column, k: int) -> Column:
-    """(position, hash, words) of all rolling k-grams."""
+    """(position, hash) of all rolling k-grams."""
     at = F.when(F.size(words) >= k, F.sequence(F.lit(1), F.size(words) - k + 1)).otherwise(F.array().cast("array<int>"))
-    return F.transform(at, lambda i: F.struct((i - 1).alias("pos"), F.xxhash64(F.slice(words, i, F.lit(k))).alias("hash"), F.slice(words, i, F.lit(k)).alias("own")))
+    return F.transform(at, lambda i: F.struct((i - 1).alias("pos"), F.xxhash64(F.slice(words, i, F.lit(k))).alias("hash")))
 
 
 def template_positions(spark: SparkSession, templates: Mapping[str, str] = TEMPLATES, k: int = K) -> DataFrame:
+    """template, n (its words), tpos, hash and words of every k-gram of every template."""
     rows = F.array(*(F.struct(F.lit(label).alias("template"), F.lit(text).alias("text")) for label, text in templates.items()))
     named = spark.range(1).select(F.explode(rows).alias("t")).select("t.template", words_of(F.col("t.text")).alias("w"))
-    return named.select("template", F.size("w").alias("n"), F.explode(bind(F.col("w"), lambda w: _grams(w, k))).alias("g")).select("template", "n", F.col("g.pos").alias("tpos"), F.col("g.hash").alias("hash"), F.col("g.own").alias("twords"))
+    return named.select("template", F.size("w").alias("n"), "w", F.explode(bind(F.col("w"), lambda w: _grams(w, k))).alias("g")).select("template", "n", F.col("g.pos").alias("tpos"), F.col("g.hash").alias("hash"), F.slice("w", F.col("g.pos") + 1, F.lit(k)).alias("twords"))
 
 
 def vote(documents: DataFrame, templates: Mapping[str, str] = TEMPLATES, k: int = K, slack: int = SLACK, least: float = LEAST) -> DataFrame:
     """Verified spans: doc_id, text_hash, template, start, end (words), share of the template covered."""
     words = documents.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), words_of(F.col("text")).alias("w"))
-    grams = words.select("doc_id", "text_hash", F.explode(bind(F.col("w"), lambda w: _grams(w, k))).alias("g"))
     positions = template_positions(documents.sparkSession, templates, k)
-    hits = (
-        grams.select("doc_id", "text_hash", F.col("g.pos").alias("pos"), F.col("g.hash").alias("hash"), F.col("g.own").alias("own"))
-        .join(F.broadcast(positions), "hash").where(F.col("own") == F.col("twords"))
-    )
+    # Grams whose hash no template has are left out inside the row; of the others the words go along for comparison.
+    hashes = positions.agg(F.collect_set("hash").alias("h")).first().h
+    known = lambda g: g["hash"].isin(hashes) if len(hashes) <= MOST_LITERALS else F.lit(True)
+    grams = words.select("doc_id", "text_hash", "w", F.explode(F.filter(bind(F.col("w"), lambda w: _grams(w, k)), known)).alias("g"))
+    own = grams.select("doc_id", "text_hash", F.col("g.pos").alias("pos"), F.col("g.hash").alias("hash"), F.slice("w", F.col("g.pos") + 1, F.lit(k)).alias("own"))
+    hits = own.join(positions, "hash").where(F.col("own") == F.col("twords"))
     votes = hits.groupBy("doc_id", "text_hash", "template", "n", (F.col("pos") - F.col("tpos")).alias("diagonal")).agg(F.collect_set("tpos").alias("tposes"))
-    lines = votes.groupBy("doc_id", "text_hash", "template", "n").agg(F.sort_array(F.collect_list(F.struct("diagonal", "tposes"))).alias("lines"))
+    single = F.struct("diagonal", (F.col("diagonal") + F.array_min("tposes")).alias("start"), (F.col("diagonal") + F.array_max("tposes") + k).alias("end"), "tposes")
+    lines = votes.groupBy("doc_id", "text_hash", "template", "n").agg(F.sort_array(F.collect_list(single)).alias("lines"))
     # Merge each diagonal with the ones up to slack beyond the last of its cluster.
-    empty = F.array().cast("array<struct<first:int,last:int,tposes:array<int>>>")
-    single = lambda x: F.struct(x["diagonal"].alias("first"), x["diagonal"].alias("last"), x["tposes"].alias("tposes"))
+    empty = F.array().cast("array<struct<diagonal:int,start:int,end:int,tposes:array<int>>>")
+    reach = F.greatest(F.lit(slack), F.floor(F.col("n") * STRETCH).cast("int"))
 
     def merge(done: Column, x: Column) -> Column:
         last = F.element_at(done, -1)
-        joined = F.struct(last["first"].alias("first"), x["diagonal"].alias("last"), F.array_union(last["tposes"], x["tposes"]).alias("tposes"))
-        near = F.when(F.size(done) > 0, x["diagonal"] - F.get(done, F.size(done) - 1)["last"] <= slack).otherwise(F.lit(False))
-        return F.when(near, F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(joined))).otherwise(F.concat(done, F.array(single(x))))
+        joined = F.struct(x["diagonal"].alias("diagonal"), F.least(last["start"], x["start"]).alias("start"), F.greatest(last["end"], x["end"]).alias("end"), F.array_union(last["tposes"], x["tposes"]).alias("tposes"))
+        near = F.when(F.size(done) > 0, x["diagonal"] - F.get(done, F.size(done) - 1)["diagonal"] <= reach).otherwise(F.lit(False))
+        return F.when(near, F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(joined))).otherwise(F.concat(done, F.array(x)))
 
     spans = lines.select("doc_id", "text_hash", "template", "n", F.explode(F.reduce("lines", empty, merge)).alias("s"))
     covered = F.size(F.array_distinct(F.flatten(F.transform("s.tposes", lambda p: F.sequence(p, p + (k - 1))))))
-    return (
-        spans.select("doc_id", "text_hash", "template", (F.col("s.first") + F.array_min("s.tposes")).alias("start"), (F.col("s.last") + F.array_max("s.tposes") + k).alias("end"), (covered / F.col("n")).alias("share"))
-        .where(F.col("share") >= least)
-    )
+    found = spans.select("doc_id", "text_hash", "template", F.col("s.start").alias("start"), F.col("s.end").alias("end"), (covered / F.col("n")).alias("share"), "n")
+    return found.where((F.col("share") >= least) & (F.col("end") - F.col("start") <= F.greatest(F.lit(LONGEST) * F.col("n"), F.col("n") + slack))).drop("n")
 
 
 def scan(documents: DataFrame, templates: Mapping[str, str] = TEMPLATES, phrases: Mapping[str, str] = PHRASES) -> DataFrame:

@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from concordat.llm import bpe, chat, licenses, nearest, packing, quality, secrets, similarity, url_filter, warc
+from concordat.llm.oracles import ORACLES
 from concordat.sources.tables import table
 
+__all__ = ["ORACLES", "QUERIES", "vocabulary"]
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -35,7 +37,7 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = warc.archive_and_index(table(spark, sf_dir, "pages"))
-    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "warc_date", "merge_part", "merge_pos")
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "warc_date")
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,5 +72,3 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_chat_formatting, op2_best_fit_packing, op3_warc, op4_bpe, op5_quality_rules, op6_ngram_jaccard_join, op7_license_scan, op8_secret_scan, op9_url_filter, op10_nearest_neighbours)}
-
-ORACLES: dict[str, str] = {}
