@@ -18,12 +18,14 @@ STAGES = [
     ("best_fit_packing", stages.best_fit_packing),
 ]
 
-#: Learned cutoffs, similarity components and token counts have no SQL form; tests/llm compares with brute force.
+#: Learned cutoffs, the forest and token counts have no SQL form; tests/llm compares every stage and the whole with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    steps = common.Steps(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = common.materialize(stage(spark, docs, sf_dir), name)
+        before, docs = docs, steps.save(stage(spark, docs, sf_dir), name)
+        steps.drop(before)
     return docs
