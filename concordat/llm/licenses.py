@@ -86,8 +86,8 @@ def vote(documents: DataFrame, templates: Mapping[str, str] = TEMPLATES, k: int
     # Grams whose hash no template has are left out inside the row; of the others the words go along for comparison.
     hashes = positions.agg(F.collect_set("hash").alias("h")).first().h
     known = lambda g: g["hash"].isin(hashes) if len(hashes) <= MOST_LITERALS else F.lit(True)
-    grams = words.select("doc_id", "text_hash", "w", F.explode(F.filter(bind(F.col("w"), lambda w: _grams(w, k)), known)).alias("g"))
-    own = grams.select("doc_id", "text_hash", F.col("g.pos").alias("pos"), F.col("g.hash").alias("hash"), F.slice("w", F.col("g.pos") + 1, F.lit(k)).alias("own"))
+    met = lambda w: F.transform(F.filter(_grams(w, k), known), lambda g: F.struct(g["pos"].alias("pos"), g["hash"].alias("hash"), F.slice(w, g["pos"] + 1, F.lit(k)).alias("own")))
+    own = words.select("doc_id", "text_hash", F.explode(bind(F.col("w"), met)).alias("g")).select("doc_id", "text_hash", F.col("g.pos").alias("pos"), F.col("g.hash").alias("hash"), F.col("g.own").alias("own"))
     hits = own.join(positions, "hash").where(F.col("own") == F.col("twords"))
     votes = hits.groupBy("doc_id", "text_hash", "template", "n", (F.col("pos") - F.col("tpos")).alias("diagonal")).agg(F.collect_set("tpos").alias("tposes"))
     single = F.struct("diagonal", (F.col("diagonal") + F.array_min("tposes")).alias("start"), (F.col("diagonal") + F.array_max("tposes") + k).alias("end"), "tposes")

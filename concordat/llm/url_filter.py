@@ -16,6 +16,7 @@ gets ``allow``. Repeated rows each get their row. Extra columns are ignored.
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Iterable, Sequence
 
@@ -88,7 +89,8 @@ def _hashes(key: Column, depth: int) -> tuple[Column, Column]:
 
 def _passes(level: tuple[list[int], int, int], key: Column, depth: int) -> Column:
     words, m, k = level
-    table = F.lit(words)
+    # Folded into one constant when the plan is made, instead of an expression for each word.
+    table = F.from_json(F.lit(json.dumps(words)), "array<bigint>")
     h1, h2 = _hashes(key, depth)
     tests = []
     for i in range(k):
