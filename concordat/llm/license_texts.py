@@ -1,4 +1,4 @@
-"""Passages of well-known public licenses, as published by their stewards: label to text.
+"""Passages of well-known public licenses, label to text; not compared word by word with their sources.
 
 Fixed values: only words count, so punctuation and line breaks are as is convenient here.
 """
