@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concordat.llm import bpe, centroids, chat, licenses, nearest, packing, quality, runs, secrets, similarity, url_filter, warc
+from concordat.llm import bpe, centroids, chat, classifier, licenses, nearest, packing, quality, runs, secrets, similarity, url_filter, warc
 from concordat.llm.oracles import ORACLES
 from concordat.sources.tables import table
 
@@ -80,4 +80,8 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.periodic_runs(table(spark, sf_dir, "documents"), rewrite=runs.tenth_made_periodic)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_chat_formatting, op2_best_fit_packing, op3_warc, op4_bpe, op5_quality_rules, op6_ngram_jaccard_join, op7_license_scan, op8_secret_scan, op9_url_filter, op10_nearest_neighbours, op11_centroid_clustering, op12_periodic_runs)}
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_chat_formatting, op2_best_fit_packing, op3_warc, op4_bpe, op5_quality_rules, op6_ngram_jaccard_join, op7_license_scan, op8_secret_scan, op9_url_filter, op10_nearest_neighbours, op11_centroid_clustering, op12_periodic_runs, op13_quality_classifier)}
