@@ -149,9 +149,13 @@ def gates(found: Mapping[str, DataFrame], policy: Policy) -> DataFrame:
     frames.append(_row(currency_domains(both, grain), "CURRENCY_DOMAIN_VIOLATION", "TRANSACTION", F.concat_ws("/", *grain), F.col("n_currencies")))
     both = sets.select(*cycle, "currency").unionByName(settled.select(*cycle, "currency"))
     frames.append(_row(currency_domains(both, cycle), "CURRENCY_DOMAIN_VIOLATION", "SETTLEMENT", F.concat_ws("/", *cycle), F.col("n_currencies")))
-    unclear = stl.ambiguous(stl.targets(sets, settled))
-    frames.append(_row(unclear, "AMBIGUOUS_BANK_ALLOCATION", "BANK_ENTRIES", F.concat_ws("/", "merchant_id", "currency", "settlement_id"), F.col("n_targets")))
-    return violations(*frames)
+    return violations(*frames, ambiguous_targets(sets, journals))
+
+
+def ambiguous_targets(sets: DataFrame, journals: DataFrame) -> DataFrame:
+    """Violations: references with more than one settlement, of a bundle or of a whole state."""
+    unclear = stl.ambiguous(stl.named(sets, journals.where("settlement_id IS NOT NULL")))
+    return _row(unclear, "AMBIGUOUS_BANK_ALLOCATION", "BANK_ENTRIES", F.concat_ws("/", *stl.REFERENCE), F.col("n_targets"))
 
 
 def normalised(df: DataFrame) -> DataFrame:

@@ -27,9 +27,14 @@ def net(settlements: DataFrame) -> DataFrame:
     return settlements.withColumn("net_minor", value.cast("bigint")).withColumn("formula_mismatch", F.col("net_minor") != F.col("reported_net_minor"))
 
 
+def named(settlements: DataFrame, journals: DataFrame) -> DataFrame:
+    """The settlement key of every record of either side."""
+    return settlements.select(*KEYS).unionByName(journals.select(*KEYS))
+
+
 def targets(settlements: DataFrame, journals: DataFrame) -> DataFrame:
     """Every settlement key that either side names."""
-    return settlements.select(*KEYS).unionByName(journals.select(*KEYS)).distinct()
+    return named(settlements, journals).distinct()
 
 
 def once(bank: DataFrame) -> DataFrame:
@@ -42,10 +47,21 @@ def once(bank: DataFrame) -> DataFrame:
     return bank.groupBy("bank_account_id", "bank_record_id").agg(*(F.any_value(c).alias(c) for c in rest), F.count("*").alias("copies"), before.alias("was_duplicate"))
 
 
+REFERENCE = ("merchant_id", "currency", "settlement_id")
+
+
 def ambiguous(target_keys: DataFrame) -> DataFrame:
-    """References that name more than one settlement of a merchant and currency; admission refuses them."""
-    named = target_keys.select("merchant_id", "currency", "settlement_id", "processor", "settlement_cycle").distinct()
-    return named.groupBy("merchant_id", "currency", "settlement_id").agg(F.count("*").alias("n_targets")).where("n_targets > 1")
+    """References that name more than one settlement of a merchant and currency. Admission refuses them in a
+    bundle, and every run in the state it leaves, where a stored settlement and a new one may meet."""
+    named = target_keys.select(*REFERENCE, "processor", "settlement_cycle").distinct()
+    return named.groupBy(*REFERENCE).agg(F.count("*").alias("n_targets")).where("n_targets > 1")
+
+
+def target_index(target_keys: DataFrame) -> DataFrame:
+    """One row a reference with its only target. An ambiguous one fails the job: money must not be allocated twice."""
+    ends = target_keys.groupBy(*REFERENCE).agg(*(f(F.struct("processor", "settlement_cycle")).alias(n) for f, n in ((F.min, "low"), (F.max, "high"))))
+    refused = F.raise_error(F.concat_ws("/", F.lit("AMBIGUOUS_BANK_ALLOCATION: BANK_ENTRIES"), *REFERENCE))
+    return ends.withColumn("t", F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(refused.cast(ends.schema["low"].dataType))).select(*REFERENCE, "t.*")
 
 
 def allocate(bank: DataFrame, target_keys: DataFrame, permitted: DataFrame) -> DataFrame:
@@ -59,11 +75,11 @@ def allocate(bank: DataFrame, target_keys: DataFrame, permitted: DataFrame) -> D
     entries = entries.join(accounts, ["merchant_id", "currency", "bank_account_id"], "left")
     sign = F.when(F.col("direction") == "CREDIT", 1).otherwise(-1)
     # Entries without a reference don't take part in the join, so null is no hot key.
-    named = entries.where("normalized_settlement_reference IS NOT NULL").join(
-        target_keys.withColumn("target", F.lit(True)).withColumnRenamed("settlement_id", "normalized_settlement_reference"), ["merchant_id", "currency", "normalized_settlement_reference"], "left"
+    referring = entries.where("normalized_settlement_reference IS NOT NULL").join(
+        target_index(target_keys).withColumn("target", F.lit(True)).withColumnRenamed("settlement_id", "normalized_settlement_reference"), ["merchant_id", "currency", "normalized_settlement_reference"], "left"
     )
     without = entries.where("normalized_settlement_reference IS NULL").select("*", *(F.lit(None).cast(t).alias(c) for c, t in (("processor", "string"), ("settlement_cycle", "string"), ("target", "boolean"))))
-    both = named.unionByName(without).withColumn("account_permitted", F.when(F.col("target"), F.col("named").isNotNull()))
+    both = referring.unionByName(without).withColumn("account_permitted", F.when(F.col("target"), F.col("named").isNotNull()))
     again = (F.col("copies") > 1) | F.col("was_duplicate")
     return both.select(
         "bank_account_id", "bank_record_id", "merchant_id", "currency", "normalized_settlement_reference",

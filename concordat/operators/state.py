@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from concordat.functions.columns import replay_class
-from concordat.operators.admission import IDENTITIES, _row, admit, violations
+from concordat.operators.admission import IDENTITIES, _row, admit, ambiguous_targets, violations
 
 DUPLICATE = "was_duplicate"
 
@@ -59,12 +59,14 @@ def merge_bank(prior: DataFrame, observed: DataFrame) -> DataFrame:
 
 
 def carried(prior: Mapping[str, DataFrame] | None, observed: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """The state after a run. Conflicts with what is stored refuse the run."""
+    """The state after a run. Conflicts with what is stored refuse the run, and so do references that name one
+    settlement of the stored records and another of the observed ones."""
     if prior is None:
         empty = observed["BANK_ENTRIES"].withColumn(DUPLICATE, F.lit(False)).limit(0)
         return dict(observed) | {"BANK_ENTRIES": merge_bank(empty, observed["BANK_ENTRIES"])}
     admit(conflicts(prior, observed))
     merged = {f: merge(prior[f], observed[f], identity) for f, identity in IDENTITIES.items() if f != "BANK_ENTRIES"}
+    admit(ambiguous_targets(merged["PROCESSOR_SETTLEMENTS"], merged["LEDGER_JOURNALS"]))
     return merged | {"BANK_ENTRIES": merge_bank(prior["BANK_ENTRIES"], observed["BANK_ENTRIES"])}
 
 

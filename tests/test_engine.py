@@ -7,7 +7,7 @@ import unicodedata
 import pytest
 from pyspark.sql import functions as F
 
-from concordat.operators import admission, correction, policy, results, state
+from concordat.operators import admission, correction, policy, results, settlements, state
 from concordat.operators.policy import canonical_digest, read_policy
 from concordat.plans import engine
 from concordat.sources import files, publication
@@ -152,6 +152,27 @@ def test_bank_before_settlement(spark, tmp_path):
     assert (row.duplicate_current_bundle, row.reason_codes) == (False, "DUPLICATE_BANK_MOVEMENT")
 
 
+def test_references_must_be_clear_in_the_merged_state(spark, tmp_path):
+    first = run(spark, tmp_path, settlements=[settlement()], banks=[bank()])
+    assert [r.disposition for r in first["bank-allocations"].collect()] == ["ALLOCATED"]
+    # Each bundle is clear by itself; with what is stored, 'set' names two settlements.
+    for late in ({"settlements": [settlement("s2", processor="q")]}, {"settlements": [settlement("s2", settlement_cycle="c2")]}, {"journals": [journal("j", settlement="set", role="BANK_CASH", clearing="CREDIT", debit=99, processor="q")]}):
+        with pytest.raises(ValueError, match="AMBIGUOUS_BANK_ALLOCATION: BANK_ENTRIES m/INR/set 2"):
+            run(spark, tmp_path, first, **late)
+    # Another merchant, currency or reference is another target; the stored one's journal is the same.
+    second = run(spark, tmp_path, first, settlements=[settlement("s2", merchant_id="n"), settlement("s3", currency="USD", settlement_cycle="c9"), settlement("s4", "other")], journals=[journal("j", settlement="set", role="BANK_CASH", clearing="CREDIT", debit=99)])
+    assert [(r.disposition, r.signed_minor) for r in second["bank-allocations"].collect()] == [("ALLOCATED", 99)]
+
+
+def test_allocation_never_multiplies(spark):
+    own, found = read_policy(POLICY), frames(spark, settlements=[settlement(), settlement("s2", processor="q")], banks=[bank()])
+    permitted, keys = own.permitted(spark), settlements.targets(found["PROCESSOR_SETTLEMENTS"], found["LEDGER_JOURNALS"])
+    with pytest.raises(Exception, match="AMBIGUOUS_BANK_ALLOCATION: BANK_ENTRIES/m/INR/set"):
+        settlements.allocate(found["BANK_ENTRIES"], keys, permitted).collect()
+    again = keys.where("processor = 'p'")
+    assert settlements.allocate(found["BANK_ENTRIES"], again.unionByName(again), permitted).count() == 1
+
+
 def test_correction(spark, tmp_path):
     first = run(spark, tmp_path, events=[event()], journals=[journal(debit=60)])
     proof, case = first["proofs"].first(), first["cases"].first()
