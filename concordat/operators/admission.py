@@ -178,11 +178,15 @@ def violations(*frames: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+class Refused(ValueError):
+    """A bundle that admission refuses; nothing of it may be used."""
+
+
 def admit(found: DataFrame) -> None:
     """Refuse the batch if there is any violation; one small job, no output before it."""
     first = found.take(1)
     if first:
-        raise ValueError(f"ADMISSION {first[0].rule}: {first[0].family} {first[0].identity} {first[0].detail}")
+        raise Refused(f"ADMISSION {first[0].rule}: {first[0].family} {first[0].identity} {first[0].detail}")
 
 
 def with_digest(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
