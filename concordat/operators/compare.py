@@ -40,8 +40,3 @@ def verdict(rows: DataFrame, order: tuple[str, ...]) -> DataFrame:
 def repeated(rows: DataFrame, identity: tuple[str, ...]) -> DataFrame:
     """Identities that a table holds more than once; comparisons refuse such tables."""
     return rows.groupBy(*identity).agg(F.count("*").alias("n_rows")).where("n_rows > 1")
-
-
-def first_difference(expected: DataFrame, actual: DataFrame) -> list:
-    """One row in which two tables differ, or none."""
-    return differences(expected, actual).take(1)
