@@ -1,6 +1,7 @@
 """Corpus operators against brute force, with nulls, empty and long texts, repeated rows, empty tables and clashing columns."""
 
 import collections
+import functools
 import hashlib
 import random
 import zlib
@@ -286,26 +287,32 @@ def licenses_by_hand(text, templates, phrases):
 
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     places = [(i, label) for phrase, label in phrases.items() for i in range(len(words)) if words[i : i + len(phrase.split())] == phrase.split()]
-    best, labels = 0.0, {label for _, label in places}
+    spans, labels = set(), {label for _, label in places}
     for label, own in templates.items():
         t = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", own.lower())
-        hits = collections.defaultdict(set)
-        for i in range(len(words) - 2):
-            for j in range(len(t) - 2):
-                if words[i : i + 3] == t[j : j + 3]:
-                    hits[i - j].add(j)
-        clusters = []
-        for d in sorted(hits):
-            one = [d, d + min(hits[d]), d + max(hits[d]) + 3, set(hits[d])]
-            if clusters and d - clusters[-1][0] <= max(2, len(t) // 4):
-                last = clusters[-1]
-                clusters[-1] = [d, min(last[1], one[1]), max(last[2], one[2]), last[3] | one[3]]
-            else:
-                clusters.append(one)
-        for _, start, end, at in clusters:
-            share = len({p + x for p in at for x in range(3)}) / len(t)
-            if share >= 0.6 and end - start <= max(2 * len(t), len(t) + 2):
-                best, labels = max(best, share), labels | {label}
+        reach = max(2, len(t) // 4)
+        hit = lambda d, j: 0 <= d + j and 0 <= j and j + 3 <= len(t) and d + j + 3 <= len(words) and words[d + j : d + j + 3] == t[j : j + 3]  # noqa: B023, E731
+        held = {d: [j for j in range(len(t) - 2) if hit(d, j)] for d in range(-len(t), len(words))}
+        for window in {(d // reach - x) for d, own in held.items() if own for x in (0, 1)}:
+            pieces = []
+            for d in range(window * reach, (window + 2) * reach):
+                for j in held.get(d, ()):
+                    if not hit(d, j - 1):
+                        n = next(n for n in range(1, len(t)) if not hit(d, j + n))
+                        pieces.append((j, d + j, j + n + 2, d + j + n + 2))
+
+            @functools.cache
+            def ending(i, pieces=tuple(sorted(pieces))):  # most words of a chain that ends with piece i, and minus its start
+                t0, p0, t1, p1 = pieces[i]
+                longer = [(ending(h)[0] + min(t1 - max(t0, pieces[h][2]), p1 - max(p0, pieces[h][3])), ending(h)[1]) for h in range(i) if pieces[h][0] <= t0 and pieces[h][1] <= p0 and pieces[h][2] < t1 and pieces[h][3] < p1]
+                return max([(t1 - t0, -p0), *longer])
+
+            n, back, end = max((*ending(i), x[3]) for i, x in enumerate(sorted(pieces)))
+            if n >= 0.6 * len(t):
+                spans.add((n, n / len(t), back, label, end))
+    kept = [x for x in spans if not any(2 * (min(x[4], y[4]) - max(-x[2], -y[2])) >= x[4] + x[2] and y[:4] > x[:4] for y in spans)]
+    labels |= {x[3] for x in kept}
+    best = max((x[1] for x in kept), default=0.0)
     starts = [i for i, _ in places]
     return len(words), len(places), min(starts, default=None), max(starts, default=None), ",".join(sorted({x for _, x in places})), ",".join(sorted(labels)), 1.0 if places else best
 
@@ -326,6 +333,24 @@ def test_licenses_equal_brute_force(spark):
         assert abs(r.score - want[6]) < 1e-9
 
 
+def test_license_is_found_among_its_own_phrases(spark):
+    """Hits around a passage never hide it; passages out of order are none; the better cover of a place wins."""
+    rng, made = random.Random(3), []
+    for label in ("mit", "gpl", "bsd", "apache"):
+        words = licenses.TEMPLATES[label].split()
+        phrases = lambda n: [w for at in rng.choices(range(len(words) - 12), k=n) for w in [*words[at : at + rng.randint(5, 12)], "and"]]  # noqa: B023, E731
+        for n in (0, 3, 10, 30, 300):
+            made.append((label, " ".join([*phrases(n), *words, *phrases(n)])))
+    pieces = [licenses.TEMPLATES["mit"].split()[i : i + 20] for i in range(0, 170, 20)]
+    backwards = " ".join(w for piece in reversed(pieces) for w in piece)
+    rows = [(i, text) for i, (_, text) in enumerate(made)] + [(100, backwards), (101, licenses.TEMPLATES["gpl"]), (102, licenses.TEMPLATES["lgpl"]), (103, licenses.TEMPLATES["lgpl"] + " . " + licenses.TEMPLATES["gpl"])]
+    got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, (label, _) in enumerate(made):
+        assert label in got[i].labels.split(",") and got[i].score == 1.0 and {x.share for x in got[i].spans if x.template == label} >= {1.0}
+    assert (got[100].labels, got[100].score) == ("", 0.0)
+    assert [got[i].labels for i in (101, 102, 103)] == ["gpl", "lgpl", "gpl,lgpl"]
+
+
 def test_secrets(docs, none, rows):
     got = by_id(secrets.scan(docs))
     i, text, *_ = next(r for r in rows if r[1] and "token = " in r[1])
