@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from concordat.operators import digests
+from concordat.operators import digests, history, revisions
 from concordat.plans import registry
-from concordat.plans.oracle import FULL, query
+from concordat.plans.oracle import FIRST, FULL, HISTORY, query
 from concordat.plans.registry import Query
 from concordat.sources import derived
+from concordat.sources.tables import table
 from concordat.streaming import replays
 
 QUERIES: dict[str, Query] = {}
@@ -84,3 +85,62 @@ def difference_descent(s, d):
     """How many nodes of each level differ: what a comparison of published tables reads."""
     trees = [digests.written_tree(digests.placed(rows, RESULT[:1]), DEPTH) for rows in _audited(s, d)]
     return digests.descent(*trees, digests.unequal(*trees, DEPTH))
+
+
+# Revisions of a customer's orders: each follows the one before; some priors are of no order, and some first ones follow the last.
+_LINKS = """links AS MATERIALIZED (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 211 = 0 THEN -o_orderkey WHEN before IS NULL AND o_custkey % 97 = 0 THEN last ELSE before END AS prior FROM (
+  SELECT o_orderkey, o_custkey, LAG(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS before, MAX(o_orderkey) OVER (PARTITION BY o_custkey) AS last FROM orders))"""
+
+
+@with_sql(f"""WITH RECURSIVE {_LINKS}, walk AS (SELECT id, id AS root, 1 AS depth, CASE WHEN prior IS NOT NULL THEN 'ORPHAN' END AS fault FROM links WHERE prior IS NULL OR prior NOT IN (SELECT id FROM links)
+  UNION ALL SELECT l.id, w.root, w.depth + 1, NULL FROM walk w JOIN links l ON l.prior = w.id)
+SELECT l.id, w.root, w.depth, CASE WHEN w.id IS NULL THEN 'CYCLE' ELSE w.fault END AS fault FROM links l LEFT JOIN walk w USING (id)""")
+def revision_ancestry(s, d):
+    """Root and depth of every revision, with orphans and cycles."""
+    own = Window.partitionBy("o_custkey")
+    before, last = F.lag("o_orderkey").over(own.orderBy("o_orderkey")), F.max("o_orderkey").over(own)
+    orders = table(s, d, "orders").select(F.col("o_orderkey").alias("id"), "o_custkey", before.alias("before"), last.alias("last"))
+    prior = F.when(F.col("id") % 211 == 0, -F.col("id")).when(F.col("before").isNull() & (F.col("o_custkey") % 97 == 0), F.col("last")).otherwise(F.col("before"))
+    return history.ancestry(orders.select("id", prior.alias("prior")))
+
+
+_MARK = "substr(reconciliation_key, 5, 2)"
+
+
+def _chained(s, d) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Proofs, results and cases of two runs, with planted faults of every kind."""
+    true = registry._history(s, d).withColumn("grain", F.lit("transaction")).withColumn("policy_sha256", F.lit("policy"))
+    order = Window.partitionBy("reconciliation_key").orderBy("run")
+    true = true.withColumn("prior_proof_id", F.lag("proof_id").over(order))
+    mark, second = F.expr(_MARK), F.col("run") == 2
+    proofs = true.withColumn("status", F.when(second & (mark == "00"), "WITHIN_TOLERANCE").otherwise(F.col("status")))
+    proofs = proofs.withColumn("prior_proof_id", F.when(second & (mark == "01"), "prf:0").otherwise(F.col("prior_proof_id"))).where(~(second & (mark == "02")))
+    proofs = proofs.withColumn("proof_id", F.when(~second & (mark == "03"), "prf:1").otherwise(F.col("proof_id")))
+    names = [*revisions.CASE.replace(",", "").split(" ")[::2], "run"]
+    first = revisions.cases(true.where("run = 1")).withColumn("run", F.lit(1))
+    cases = first.select(names).unionByName(revisions.cases(true.where("run = 2"), first).withColumn("run", F.lit(2)).select(names))
+    cases = cases.withColumn("case_status", F.when(mark == "04", "CLOSED").otherwise(F.col("case_status")))
+    return proofs, true, cases
+
+
+_CHAIN = f"""base AS MATERIALIZED (SELECT *, {_MARK} AS mark, LAG(proof_id) OVER (PARTITION BY reconciliation_key ORDER BY run) AS prior FROM (SELECT h.*, r.difference_minor FROM history h
+    JOIN (SELECT 1 AS run, reconciliation_key, difference_minor FROM first_run UNION ALL SELECT 2, reconciliation_key, difference_minor FROM recon) r USING (run, reconciliation_key))),
+proof AS MATERIALIZED (SELECT run, reconciliation_key, revision, CASE WHEN run = 2 AND mark = '00' THEN 'WITHIN_TOLERANCE' ELSE status END AS status, reason_codes, difference_minor, proof_id AS derived_id,
+    CASE WHEN run = 1 AND mark = '03' THEN 'prf:1' ELSE proof_id END AS proof_id, CASE WHEN run = 2 AND mark = '01' THEN 'prf:0' ELSE prior END AS prior FROM base WHERE NOT (run = 2 AND mark = '02')),
+stored_case AS (SELECT run, reconciliation_key, initial, n, CASE WHEN {_MARK} = '04' THEN 'CLOSED' WHEN status = 'EXCEPTION' THEN 'OPEN' ELSE 'RESOLVED_BY_LATE_DATA' END AS case_status, had FROM (
+    SELECT *, COUNT(*) OVER (PARTITION BY reconciliation_key ORDER BY run) AS n FROM (SELECT b.run, b.reconciliation_key, b.status, MIN_BY(e.proof_id, e.run) AS initial, MAX_BY(e.reason_codes, e.run) AS had
+    FROM base b JOIN base e ON e.reconciliation_key = b.reconciliation_key AND e.run <= b.run AND e.status = 'EXCEPTION' GROUP BY b.run, b.reconciliation_key, b.status))),
+own_case AS (SELECT run, reconciliation_key, initial, COUNT(*) OVER (PARTITION BY reconciliation_key ORDER BY run) AS n, CASE WHEN status = 'EXCEPTION' THEN 'OPEN' ELSE 'RESOLVED_BY_LATE_DATA' END AS case_status, had FROM (
+    SELECT b.run, b.reconciliation_key, b.status, MIN_BY(e.proof_id, e.run) AS initial, MAX_BY(e.reason_codes, e.run) AS had
+    FROM proof b JOIN proof e ON e.reconciliation_key = b.reconciliation_key AND e.run <= b.run AND e.status = 'EXCEPTION' GROUP BY b.run, b.reconciliation_key, b.status))"""
+
+
+@with_sql(query("""SELECT run, reconciliation_key, 'PROOF_ID' AS fault FROM proof WHERE proof_id <> derived_id
+UNION ALL SELECT p.run, p.reconciliation_key, 'BROKEN_CHAIN' FROM proof p LEFT JOIN proof b ON b.reconciliation_key = p.reconciliation_key AND b.run = p.run - 1 WHERE p.prior IS DISTINCT FROM b.proof_id
+UNION ALL SELECT 2, reconciliation_key, 'VANISHED' FROM proof a WHERE run = 1 AND NOT EXISTS (SELECT 1 FROM proof b WHERE b.reconciliation_key = a.reconciliation_key AND b.run = 2)
+UNION ALL SELECT r.run, r.reconciliation_key, 'RESULT' FROM base r LEFT JOIN proof p ON p.run = r.run AND p.reconciliation_key = r.reconciliation_key WHERE p.status IS DISTINCT FROM r.status
+UNION ALL SELECT COALESCE(x.run, y.run), COALESCE(x.reconciliation_key, y.reconciliation_key), 'CASE' FROM own_case x FULL JOIN stored_case y ON x.run = y.run AND x.reconciliation_key = y.reconciliation_key
+  WHERE x.run IS NULL OR y.run IS NULL OR x.initial <> y.initial OR x.n <> y.n OR x.case_status <> y.case_status OR x.had <> y.had""", FULL, FIRST, HISTORY, _CHAIN))
+def chain_audit(s, d):
+    """Every fault of a two-run history of proofs, results and cases."""
+    return history.chain_faults(*_chained(s, d), runs=2)
