@@ -1,7 +1,8 @@
 """Results as bundles of Parquet tables, and the log of bundles that were made authoritative.
 
-A bundle is written under a hidden name; its manifest (counts, order-free fingerprints, every file's
-size and digest) follows, then the completion marker, then one rename. A log entry is a numbered
+A bundle is written under a hidden name; an inventory table (every file's size, digest, row count and
+columns) and the manifest (counts and order-free fingerprints of all tables, the inventory's too)
+follow, then the completion marker, then one rename. A log entry is a numbered
 file that can be created once: of two writers that saw the same head one fails. All files are
 reached through Hadoop's file systems. On stores whose rename isn't atomic (and between the check
 and the rename of the local one), writers of one log need a lock of their own.
@@ -19,10 +20,11 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from concordat.operators import history, revisions
 from concordat.operators.compare import fingerprint
-from concordat.operators.revisions import proof_faults
+from concordat.sources.verification import FACTS, facts, physical_faults, plain_path
 
-MANIFEST, COMPLETED = "candidate-manifest.json", "COMPLETED.json"
+MANIFEST, COMPLETED, INVENTORY = "candidate-manifest.json", "COMPLETED.json", "inventory"
 
 
 def canonical_bytes(value: Any) -> bytes:
@@ -79,19 +81,6 @@ class Files:
         self.system.delete(self._path(name), True)
 
 
-def inventory(spark: SparkSession, folder: str) -> list[dict[str, Any]]:
-    """path, size_bytes, sha256 of the data files below folder; bytes are digested on the executors."""
-    raw = spark.read.format("binaryFile").options(recursiveFileLookup="true").load(folder)
-    # The longest common folder is cut by its plain path, whatever the scheme is written like.
-    inside = F.regexp_replace(F.regexp_replace("path", "^[a-z0-9]+:/+", "/"), "^" + _plain(folder) + "/", "")
-    rows = raw.select(inside.alias("path"), F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("sha256")).collect()
-    return sorted((r.asDict() for r in rows), key=lambda r: r["path"])
-
-
-def _plain(folder: str) -> str:
-    return re.escape(re.sub("^[a-z0-9]+:/+", "/", folder))
-
-
 def write_bundle(spark: SparkSession, frames: Mapping[str, DataFrame], destination: str, run: Mapping[str, str]) -> str:
     """Publish frames at destination, which mustn't exist; returns the manifest's SHA-256.
 
@@ -109,8 +98,9 @@ def write_bundle(spark: SparkSession, frames: Mapping[str, DataFrame], destinati
         frame.write.mode("errorifexists").parquet(f"{place}/{table}")
         tables[table] = _logical(spark.read.parquet(f"{place}/{table}"))
     logical = hashlib.sha256(canonical_bytes(tables)).hexdigest()
-    listed = [f for table in frames for f in ({**f, "path": f"{table}/{f['path']}"} for f in inventory(spark, f"{place}/{table}"))]
-    manifest = {"run": dict(run), "tables": tables, "logical_sha256": logical, "files": listed}
+    facts(spark, place).write.parquet(f"{place}/{INVENTORY}")
+    listed = _logical(spark.read.schema(FACTS).parquet(f"{place}/{INVENTORY}"))
+    manifest = {"run": dict(run), "tables": tables, "logical_sha256": logical, "inventory": listed}
     digest = files.put(f"{partial}/{MANIFEST}", canonical_bytes(manifest))
     files.put(f"{partial}/{COMPLETED}", canonical_bytes({"manifest_sha256": digest, "logical_sha256": logical, "authoritative_proof": False}))
     files.move(partial, name)
@@ -131,9 +121,12 @@ def open_bundle(spark: SparkSession, destination: str, manifest_sha256: str | No
     if digest != json.loads(files.read(COMPLETED))["manifest_sha256"] or manifest_sha256 not in (None, digest):
         raise ValueError(f"{destination}: the manifest was changed")
     manifest = json.loads(raw)
-    now = [{**f, "path": f"{t}/{f['path']}"} for t in manifest["tables"] for f in inventory(spark, f"{files.root}/{t}")]
-    if sorted(now, key=lambda f: f["path"]) != sorted(manifest["files"], key=lambda f: f["path"]):
-        raise ValueError(f"{destination}: files differ from the manifest")
+    declared = spark.read.schema(FACTS).parquet(f"{files.root}/{INVENTORY}")
+    if _logical(declared) != manifest["inventory"]:
+        raise ValueError(f"{destination}: the inventory differs from the manifest")
+    now = facts(spark, files.root).where(~F.startswith("path", F.lit(INVENTORY + "/")) & ~F.col("path").isin(MANIFEST, COMPLETED))
+    if wrong := physical_faults(declared, now).orderBy("path", "fault").take(1):
+        raise ValueError(f"{destination}: files differ from the manifest: {wrong[0].fault} {wrong[0].path}")
     return {t: spark.read.parquet(f"{files.root}/{t}") for t in manifest["tables"]}
 
 
@@ -152,10 +145,11 @@ def write_shards(df: DataFrame, destination: str, form: str, rows_per_shard: int
     else:
         writer.options(header="true", quote='"', escape='"', emptyValue="").csv(destination)
     root = Files(spark, destination).root
-    inside = F.regexp_replace(F.regexp_replace(F.col("_metadata.file_path"), "^[a-z0-9]+:/+", "/"), "^" + _plain(root) + "/", "")
+    inside = F.regexp_replace(F.regexp_replace(F.col("_metadata.file_path"), "^[a-z0-9]+:/+", "/"), f"^{plain_path(root)}/", "")
     lines = {r.path: r.n - header for r in spark.read.options(lineSep="\n").text(root).groupBy(inside.alias("path")).agg(F.count("*").alias("n")).collect()}
     at, out = 0, []
-    for item in inventory(spark, root):
+    listed = (r.asDict() for r in facts(spark, root).select("path", "size_bytes", "sha256").collect())
+    for item in sorted(listed, key=lambda r: r["path"]):
         n = lines.get(item["path"], 0)
         out.append(item | {"first_index": at, "last_index": at + n - 1})
         at += n
@@ -233,15 +227,29 @@ class History:
         """Manifest digests by run id of all entries."""
         return {e["run"]["run_id"]: e["run"]["manifest_sha256"] for e in self.entries() if "manifest_sha256" in e.get("run", {})}
 
+    def chained(self, table: str, entries: list[dict[str, Any]]) -> DataFrame:
+        """A table's rows of all entries, with the entry's number as run: one scan."""
+        paths = {f"{self.files.root}/{e['bundle']}/{table}": e["number"] for e in entries}
+        numbers = self.spark.createDataFrame([(re.sub("^[a-z0-9]+:/+", "/", p), n) for p, n in paths.items()], "place string, run int")
+        place = F.regexp_replace(F.regexp_replace(F.col("_metadata.file_path"), "^[a-z0-9]+:/+", "/"), "/[^/]*$", "")
+        return self.spark.read.parquet(*paths).withColumn("place", place).join(numbers, "place").drop("place")
+
+    def faults(self, entries: list[dict[str, Any]]) -> DataFrame:
+        """``history.chain_faults`` of the revisions of all entries, which must hold proofs, cases and both result tables."""
+        proofs, cases = self.chained("proofs", entries), self.chained("cases", entries)
+        flat = lambda t: t.select("run", "reconciliation_key", "status", F.array_join("reason_codes", "|").alias("reason_codes"), "totals.difference_minor")
+        both = flat(self.chained("transactions", entries)).unionByName(flat(self.chained("settlements", entries)))
+        return history.chain_faults(proofs, both, cases, len(entries), cases.where(F.col("case_status") == revisions.CORRECTED))
+
     def verify(self) -> int:
-        """Check every entry, every bundle's files, and that each bundle's proofs are derived from
-        their fields and continue the ones before; returns the number of entries."""
-        found, before = self.entries(), None
-        for e in found:
-            tables = open_bundle(self.spark, f"{self.files.root}/{e['bundle']}", e["manifest_sha256"])
-            if "proofs" in tables:
-                wrong = proof_faults(tables["proofs"], before).take(1)
-                if wrong:
-                    raise ValueError(f"{e['bundle']}: {wrong[0].fault} of {wrong[0].reconciliation_key}")
-                before = tables["proofs"]
+        """Check every entry, every bundle's files, and, from the tables of all entries in one plan, that each proof, result
+        and case is what those before it give; returns the number of entries.
+
+        A case that is resolved by correction is checked but for the correction itself, which is not kept.
+        """
+        found = self.entries()
+        held = [open_bundle(self.spark, f"{self.files.root}/{e['bundle']}", e["manifest_sha256"]).keys() for e in found]
+        if found and all({"proofs", "cases", "transactions", "settlements"} <= set(h) for h in held):
+            if wrong := self.faults(found).orderBy("run", "reconciliation_key", "fault").take(1):
+                raise ValueError(f"{found[wrong[0].run - 1]['bundle']}: {wrong[0].fault} of {wrong[0].reconciliation_key}")
         return len(found)
