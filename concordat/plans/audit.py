@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,9 +11,10 @@ from concordat.operators import digests, history, revisions
 from concordat.plans import registry
 from concordat.plans.oracle import FIRST, FULL, HISTORY, query
 from concordat.plans.registry import Query
-from concordat.sources import derived
+from concordat.sources import derived, lines
+from concordat.sources.scratch import deleted, shared_folder
 from concordat.sources.tables import table
-from concordat.streaming import replays
+from concordat.streaming import replays, windows
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -144,3 +147,30 @@ UNION ALL SELECT COALESCE(x.run, y.run), COALESCE(x.reconciliation_key, y.reconc
 def chain_audit(s, d):
     """Every fault of a two-run history of proofs, results and cases."""
     return history.chain_faults(*_chained(s, d), runs=2)
+
+
+@with_sql(query("""SELECT processor, source_record_id, payload_sha256, ROW_NUMBER() OVER (ORDER BY line, processor, source_record_id, payload_sha256) AS position,
+  ROW_NUMBER() OVER w AS occurrence, ROW_NUMBER() OVER w > 1 AS replayed FROM v_raw_event WINDOW w AS (PARTITION BY processor, source_record_id ORDER BY line, payload_sha256)"""))
+def occurrence_inventory(s, d):
+    """Events as lines of text files: each record's place over all files, and its occurrence by file and line."""
+    order = ("line", *registry.IDENTITY, "payload_sha256")
+    place = f"{shared_folder(s)}/events-{uuid.uuid4().hex}"
+    written = derived.raw(s, d, "event").orderBy(*order).select(F.to_json(F.struct(*registry.IDENTITY, "payload_sha256")).alias("value"))
+    written.write.text(place)
+    record = F.from_json("value", "processor string, source_record_id string, payload_sha256 string")
+    rows = lines.numbered(s, [place], r=record).select("path", "line", "position", "r.*")
+    deleted(s.read.text(place))
+    found = lines.occurrences(rows, registry.IDENTITY)
+    return found.select(*registry.IDENTITY, "payload_sha256", "position", F.col("occurrence").cast("bigint").alias("occurrence"), "replayed")
+
+
+@with_sql("SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, event_type, COUNT(*) AS n_events, MAX(value) AS most FROM (SELECT event_type, value, time_bucket(INTERVAL 15 MINUTE, ts) - INTERVAL 15 MINUTE * n AS w FROM events, (SELECT unnest(range(0, 4)) AS n) s WHERE ts IS NOT NULL) GROUP BY ALL")
+def event_sliding_windows(s, d):
+    return windows.sliding(table(s, d, "events"))
+
+
+@with_sql("""WITH e AS (SELECT user_id, ts, CASE WHEN ts < LAG(ts) OVER w + INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS opens FROM events WHERE ts IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+n AS (SELECT user_id, ts, SUM(opens) OVER (PARTITION BY user_id ORDER BY ts) AS session FROM e)
+SELECT user_id, strftime(MIN(ts), '%Y-%m-%d %H:%M:%S.%f') AS session_start, strftime(MAX(ts) + INTERVAL 30 MINUTE, '%Y-%m-%d %H:%M:%S.%f') AS session_end, COUNT(*) AS n_events FROM n GROUP BY user_id, session""")
+def event_sessions(s, d):
+    return windows.sessions(table(s, d, "events"))

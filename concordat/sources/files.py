@@ -14,9 +14,10 @@ from pathlib import Path, PurePosixPath
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from concordat.functions.columns import plain_ascii
 from concordat.operators.admission import VIOLATION, admit, admitted, violations
 from concordat.operators.policy import Policy, check_manifest
 
@@ -108,8 +109,26 @@ def strict_fault(text: str) -> str | None:
     return None if isinstance(value, dict) else "NOT_AN_OBJECT"
 
 
+def _parsed(value: Column) -> Column:
+    """The line as VARIANT if it is exactly one JSON text without repeated names, else null.
+
+    What follows the first text would be ignored, so the line is parsed inside an array that ends with its own digest.
+    """
+    mark = F.sha2(value, 256)
+    whole = F.try_parse_json(F.concat(F.lit("["), value, F.lit(',"'), mark, F.lit('"]')))
+    return F.when(F.try_variant_get(whole, "$[1]", "string") == mark, F.try_variant_get(whole, "$[0]", "variant"))
+
+
+def plainly_strict(value: Column) -> Column:
+    """True for lines that are strict JSON objects beyond doubt, decided in the JVM: one object, names in ASCII,
+    numbers all of 64-bit integers. False for all others, strict or not."""
+    shape = F.schema_of_variant(_parsed(value))
+    return F.coalesce(F.startswith(shape, F.lit("OBJECT<")) & plain_ascii(shape) & ~shape.rlike("DECIMAL|DOUBLE|FLOAT|VARIANT"), F.lit(False))
+
+
 def strict_faults(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """path, fault of every line that isn't strict JSON. Only a parser sees repeated names, so lines go to Python in Arrow batches."""
+    """path, fault of every line that isn't strict JSON. Lines that the JVM isn't sure of go to the Python parser, in
+    Arrow batches; where there are none, the result has no Python in its plan."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -117,11 +136,21 @@ def strict_faults(spark: SparkSession, paths: list[str]) -> DataFrame:
             yield pd.DataFrame({"path": batch["path"], "fault": fault})[fault.notna()]
 
     readable = _lines(spark, paths).where(F.is_valid_utf8("value") & (F.col("value") != ""))
-    return readable.mapInPandas(run, "path string, fault string")
+    doubtful = readable.where(~plainly_strict(F.col("value")))
+    if doubtful.isEmpty():
+        return spark.createDataFrame([], "path string, fault string")
+    return doubtful.mapInPandas(run, "path string, fault string")
+
+
+def canonical_faults(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """path, fault of the lines that aren't their own canonical form: sorted names, no blanks, no needless escapes."""
+    lines = _lines(spark, paths).where(F.is_valid_utf8("value") & (F.col("value") != ""))
+    return lines.where(~F.col("value").eqNullSafe(F.to_json(_parsed(F.col("value"))))).select("path", F.lit("NOT_CANONICAL").alias("fault"))
 
 
-def object_violations(spark: SparkSession, declared: Iterable[Mapping[str, Any]]) -> DataFrame:
-    """Violations of objects (family, path, size_bytes, sha256, record_count) by their bytes and lines.
+def object_violations(spark: SparkSession, declared: Iterable[Mapping[str, Any]], canonical: bool = False) -> DataFrame:
+    """Violations of objects (family, path, size_bytes, sha256, record_count) by their bytes and lines; canonical
+    asks for JSON lines in canonical form too.
 
     An object without records is one LF (JSON Lines) or the header alone (CSV).
     """
@@ -147,16 +176,19 @@ def object_violations(spark: SparkSession, declared: Iterable[Mapping[str, Any]]
     wrong = facts.select("family", "path", F.explode(found).alias("v")).select("v.rule", "family", F.col("path").alias("identity"), "v.detail").select(*VIOLATION)
     if not json_paths:
         return wrong
-    loose = strict_faults(spark, json_paths).groupBy("path").agg(F.min("fault").alias("detail")).join(frame, "path")
+    faults = strict_faults(spark, json_paths)
+    if canonical:
+        faults = faults.unionByName(canonical_faults(spark, json_paths))
+    loose = faults.groupBy("path").agg(F.min("fault").alias("detail")).join(frame, "path")
     return violations(wrong, loose.select(F.lit(SCHEMA).alias("rule"), "family", F.col("path").alias("identity"), "detail"))
 
 
-def admit_bundle(spark: SparkSession, manifest: Mapping[str, Any], root: str | Path, policy: Policy, known_runs: Mapping[str, str] | None = None) -> dict[str, DataFrame]:
+def admit_bundle(spark: SparkSession, manifest: Mapping[str, Any], root: str | Path, policy: Policy, known_runs: Mapping[str, str] | None = None, canonical: bool = False) -> dict[str, DataFrame]:
     """The families of a manifest, after the manifest, every object and every record passed.
 
     Refused: a manifest that isn't what it says or names another policy, repeated locators, families
     that are missing or unknown, objects that differ in size, digest, record count or framing, JSON
-    that isn't strict, and all that ``admission.gates`` finds. Replays are dropped. Nothing is
+    that isn't strict (or, on demand, not in canonical form), and all that ``admission.gates`` finds. Replays are dropped. Nothing is
     returned or written before that.
     """
     check_manifest(manifest, policy, known_runs)
@@ -167,5 +199,5 @@ def admit_bundle(spark: SparkSession, manifest: Mapping[str, Any], root: str | P
     if {o.get("family") for o in objects} != set(FAMILIES):
         raise ValueError(f"{SCHEMA}: families must be {sorted(FAMILIES)}")
     placed = [dict(o) | {"path": confined(root, o["relative_path"]) if o["locator_type"] == "LOCAL_FILE" else o["s3_uri"]} for o in objects]
-    admit(object_violations(spark, placed))
+    admit(object_violations(spark, placed, canonical))
     return admitted({f: read_family(spark, [o["path"] for o in placed if o["family"] == f], f) for f in FAMILIES}, policy)

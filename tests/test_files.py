@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from concordat.__main__ import main
 from concordat.operators.policy import read_policy
@@ -62,6 +63,43 @@ def test_identity_is_checked(spark, tmp_path, field, value, detail):
         files.admit_bundle(spark, records.bound({k: v for k, v in manifest.items() if k != "manifest_sha256"}), tmp_path, RULES)
 
 
+LINES = [
+    '{"b":1,"a":[{"x":2}]}', '{"a":1,"a":2}', '{"a":1.5}', '{"a":9223372036854775808}', '{"a":NaN}', "[1]", "{", '{"a":1} {"b":2}', '{"a":1}x', '{"a":1e2}', '{"a":1.0}', '{"é":1}', '{"a":"\\u00e9\\n\\/"}', ' {"a":1} ', '{"a":"\\ud800"}',
+    '{"a":-0}', '{"a":01}', "null", '"x"', '{"a":"x\ty"}', '{"a":true,"b":null}', '{"a":123456789012345678901234567890123456789012}', '{"a":1,}', "{'a':1}", '{"a":"A\u0301","\\u0061":2}', '{"a":1},{"b":2}', '{"a":1}] [{}',
+    '{"é":1,"e\u0301":2}', '{"DECIMAL":1}', '{"a":[1.5,"x"]}', '{"a":[1,"x"]}', '{"a":{"b":[]}}', "{}", '{"a":-9223372036854775808}', '{"a":Infinity}', '{"a":"' + "y" * 5000 + '"}', '{"a":' * 1200 + "1" + "}" * 1200,
+]
+
+
+def test_jvm_and_parser_agree_on_every_line(spark, tmp_path):
+    """Only doubtful lines reach the parser, and none of the lines that the JVM lets pass has a fault."""
+    frame = spark.createDataFrame(list(enumerate(LINES)), "i int, value string")
+    passed = {r.i for r in frame.where(files.plainly_strict(F.col("value"))).collect()}
+    sound = {i for i, line in enumerate(LINES) if files.strict_fault(line) is None}
+    assert passed <= sound and {0, 12, 13, 20, 31, 32, 33, 35} <= passed
+    (tmp_path / "bad").write_text("\n".join(LINES) + "\n")
+    (tmp_path / "good").write_text("\n".join(LINES[i] for i in sorted(passed)) + "\n")
+    found = files.strict_faults(spark, [str(tmp_path / "bad")])
+    assert sorted(r.fault for r in found.collect()) == sorted(f for line in LINES if (f := files.strict_fault(line)))
+    clean = files.strict_faults(spark, [str(tmp_path / "good")])
+    assert clean.isEmpty() and "Python" not in clean._jdf.queryExecution().toString() and "Pandas" not in clean._jdf.queryExecution().toString()
+
+
+def test_canonical_form(spark, tmp_path):
+    good = ['{"a":[{"x":2}],"b":1}', '{"a":"é\\n"}', "{}"]
+    for name, lines, n in (("good", good, 0), ("bad", ['{"b":1,"a":2}', '{"a": 1}', '{"a":"\\u00e9"}', '{"a":1}x', "{", *good], 5)):
+        (tmp_path / name).write_text("\n".join(lines) + "\n")
+        assert files.canonical_faults(spark, [str(tmp_path / name)]).count() == n
+    sorted_text = json.dumps({k: v for k, v in EVENT.items() if v is not None}, sort_keys=True, separators=(",", ":")) + "\n"
+    journal_text = json.dumps({k: v for k, v in records.journal().items() if v is not None}, sort_keys=True, separators=(",", ":")) + "\n"
+    for texts, fits in (({"PROCESSOR_EVENTS": sorted_text, "LEDGER_JOURNALS": journal_text}, True), ({"LEDGER_JOURNALS": journal_text}, False)):
+        manifest = bundle(tmp_path / str(fits), **texts)
+        if fits:
+            assert files.admit_bundle(spark, manifest, tmp_path / str(fits), RULES, canonical=True)["PROCESSOR_EVENTS"].count() == 1
+        else:
+            with pytest.raises(ValueError, match="NOT_CANONICAL"):
+                files.admit_bundle(spark, manifest, tmp_path / str(fits), RULES, canonical=True)
+
+
 def test_composed_and_decomposed_names_collide():
     assert files.strict_fault('{"\u00e9": 1, "e\u0301": 2}') == "REPEATED_NAME"
     assert files.strict_fault('{"a": {"b": -9223372036854775808}}') is None

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from concordat.operators.policy import read_policy
 from concordat.sources import files
-from concordat.streaming import replays, runs
+from concordat.streaming import replays, runs, windows
 from tests import records
 from tests.records import bank, event, journal, settlement
 
@@ -144,3 +144,30 @@ def test_chained_runs(spark, tmp_path):
     once = runs.Runs(spark, str(tmp_path / "once"), policy)
     once(runs.envelopes(whole), 0)
     assert statuses(once.tables()) == statuses(last) and {s for _, s, _ in statuses(last)} == {"MATCHED"}
+
+
+EVENTS = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double"
+
+
+def test_windowed_streams_equal_their_tables(spark, tmp_path):
+    """Data in order end in the rows of the table form; a row behind the watermark is counted, and in no window."""
+    rng, place = random.Random(9), tmp_path / "events"
+    place.mkdir()
+    made = [(i, f"2026-01-{1 + i // 60:02d} {i % 60 // 3:02d}:{rng.randint(0, 59):02d}:00", rng.randint(0, 3), rng.choice("ab"), float(i)) for i in range(240)]
+    made.sort(key=lambda r: r[1])
+    names = [c.split(" ")[0] for c in EVENTS.split(", ")]
+    write = lambda name, rows: (place / name).write_text("".join(json.dumps(dict(zip(names, r, strict=True))) + "\n" for r in rows))
+    for part in range(3):
+        write(f"{part}.json", made[part * 80 : (part + 1) * 80])
+    write("8.json", [(997, "2026-02-01 00:00:00", 9, "end", 0.0)])
+    write("9.json", [(998, "2026-01-01 00:00:00", 0, "a", 0.0), (999, "2026-02-01 01:00:00", 9, "end", 0.0)])
+    whole = spark.createDataFrame(made, EVENTS.replace("ts timestamp", "ts string"))
+    for form, n_windows in ((windows.hourly, 1), (windows.sliding, 4), (windows.sessions, 1)):
+        stream = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).json(str(place))
+        out = str(tmp_path / form.__name__)
+        query = form(stream).writeStream.format("parquet").outputMode("append").options(path=out, checkpointLocation=out + "-ck").trigger(availableNow=True).start()
+        query.awaitTermination()
+        closed = spark.read.parquet(out)
+        closed = closed.where("user_id <> 9") if "user_id" in closed.columns else closed.where("event_type <> 'end'")
+        assert sorted(map(str, closed.collect())) == sorted(map(str, form(whole).collect()))
+        assert windows.dropped(query) == n_windows
