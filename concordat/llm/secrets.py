@@ -1,12 +1,12 @@
 """Secret scan: candidates by pattern, false positives removed by a random forest; DataFrame expressions only.
 
 Candidates are runs of 16 or more letters, digits and ``_+/-`` (with dots between parts and base64
-padding), whole private key blocks, and, right after a word like ``password`` with ``=`` or ``:``,
-values of 6 or more characters. Whatever stands in a candidate, the forest decides. Its features are
+padding), whole private key blocks (PGP ones too, with their header lines), the password in
+``://user:password@``, and, right after a word like ``password`` with ``=``, ``:`` or ``is``, values of 6 or more characters. Whatever stands in a candidate, the forest decides. Its features are
 the length, the changes of character class along the candidate, the shares of digits, capitals,
 other marks, distinct characters, of characters that dictionary words cover and of letter pairs that
-are usual in words, whether it looks like a path, an identifier or a placeholder, and the words
-beside it. The forest is trained on the driver from labelled findings (at most ``most_findings``
+are usual in words, whether it looks like a path, an identifier, a placeholder or a key as issuers
+mark them, and the words beside it. The forest is trained on the driver from labelled findings (at most ``most_findings``
 rows, a documented bound; a table of them, or by default findings made here from a seed), and
 becomes one SQL expression, so scanning stays inside the row: no text is shuffled and no Python runs
 on executors.
@@ -39,15 +39,19 @@ from pyspark.sql import functions as F
 
 from concordat.llm.quality import bind
 
-KEYWORDS = ("token", "secret", "password", "passwd", "pwd", "passphrase", "api_key", "apikey", "api-key", "api key", "access key", "access_key", "auth", "bearer", "credential", "private key", "client_secret")
+KEYWORDS = ("token", "secret", "password", "passwd", "pwd", "passphrase", "pass", "pw", "kennwort", "contraseña", "api_key", "apikey", "api-key", "api key", "access key", "access_key", "auth", "bearer", "credential", "private key", "client_secret")
 #: Java patterns; runs are possessive, so that they never backtrack over long texts.
 RUN = r"(?<![A-Za-z0-9_+/.\-])(?=[A-Za-z0-9_+/.\-]{16})[A-Za-z0-9_+/\-]++(?:\.[A-Za-z0-9_+/\-]++)*+={0,2}"
-KEY_BLOCK = r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----[A-Za-z0-9+/=\s]*+-----END [A-Z ]{0,30}PRIVATE KEY-----"
-ASSIGNED = "(?i:" + "|".join(KEYWORDS) + r")[\"']?\s{0,2}[=:]\s{0,2}[\"']?"
+KEY_BLOCK = r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY(?: BLOCK)?-----(?:(?!-----END )[\x20-\x7E\s])*+-----END [A-Z ]{0,30}PRIVATE KEY(?: BLOCK)?-----"
+ASSIGNED = "(?i:" + "|".join(KEYWORDS) + r")[\"']?\s{0,2}(?:[=:]|is\s)\s{0,2}[\"']?"
+#: The password of user:password@host in an address; the first lookbehind spares the second one nearly everywhere.
+USERINFO = r"(?<=:)(?<=://[A-Za-z0-9._%+\-]{1,40}:)[^\s@/:\"'<>]{3,64}+(?=@)"
+#: Keys that their issuers mark: fixed prefixes and lengths.
+ISSUED = r"^(AKIA|ASIA)[A-Z0-9]{16}$|^gh[oprsu]_[A-Za-z0-9]{30,}$|^github_pat_[A-Za-z0-9_]{20,}$|^[sr]k_(live|test)_[A-Za-z0-9]{16,}$|^xox[abprs]-[A-Za-z0-9-]{10,}$|^AIza[A-Za-z0-9_-]{30,}$|^glpat-[A-Za-z0-9_-]{16,}$|^eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*$"
 VALUE = r"[^\s\"'`,;<>(){}\[\]]{6,}+"
 #: Texts in which a keyword is assigned something are scanned by the wider pattern, others can't have its values.
-WIDE = f"{KEY_BLOCK}|(?<=[\"'=:\\s])(?<={ASSIGNED}){VALUE}|{RUN}"
-NARROW = f"{KEY_BLOCK}|{RUN}"
+WIDE = f"{KEY_BLOCK}|{USERINFO}|(?<=[\"'=:\\s])(?<={ASSIGNED}){VALUE}|{RUN}"
+NARROW = f"{KEY_BLOCK}|{USERINFO}|{RUN}"
 AROUND = 48
 BLOCK = 256
 MARK = "[SECRET]"
@@ -69,7 +73,7 @@ DICTIONARY = (
 PAIRS = tuple(sorted(pair for pair, n in Counter(p for w in set(DICTIONARY) for p in {w[i : i + 2] for i in range(len(w) - 1)}).items() if n > 1 and pair.isascii()))
 BENIGN = ("commit", "sha", "sha1", "sha256", "md5", "hash", "checksum", "digest", "uuid", "guid", "etag", "revision", "build", "isbn", "order", "id", "version", "file", "path", "image", "integrity")
 FEATURES = (
-    "length", "changes", "digits", "capitals", "marks", "distinct", "dictionary", "pairs", "hexadecimal", "path", "keyword", "assigned", "quoted", "benign", "placeholder", "uuid", "block",
+    "length", "changes", "digits", "capitals", "marks", "distinct", "dictionary", "pairs", "hexadecimal", "path", "keyword", "assigned", "quoted", "benign", "placeholder", "uuid", "block", "issued", "userinfo",
 )
 THRESHOLD = 0.5
 TREES, DEPTH, SEED = 21, 8, 7
@@ -141,6 +145,8 @@ def features(c: Column) -> Column:
         flag(low.rlike("example|sample|dummy|placeholder|change.?me|xxxx|your[_-]|0{6,}|123456|\\$\\{|\\*{4}")).alias("placeholder"),
         flag(low.rlike("^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$")).alias("uuid"),
         flag(text.startswith("-----BEGIN")).alias("block"),
+        flag(text.rlike(ISSUED)).alias("issued"),
+        flag(before.rlike(r"://[a-z0-9._%+\-]{1,40}:$") & c["after"].startswith("@")).alias("userinfo"),
     )
 
 
@@ -164,12 +170,13 @@ def _kinds(rng: random.Random) -> tuple[dict[str, Callable[[], tuple[str, str]]]
         "aws": lambda: ("AKIA" + pick(string.ascii_uppercase + string.digits, 16), ""),
         "alphanumeric": lambda: (pick(full, rng.randint(20, 64)), ""),
         "base64": lambda: (b64(18, 48), ""),
-        "prefixed": lambda: (rng.choice(["sk_live_", "ghp_", "xoxb-"]) + pick(full, 36), ""),
+        "prefixed": lambda: (rng.choice(["sk_live_", "ghp_", "gho_", "ghs_", "xoxb-", "xoxp-", "AIza", "glpat-"]) + pick(full, 36), ""),
+        "userinfo": lambda: (pick(full, rng.randint(5, 20)) if rng.random() < 0.5 else word() + str(rng.randint(1, 999)), "@"),
         "password": lambda: (pick(string.ascii_lowercase * 2 + full + "!@#%&*+-_?" * rng.randint(0, 2), rng.randint(7, 20)), ""),
         "phrase": lambda: (plain(rng.randint(3, 5)) + syllables(1) + rng.choice(["", str(rng.randint(1, 99)), "!"]), '"'),
         "letters": lambda: ("".join(rng.sample(string.ascii_lowercase, rng.randint(16, 26))) if rng.random() < 0.6 else string.ascii_lowercase, '"'),
         "parts": lambda: ("eyJ" + ".".join(pick(full + "_-", rng.randint(20, 80)) for _ in range(3)), ""),
-        "block": lambda: ("-----BEGIN RSA PRIVATE KEY-----\n" + b64(rng.choice([6, 30, 200]), 400) + "\n-----END RSA PRIVATE KEY-----", ""),
+        "block": lambda: (rng.choice(["-----BEGIN RSA PRIVATE KEY-----\n", "-----BEGIN PGP PRIVATE KEY BLOCK-----\nVersion: 1\n\n"]) + b64(rng.choice([6, 30, 200]), 400) + "\n-----END RSA PRIVATE KEY-----", ""),
     }
     harmless = {
         "digest": lambda: (rng.choice(BENIGN) + rng.choice([" ", ": ", "="]), pick(hexes, rng.choice([32, 40, 64])), ""),
@@ -187,7 +194,7 @@ def _kinds(rng: random.Random) -> tuple[dict[str, Callable[[], tuple[str, str]]]
         "domain": lambda: (rng.choice(["", "www.", "@", "https://"]), f"{word()}{rng.randint(1, 99)}.{word()}.example.com", ""),
         "mailbox": lambda: ("", f"{syllables(2)}.{rng.randint(1, 99)}", "@mail.example.com"),
         "code": lambda: (rng.choice(KEYWORDS) + rng.choice([" = ", "=", ": "]), word() + "." + word() + "_" + word(), rng.choice(["(", "[", ")", ";"])),
-        "remark": lambda: (rng.choice(KEYWORDS) + ": ", rng.choice([word(), syllables(3)]), rng.choice([" ", ". ", ", "])),
+        "remark": lambda: (rng.choice(KEYWORDS) + rng.choice([": ", " is ", " is "]), rng.choice([word(), syllables(3)]), rng.choice([" ", ". ", ", "])),
     }
     return secret, harmless
 
@@ -203,10 +210,12 @@ def made_findings(n: int = 4000, seed: int = SEED, without: Sequence[str] = (),
         if i % 2 and chosen[0]:
             value, quote = rng.choice(list(chosen[0].values()))()
             key, sign = rng.choice(KEYWORDS), rng.choice([" = ", "=", ": ", " is ", ":"])
-            quote = quote or rng.choice(['"', "'", "", '"'])
-            before = filler() + rng.choice(["", "my ", "aws_", "x-"]) + key + (sign if quote else sign.replace(" is ", "=")) + quote
-            if value.startswith("-----") or rng.random() < 0.1 and value.startswith(("AKIA", "ghp_", "sk_", "xox", "eyJ")):
+            quote = quote or rng.choice(['"', "'", "", ""])
+            before = filler() + rng.choice(["", "my ", "the ", "aws_", "aws_secret_", "db_", "x-"]) + key + sign + quote
+            if value.startswith("-----") or rng.random() < 0.4 and value.startswith(("AKIA", "gh", "sk_", "xox", "eyJ", "AIza", "glpat-")):
                 before, quote = filler(), ""
+            if quote == "@":
+                before, quote = filler() + rng.choice(["https://", "postgres://", "ftp://"]) + rng.choice([*DICTIONARY[:60], "admin", "root"]) + ":", "@" + rng.choice(DICTIONARY) + ".example.com/"
             out.append(Finding(before, value, quote + " " + filler(), True))
         elif not i % 2 and chosen[1]:
             before, value, after = rng.choice(list(chosen[1].values()))()
