@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from concordat.functions.columns import MONEY, business_digest, canonical_timestamp, derived_id, nfc, plain_ascii, reasons
+from concordat.functions.columns import MONEY, business_digest, canonical_timestamp, nfc, plain_ascii, reasons
 from concordat.operators import settlements as stl
 from concordat.operators import transactions as txn
 from concordat.operators.policy import Policy
@@ -29,7 +29,6 @@ POSITIVE = {"PROCESSOR_EVENTS": ("amount_minor",), "BANK_ENTRIES": ("amount_mino
 NOT_NEGATIVE = {"PROCESSOR_SETTLEMENTS": ("gross_minor", "fee_minor", "refund_minor", "chargeback_minor", "reserve_minor")}
 MOMENTS = {"PROCESSOR_EVENTS": ("occurred_at", "received_at"), "PROCESSOR_SETTLEMENTS": ("occurred_at", "received_at"), "LEDGER_JOURNALS": ("effective_at", "received_at"), "BANK_ENTRIES": ("value_at", "received_at")}
 POSTING_FIELDS = ("account_role", "amount_minor", "line_id", "side")
-NORMALISED = ("processor", "merchant_id", "payment_id", "settlement_id", "settlement_cycle", "settlement_reference", "source_record_id", "reference_event_id", "bank_account_id", "bank_record_id", "ledger_system", "journal_id")
 
 
 def _row(df: DataFrame, rule: str | Column, family: str, identity: Column, detail: Column) -> DataFrame:
@@ -159,12 +158,28 @@ def ambiguous_targets(sets: DataFrame, journals: DataFrame) -> DataFrame:
 
 
 def normalised(df: DataFrame) -> DataFrame:
-    """Keys and references in Unicode NFC. Plain ASCII families, nearly all, don't meet the Arrow function."""
-    names = [c for c in NORMALISED if c in df.columns]
-    other = reduce(lambda a, b: a | b, (F.coalesce(~plain_ascii(F.col(c)), F.lit(False)) for c in names))
+    """All texts in Unicode NFC, those of postings too. Plain ASCII families, nearly all, don't meet the Arrow function.
+
+    Postings are normalised as one text of the whole array, because a Python function can't stand in a lambda.
+    """
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    names = [c for c, kind in kinds.items() if kind.typeName() == "string" and c != "payload_sha256"]
+    text = {c: F.col(c) for c in names} | {c: F.to_json(c) for c, kind in kinds.items() if kind.typeName() == "array"}
+    if not text:
+        return df
+    other = reduce(lambda a, b: a | b, (F.coalesce(~plain_ascii(t), F.lit(False)) for t in text.values()))
     if df.where(other).isEmpty():
         return df
-    return df.withColumns({c: nfc(F.col(c)) for c in names})
+    return df.withColumns({c: nfc(t) if c in names else F.from_json(nfc(t), kinds[c]) for c, t in text.items()})
+
+
+def overflows(df: DataFrame, family: str, keys: tuple[str, ...], amount: str = "amount_minor") -> DataFrame:
+    """Violations: keys whose amounts add up to more than 64 bits hold; the detail is the exact sum.
+
+    Reconciliation would abort at such a key without naming it. Sums are exact in decimals and partial before the shuffle.
+    """
+    total = df.groupBy(*keys).agg(F.sum(F.col(amount).cast(MONEY)).alias("total"))
+    return _row(total.where(F.abs("total") > F.lit((1 << 63) - 1).cast(MONEY)), "ARITHMETIC_OVERFLOW", family, F.concat_ws("/", *keys), F.col("total"))
 
 
 def admitted(found: Mapping[str, DataFrame], policy: Policy) -> dict[str, DataFrame]:
@@ -187,7 +202,3 @@ def admit(found: DataFrame) -> None:
     first = found.take(1)
     if first:
         raise Refused(f"ADMISSION {first[0].rule}: {first[0].family} {first[0].identity} {first[0].detail}")
-
-
-def with_digest(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    return df.withColumn("payload_sha256", derived_id("", columns))

@@ -7,9 +7,10 @@ import uuid
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from concordat.operators import digests, history, revisions
+from concordat.operators import admission, compare, digests, history, results, revisions
+from concordat.operators import settlements as stl
 from concordat.plans import registry
-from concordat.plans.oracle import FIRST, FULL, HISTORY, query
+from concordat.plans.oracle import FIRST, FULL, HISTORY, STL, THREE, query
 from concordat.plans.registry import Query
 from concordat.sources import derived, lines
 from concordat.sources.scratch import deleted, shared_folder
@@ -174,3 +175,62 @@ n AS (SELECT user_id, ts, SUM(opens) OVER (PARTITION BY user_id ORDER BY ts) AS
 SELECT user_id, strftime(MIN(ts), '%Y-%m-%d %H:%M:%S.%f') AS session_start, strftime(MAX(ts) + INTERVAL 30 MINUTE, '%Y-%m-%d %H:%M:%S.%f') AS session_end, COUNT(*) AS n_events FROM n GROUP BY user_id, session""")
 def event_sessions(s, d):
     return windows.sessions(table(s, d, "events"))
+
+
+@with_sql(query("""SELECT merchant_id, currency, settlement_id, COUNT(*) AS n_targets, COUNT(*) FILTER (processor = 'p-1') AS n_in_bundle FROM (SELECT DISTINCT * FROM v_raw_target) GROUP BY ALL HAVING COUNT(*) > 1"""))
+def merged_targets(s, d):
+    """References that are ambiguous only in the state that a second run leaves: the first run held one processor's settlements, the second the other's."""
+    keys = derived.raw(s, d, "target").select(*stl.KEYS)
+    stored, observed = keys.where("processor = 'p-0'"), keys.where("processor <> 'p-0'")
+    alone = observed.distinct().groupBy(*stl.REFERENCE).agg(F.count("*").alias("n_in_bundle"))
+    return stl.ambiguous(stored.unionByName(observed)).join(alone, list(stl.REFERENCE), "left").withColumn("n_in_bundle", F.coalesce("n_in_bundle", F.lit(0).cast("bigint")))
+
+
+_STL_CODES = "CASE WHEN reason_codes = '' THEN [] ELSE string_split(reason_codes, '|') END"
+_STL_KNOWN = "[" + ", ".join(f"'{r}'" for r in (*stl.REASONS, "TOLERATED_DIFFERENCE")) + "]"
+_FAULTY = """faulty AS (SELECT reconciliation_key, processor, CASE WHEN m % 59 = 0 THEN merchant_id || 'x' ELSE merchant_id END AS merchant_id, settlement_id, settlement_cycle, CASE WHEN m % 53 = 0 THEN lower(currency) ELSE currency END AS currency,
+  processor_net_minor, ledger_clearing_minor, bank_minor, processor_ledger_delta_minor, processor_bank_delta_minor, ledger_bank_delta_minor + CASE WHEN m % 37 = 0 THEN 1 ELSE 0 END AS ledger_bank_delta_minor,
+  difference_minor - CASE WHEN m % 31 = 0 THEN 1 ELSE 0 END AS difference_minor, processor_settlement_count, ledger_journal_count, allocated_bank_entry_count - CASE WHEN m % 41 = 0 THEN 99 ELSE 0 END AS allocated_bank_entry_count,
+  CASE WHEN m % 43 = 0 THEN 'MATCHED' WHEN m % 61 = 0 THEN 'UNKNOWN' ELSE status END AS status, CASE WHEN m % 47 = 0 THEN 'NO_SUCH_REASON' ELSE reason_codes END AS reason_codes
+  FROM (SELECT *, ABS(processor_net_minor) + length(settlement_id) AS m FROM three))"""
+
+
+@with_sql(query(f"""SELECT reconciliation_key, faults FROM (SELECT reconciliation_key, concat_ws('|', CASE WHEN NOT regexp_full_match(currency, '[A-Z]{{3}}') THEN 'CURRENCY' END,
+  CASE WHEN len(list_distinct({_STL_CODES})) <> len({_STL_CODES}) OR NOT list_has_all({_STL_KNOWN}, {_STL_CODES}) THEN 'REASONS' END, CASE WHEN status NOT IN ('MATCHED', 'WITHIN_TOLERANCE', 'EXCEPTION') THEN 'STATUS' END,
+  CASE WHEN processor_ledger_delta_minor <> processor_net_minor - ledger_clearing_minor OR processor_bank_delta_minor <> processor_net_minor - bank_minor OR ledger_bank_delta_minor <> ledger_clearing_minor - bank_minor THEN 'DELTA' END,
+  CASE WHEN difference_minor <> GREATEST(ABS(processor_ledger_delta_minor), ABS(processor_bank_delta_minor), ABS(ledger_bank_delta_minor)) THEN 'DIFFERENCE' END,
+  CASE WHEN processor_settlement_count < 0 OR ledger_journal_count < 0 OR allocated_bank_entry_count < 0 THEN 'COUNT' END,
+  CASE WHEN (status = 'MATCHED') <> (difference_minor = 0 AND reason_codes = '') OR (status = 'WITHIN_TOLERANCE') <> (difference_minor > 0 AND reason_codes = 'TOLERATED_DIFFERENCE') THEN 'STATUS_REASON' END,
+  CASE WHEN reconciliation_key <> {STL} THEN 'KEY' END) AS faults FROM faulty) WHERE faults <> ''""", THREE, _FAULTY))
+def settlement_semantic_check(s, d):
+    """Contradictions of planted settlement results."""
+    rows, m = registry._three(s, d), F.abs("processor_net_minor") + F.length("settlement_id")
+    changed = {
+        "merchant_id": F.when(m % 59 == 0, F.concat("merchant_id", F.lit("x"))).otherwise(F.col("merchant_id")), "currency": F.when(m % 53 == 0, F.lower("currency")).otherwise(F.col("currency")),
+        "ledger_bank_delta_minor": F.col("ledger_bank_delta_minor") + F.when(m % 37 == 0, 1).otherwise(0), "difference_minor": F.col("difference_minor") - F.when(m % 31 == 0, 1).otherwise(0),
+        "allocated_bank_entry_count": F.col("allocated_bank_entry_count") - F.when(m % 41 == 0, 99).otherwise(0),
+        "status": F.when(m % 43 == 0, "MATCHED").when(m % 61 == 0, "UNKNOWN").otherwise(F.col("status")), "reason_codes": F.when(m % 47 == 0, "NO_SUCH_REASON").otherwise(F.col("reason_codes")),
+    }
+    return results.row_faults(rows.select(*(changed.get(c, F.col(c)).alias(c) for c in rows.columns)), "settlements")
+
+
+_LARGE = 9 * 10**8
+
+
+@with_sql(query(f"SELECT 'ARITHMETIC_OVERFLOW' AS rule, 'PROCESSOR_EVENTS' AS family, processor || '/' || merchant_id || '/' || currency AS identity, CAST(SUM(CAST(amount_minor AS HUGEINT) * {_LARGE}) AS VARCHAR) AS detail FROM v_event GROUP BY processor, merchant_id, currency HAVING SUM(CAST(amount_minor AS HUGEINT) * {_LARGE}) > 9223372036854775807"))
+def overflowing_sums(s, d):
+    """Merchants whose amounts, all of them large, add up to more than 64 bits."""
+    large = derived.events(s, d).withColumn("amount_minor", (F.col("amount_minor").cast("decimal(38,0)") * _LARGE).cast("decimal(38,0)"))
+    return admission.overflows(large, "PROCESSOR_EVENTS", ("processor", "merchant_id", "currency"))
+
+
+_PAIR = "processor, source_record_id, event_type, amount_minor, currency"
+
+
+@with_sql(query(f"""SELECT {_PAIR}, CAST(ABS(SUM(e)) AS BIGINT) AS n_rows, CASE WHEN SUM(e) > 0 THEN 'expected' ELSE 'actual' END AS side
+  FROM (SELECT {_PAIR}, 1 AS e FROM v_raw_event UNION ALL SELECT {_PAIR}, -1 FROM v_event) GROUP BY {_PAIR} HAVING SUM(e) <> 0"""))
+def raw_against_canonical(s, d):
+    """Raw records that the canonical ones don't hold as often, and the other way round."""
+    names = [c.strip() for c in _PAIR.split(",")]
+    found = compare.differences(derived.raw(s, d, "event").select(*names), derived.events(s, d).select(*names))
+    return found.select(*names, F.abs("balance").alias("n_rows"), "side")

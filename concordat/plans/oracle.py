@@ -108,11 +108,13 @@ ALLOC_FAULTS = """SELECT DISTINCT bank_account_id, bank_record_id, faults FROM (
   CASE WHEN (disposition = 'ALLOCATED') <> (settlement_reconciliation_key IS NOT NULL) THEN 'TARGET' END, CASE WHEN (disposition = 'ALLOCATED') <> (account_permitted IS NOT NULL) THEN 'PERMISSION' END) AS faults
   FROM (SELECT bank_account_id, bank_record_id, settlement_reconciliation_key, CASE WHEN m % 37 = 0 THEN 'ALLOCATED' WHEN m % 41 = 0 THEN 'LOST' ELSE disposition END AS disposition, CASE WHEN m % 43 = 0 THEN NULL ELSE account_permitted END AS account_permitted
   FROM (SELECT *, length(bank_record_id) + signed_minor AS m FROM alloc))) WHERE faults <> ''"""
+_EVENT_JSON = """concat_ws(',', '{"amount_minor":' || amount_minor, '"currency":"' || currency || '"', '"event_type":"' || event_type || '"', '"merchant_id":"' || merchant_id || '"', '"occurred_at":"' || occurred_at || '"',
+  '"payment_id":"' || payment_id || '"', '"processor":"' || processor || '"', '"reference_event_id":"' || reference_event_id || '"', '"schema_version":"' || schema_version || '"', '"source_record_id":"' || source_record_id || '"}')"""
 _ROW_RULES = {
     "SCHEMA_VIOLATION:received_at is null": "received_at IS NULL", "SCHEMA_VIOLATION:processor is empty or has outer blanks": "processor LIKE '% '",
     "SCHEMA_VIOLATION:unknown event_type": "event_type NOT IN ('CAPTURE','REFUND','CHARGEBACK','REVERSAL')", "SCHEMA_VIOLATION:amount_minor is not positive": "amount_minor <= 0",
-    "SCHEMA_VIOLATION:occurred_at is no moment": "occurred_at = '2020-13-01T00:00:00Z'", "SCHEMA_VIOLATION:unsupported currency": "currency NOT IN ('INR','JPY','USD')",
-    "SCHEMA_VIOLATION:reference": "(event_type = 'CAPTURE') = (reference_event_id IS NOT NULL)", "SOURCE_IDENTITY_MISMATCH:payload digest": "k % 353 = 0",
+    "SCHEMA_VIOLATION:occurred_at is no moment": "TRY_CAST(replace(replace(occurred_at, 'T', ' '), 'Z', '') AS TIMESTAMP) IS NULL", "SCHEMA_VIOLATION:unsupported currency": "currency NOT IN ('INR','JPY','USD')",
+    "SCHEMA_VIOLATION:reference": "(event_type = 'CAPTURE') = (reference_event_id IS NOT NULL)", "SOURCE_IDENTITY_MISMATCH:payload digest": f"payload_sha256 <> sha256({_EVENT_JSON})",
 }
 ADMISSION = " UNION ALL ".join(f"SELECT '{name.partition(':')[0]}' AS rule, 'PROCESSOR_EVENTS' AS family, processor || '/' || source_record_id AS identity, '{name.partition(':')[2]}' AS detail FROM v_raw_record WHERE {test}" for name, test in _ROW_RULES.items())
 _RAW = "SELECT processor, source_record_id, COUNT(*) AS n_rows FROM v_raw_event GROUP BY ALL"

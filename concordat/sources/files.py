@@ -16,6 +16,7 @@ from typing import Any
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from concordat.functions.columns import plain_ascii
 from concordat.operators.admission import VIOLATION, admit, admitted, violations
@@ -142,6 +143,25 @@ def strict_faults(spark: SparkSession, paths: list[str]) -> DataFrame:
     return doubtful.mapInPandas(run, "path string, fault string")
 
 
+def unknown_fields(spark: SparkSession, declared: Iterable[tuple[str, str]]) -> DataFrame:
+    """path, fault of JSON lines with a field that their family doesn't have, or a posting's that postings don't; declared: (family, path).
+
+    Reading by a schema would drop such fields without a word.
+    """
+    found = spark.createDataFrame([], "path string, fault string")
+    for family in sorted({f for f, _ in declared}):
+        schema = T.StructType.fromDDL(FAMILIES[family][1])
+        value = F.col("value")
+        unknown = F.array_except(F.json_object_keys(value), F.array(*map(F.lit, schema.names)))
+        if "postings" in schema.names:
+            inner = F.from_json(F.get_json_object(value, "$.postings"), "array<map<string,string>>")
+            keys = F.array_distinct(F.flatten(F.transform(inner, F.map_keys)))
+            unknown = F.concat(unknown, F.coalesce(F.array_except(keys, F.array(*map(F.lit, schema["postings"].dataType.elementType.names))), F.array().cast("array<string>")))
+        lines = _lines(spark, [p for f, p in declared if f == family]).where(F.is_valid_utf8("value") & F.startswith(F.trim("value"), F.lit("{")))
+        found = found.unionByName(lines.where(F.size(unknown) > 0).select("path", F.concat(F.lit("UNKNOWN_FIELD "), F.array_min(unknown)).alias("fault")))
+    return found
+
+
 def canonical_faults(spark: SparkSession, paths: list[str]) -> DataFrame:
     """path, fault of the lines that aren't their own canonical form: sorted names, no blanks, no needless escapes."""
     lines = _lines(spark, paths).where(F.is_valid_utf8("value") & (F.col("value") != ""))
@@ -176,7 +196,7 @@ def object_violations(spark: SparkSession, declared: Iterable[Mapping[str, Any]]
     wrong = facts.select("family", "path", F.explode(found).alias("v")).select("v.rule", "family", F.col("path").alias("identity"), "v.detail").select(*VIOLATION)
     if not json_paths:
         return wrong
-    faults = strict_faults(spark, json_paths)
+    faults = strict_faults(spark, json_paths).unionByName(unknown_fields(spark, [(n[0], n[2]) for n in named if n[1] == "json"]))
     if canonical:
         faults = faults.unionByName(canonical_faults(spark, json_paths))
     loose = faults.groupBy("path").agg(F.min("fault").alias("detail")).join(frame, "path")

@@ -207,6 +207,17 @@ def test_names_meet_in_normal_form(spark, tmp_path):
     assert found["PROCESSOR_EVENTS"].first().payment_id == composed
     raw = {"BANK_ENTRIES": spark.createDataFrame([(unicodedata.normalize("NFD", composed),)], "settlement_reference string")}
     assert admission.normalised(raw["BANK_ENTRIES"]).first().settlement_reference == composed
+    # Every text, those of postings too; amounts stay exact.
+    apart = unicodedata.normalize("NFD", composed)
+    nested = spark.createDataFrame([(apart, [(apart, 1 << 62)], None)], "note string, postings array<struct<line_id:string,amount_minor:bigint>>, other string")
+    row = admission.normalised(nested).first()
+    assert (row.note, row.postings[0].line_id, row.postings[0].amount_minor, row.other) == (composed, composed, 1 << 62, None)
+
+
+def test_overflowing_keys_are_named(spark):
+    rows = [("a", (1 << 63) - 1), ("a", 0), ("b", (1 << 63) - 1), ("b", 1), ("c", -(1 << 62)), ("c", -(1 << 62)), ("c", -1), ("d", None), (None, 5)]
+    found = admission.overflows(spark.createDataFrame(rows, "k string, amount_minor bigint"), "BANK_ENTRIES", ("k",)).collect()
+    assert {(r.rule, r.identity, r.detail) for r in found} == {("ARITHMETIC_OVERFLOW", "b", str(1 << 63)), ("ARITHMETIC_OVERFLOW", "c", str(-(1 << 63) - 1))}
 
 
 def test_orders_and_partitions_do_not_matter(spark, tmp_path):

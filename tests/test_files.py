@@ -47,6 +47,7 @@ def test_object_without_records(spark, tmp_path):
     ('{"a": NaN}\n', "NOT_A_NUMBER"),
     ("[1]\n", "NOT_AN_OBJECT"),
     ("{\n", "MALFORMED"),
+    (json.dumps(EVENT | {"amount_major": 1}) + "\n", "UNKNOWN_FIELD amount_major"),
 ])
 def test_bad_lines_are_refused(spark, tmp_path, text, detail):
     with pytest.raises(ValueError, match=detail):
@@ -84,6 +85,13 @@ def test_jvm_and_parser_agree_on_every_line(spark, tmp_path):
     assert clean.isEmpty() and "Python" not in clean._jdf.queryExecution().toString() and "Pandas" not in clean._jdf.queryExecution().toString()
 
 
+def test_postings_are_closed_too(spark, tmp_path):
+    own = records.journal()
+    changed = own | {"postings": [own["postings"][0] | {"note": "x"}, own["postings"][1]]}
+    with pytest.raises(ValueError, match="UNKNOWN_FIELD note"):
+        admit(spark, tmp_path, LEDGER_JOURNALS=json.dumps({k: v for k, v in changed.items() if v is not None}) + "\n")
+
+
 def test_canonical_form(spark, tmp_path):
     good = ['{"a":[{"x":2}],"b":1}', '{"a":"é\\n"}', "{}"]
     for name, lines, n in (("good", good, 0), ("bad", ['{"b":1,"a":2}', '{"a": 1}', '{"a":"\\u00e9"}', '{"a":1}x', "{", *good], 5)):
