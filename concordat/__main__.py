@@ -39,6 +39,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     args = parser.parse_args(argv)
     spark = spark or local_session()
     guard(spark)
+    found = {}
     try:
         if args.verb == "verify":
             said = {"entries": publication.History(spark, args.out).verify()}
@@ -64,6 +65,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     except (ValueError, FileExistsError) as error:
         print(json.dumps({"refused": str(error)}), file=sys.stderr)
         return 2
+    finally:
+        files.release(found)
     print(json.dumps(said, sort_keys=True))
     return 0
 

@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from concordat.functions.columns import plain_ascii
-from concordat.operators.admission import VIOLATION, admit, admitted, violations
+from concordat.operators.admission import VIOLATION, Refused, admit, admitted, violations
 from concordat.operators.policy import Policy, check_manifest
+from concordat.sources.scratch import deleted, written
 
 # Families, their formats and their fields in file order.
 _POSTINGS = "array<struct<line_id:string,account_role:string,side:string,amount_minor:bigint>>"
@@ -208,7 +209,8 @@ def admit_bundle(spark: SparkSession, manifest: Mapping[str, Any], root: str | P
 
     Refused: a manifest that isn't what it says or names another policy, repeated locators, families
     that are missing or unknown, objects that differ in size, digest, record count or framing, JSON
-    that isn't strict (or, on demand, not in canonical form), and all that ``admission.gates`` finds. Replays are dropped. Nothing is
+    that isn't strict (or, on demand, not in canonical form), and all that ``admission.gates`` finds.
+    Records are parsed once, into columnar tables in the shared folder, which gates and results read; see ``release``. Replays are dropped. Nothing is
     returned or written before that.
     """
     check_manifest(manifest, policy, known_runs)
@@ -220,4 +222,14 @@ def admit_bundle(spark: SparkSession, manifest: Mapping[str, Any], root: str | P
         raise ValueError(f"{SCHEMA}: families must be {sorted(FAMILIES)}")
     placed = [dict(o) | {"path": confined(root, o["relative_path"]) if o["locator_type"] == "LOCAL_FILE" else o["s3_uri"]} for o in objects]
     admit(object_violations(spark, placed, canonical))
-    return admitted({f: read_family(spark, [o["path"] for o in placed if o["family"] == f], f) for f in FAMILIES}, policy)
+    parsed = {f: written(read_family(spark, [o["path"] for o in placed if o["family"] == f], f), f.lower().replace("_", "-")) for f in FAMILIES}
+    try:
+        return admitted(parsed, policy)
+    except Refused:
+        deleted(*parsed.values())
+        raise
+
+
+def release(found: Mapping[str, DataFrame]) -> None:
+    """Delete the parsed records of an admitted bundle, after their last reader."""
+    deleted(*found.values())

@@ -1,6 +1,7 @@
 """Source objects, bundles, the log and the command line."""
 
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -31,6 +32,17 @@ def test_families_are_read(spark, tmp_path):
     assert found["LEDGER_JOURNALS"].first().postings[1].amount_minor == 100
 
 
+def test_records_are_parsed_once(spark, tmp_path):
+    found = admit(spark, tmp_path)
+    for df in found.values():
+        plan = df._jdf.queryExecution().toString()
+        assert "FileScan parquet" in plan and "FileScan json" not in plan and "FileScan csv" not in plan
+    files.release(found)
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist"):
+        spark.read.parquet(*found["BANK_ENTRIES"].inputFiles()).count()
+    assert not [f for df in found.values() for f in df.inputFiles() if f.startswith("file:") and Path(f.removeprefix("file://")).exists()]
+
+
 def test_object_without_records(spark, tmp_path):
     found = admit(spark, tmp_path, PROCESSOR_EVENTS="\n")
     assert found["PROCESSOR_EVENTS"].where("source_record_id IS NOT NULL").count() == 0
