@@ -3,9 +3,10 @@
 Writing is plain SQL: the payload digest, the choice between response and revisit, and the record
 text; Spark's text writer puts records into files with CRLF CRLF as separator, which is how WARC
 records end, so any Hadoop store and the commit protocol serve. An archive is one gzip stream of at
-most ``records_per_archive`` records; offsets count in it unpacked. Reading takes each archive as one
-binary row, walks it by Content-Length, checks every digest
-and yields one capture run per archive, sorted by (URL key, date, page_id).
+most ``records_per_archive`` records and about ``ARCHIVE_BYTES``; a longer record has one of its own.
+Offsets count in it unpacked. Reading takes each packed archive as one binary row, unpacks it as a
+stream, one record in memory at a time, by Content-Length, checks every digest and yields one
+capture run per archive, sorted by (URL key, date, page_id).
 
 The index is an external merge: runs are dealt by range over (URL key, date, page_id), so that one
 URL with a third of all captures is split too; each task spills its pieces of runs to its own
@@ -23,12 +24,13 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import io
 import os
 import pickle
 import re
 import tempfile
 from collections.abc import Iterable, Iterator
-from datetime import UTC, datetime, timedelta
+from typing import BinaryIO
 from urllib.parse import unquote
 
 import pandas as pd
@@ -45,6 +47,8 @@ EPOCH = "2026-01-01 00:00:00"
 RUN_SCHEMA = "run string, offset long, url_key string, warc_date string, page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 INDEX_SCHEMA = RUN_SCHEMA + ", merge_part int, merge_pos long"
 BLOCK = 512
+#: Unpacked size of an archive.
+ARCHIVE_BYTES = 64 << 20
 
 
 def payload_digest(payload: Column) -> Column:
@@ -102,12 +106,24 @@ def record_text(epoch: str = EPOCH) -> Column:
     )
 
 
-def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, records_per_archive: int = 1000) -> str:
-    """Write one record for each page; archives have at most so many records."""
-    (
-        decide(pages, least_bytes).select(record_text().alias("value"))
-        .write.option("lineSep", CRLF + CRLF).option("maxRecordsPerFile", records_per_archive).option("compression", "gzip").text(path)
-    )
+def archive_of(size: Column, row: Column, records_per_archive: int, archive_bytes: int) -> Column:
+    """Name of a record's archive within its task: '<c>-<block>'.
+
+    Class c holds records of less than 2^c bytes, of which so many go into an archive that all fit; the
+    smallest class has room for ``records_per_archive``. A block is as many neighbouring rows of the
+    task as its class takes records, so no archive gets more, whatever other classes stand between.
+    """
+    least = max(0, (archive_bytes // records_per_archive).bit_length() - 1)
+    size_class = F.greatest(F.lit(least), F.length(F.bin(size)).cast("int"))
+    room = F.greatest(F.lit(1), F.least(F.lit(records_per_archive), F.floor(F.lit(archive_bytes) / F.pow(F.lit(2.0), size_class)).cast("int")))
+    return F.concat_ws("-", size_class.cast("string"), F.floor(row.bitwiseAND(F.lit((1 << 33) - 1)) / room).cast("string"))
+
+
+def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, records_per_archive: int = 1000, archive_bytes: int = ARCHIVE_BYTES) -> str:
+    """Write one record for each page, in archives of at most so many records and, but for single longer records, bytes."""
+    held = decide(pages, least_bytes).select(record_text().alias("value"), F.monotonically_increasing_id().alias("row"))
+    named = held.select("value", archive_of(F.octet_length("value"), F.col("row"), records_per_archive, archive_bytes).alias("archive"))
+    named.write.option("lineSep", CRLF + CRLF).option("compression", "gzip").partitionBy("archive").text(path)
     return path
 
 
@@ -119,20 +135,23 @@ def url_key(url: str | None) -> str:
     return ",".join(reversed(host.lower().split("."))) + ")" + (rest or "/")
 
 
-def records(data: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
-    """(offset, headers, block) of every record of an archive, by Content-Length alone."""
+def records(archive: BinaryIO) -> Iterator[tuple[int, dict[str, str], bytes]]:
+    """(offset, headers, block) of every record of an unpacked stream, by Content-Length alone."""
     at = 0
-    while at < len(data):
-        end = data.index(b"\r\n\r\n", at)
-        version, *lines = data[at:end].decode().split(CRLF)
-        if not version.startswith("WARC/"):
+    while first := archive.readline():
+        lines, size = [first], len(first)
+        while lines[-1] not in (b"\r\n", b""):
+            lines.append(archive.readline())
+            size += len(lines[-1])
+        if not first.startswith(b"WARC/") or lines[-1] == b"":
             raise ValueError(f"no record at byte {at}")
-        head = dict(line.split(": ", 1) for line in lines)
-        start, n = end + 4, int(head["Content-Length"])
-        if data[start + n : start + n + 4] != b"\r\n\r\n":
+        head = dict(line.decode().removesuffix(CRLF).split(": ", 1) for line in lines[1:-1])
+        n = int(head["Content-Length"])
+        block, end = archive.read(n), archive.read(4)
+        if len(block) != n or end != b"\r\n\r\n":
             raise ValueError(f"the record at byte {at} does not end where its length says")
-        yield at, head, data[start : start + n]
-        at = start + n + 4
+        yield at, head, block
+        at += size + n + 4
 
 
 def _page(urn: str | None) -> int | None:
@@ -149,8 +168,8 @@ def _runs(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     columns = [c.split()[0] for c in RUN_SCHEMA.split(", ")]
     for batch in batches:
         for path, data in zip(batch["path"], batch["content"], strict=True):
-            run, rows, data = path.rpartition("/")[2], [], gzip.decompress(data)
-            for at, head, block in records(data):
+            run, rows = "/".join(path.split("/")[-2:]), []
+            for at, head, block in records(gzip.open(io.BytesIO(data))):
                 digest, n = head["WARC-Payload-Digest"].removeprefix("sha1:"), int(head["X-Payload-Length"])
                 if head["WARC-Type"] == "response" and (len(block) != n or base64.b32encode(hashlib.sha1(block).digest()).decode() != digest):
                     raise ValueError(f"payload digest differs at byte {at} of {path}")
@@ -163,7 +182,7 @@ def _runs(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def read_runs(spark, path: str) -> DataFrame:
     """The capture runs of archives, one run an archive."""
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(_runs, RUN_SCHEMA)
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content").mapInPandas(_runs, RUN_SCHEMA)
 
 
 class LoserTree:
@@ -280,8 +299,3 @@ def archive_and_index(pages: DataFrame, path: str | None = None, least_bytes: in
     spark = pages.sparkSession
     path = write_archives(pages, path or fresh_path(spark, "warc"), least_bytes)
     return merge_runs(read_runs(spark, path))
-
-
-def captured_at(page_id: int, epoch: str = EPOCH) -> str:
-    """The date of a page's record, for tests and readers."""
-    return (datetime.fromisoformat(epoch).replace(tzinfo=UTC) + timedelta(seconds=page_id)).strftime("%Y-%m-%dT%H:%M:%SZ")

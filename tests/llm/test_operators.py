@@ -148,6 +148,39 @@ def test_warc(spark):
     assert warc.archive_and_index(df.limit(0)).count() == 0
 
 
+def test_archives_are_bounded_by_bytes(spark, tmp_path, monkeypatch):
+    """Long payloads have archives of their own; more runs than are merged at once; repeated rows; every byte comes back."""
+    import gzip
+    import io
+    from pathlib import Path
+
+    monkeypatch.setattr(warc, "FAN_IN", 4)
+    rng, rows = random.Random(5), []
+    for i in range(400):
+        size = rng.choice([0, 10, 200, 3000, 70_000]) if i % 50 else 5_000_000
+        rows.append((i, f"https://h{i % 7}.example.com/{i % 13}", "".join(rng.choices("ab\r\n é", k=100)) * (size // 100), "x"))
+    df = spark.createDataFrame([*rows, rows[3], rows[3]], "page_id long, url string, html string, archive string").repartition(3)
+    path = warc.write_archives(df, f"file://{tmp_path}/w", archive_bytes=400_000)
+    texts, found = {i: t for i, _, t, _ in rows}, collections.Counter()
+    for place in Path(tmp_path, "w").rglob("part-*.gz"):
+        data = gzip.decompress(place.read_bytes())
+        own = list(warc.records(io.BytesIO(data)))
+        assert len(data) <= 400_000 or len(own) == 1
+        for at, head, block in own:
+            assert data[at : at + 5] == b"WARC/"
+            page = int(head["WARC-Record-ID"].removeprefix("<urn:page:").removesuffix(">"))
+            found[page] += 1
+            if head["WARC-Type"] == "response":
+                assert block.decode() == texts[page]
+    assert found == collections.Counter([*texts, 3, 3])
+    got = sorted(warc.merge_runs(warc.read_runs(spark, path), 2).collect(), key=lambda r: (r.merge_part, r.merge_pos))
+    assert len({r.run for r in got}) > 3 * warc.FAN_IN and collections.Counter(r.page_id for r in got) == found
+    keys = [(r.url_key, r.warc_date, r.page_id) for r in got]
+    assert keys == sorted(keys)
+    with pytest.raises(ValueError, match="does not end"):
+        list(warc.records(io.BytesIO(data[:-2])))
+    with pytest.raises(ValueError, match="no record at byte 0"):
+        list(warc.records(io.BytesIO(b"HTTP/1.1\r\n\r\n")))
 def test_loser_tree():
     for k in range(7):
         runs = [sorted(RNG.choices(range(50), k=RNG.randint(0, 20))) for _ in range(k)]
