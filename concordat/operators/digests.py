@@ -142,7 +142,7 @@ def publish(df: DataFrame, place: str, identity: tuple[str, ...], depth: int) ->
     """Write df by place, in folders of the first digits, and its tree beside it; repeated identities are refused."""
     if not BLOCK_DIGITS <= depth <= MOST_DEPTH:
         raise ValueError(f"depth must be {BLOCK_DIGITS} to {MOST_DEPTH}")
-    rows = placed(df, identity).withColumn("block", F.substring("place", 1, BLOCK_DIGITS))
+    rows = placed(df, identity).withColumn("block", F.concat(F.lit("x"), F.substring("place", 1, BLOCK_DIGITS)))  # never read as a number
     nodes = written_tree(rows, depth)
     refuse_repeats(rows, nodes, identity)
     rows.repartitionByRange("place").sortWithinPartitions("place").write.mode("errorifexists").partitionBy("block").parquet(f"{place}/rows")
@@ -152,9 +152,9 @@ def publish(df: DataFrame, place: str, identity: tuple[str, ...], depth: int) ->
 
 def opened(spark: SparkSession, place: str, blocks: list[str] | None = None) -> DataFrame:
     """The placed rows of a published table, of some blocks only; folders of others are not read."""
-    rows = spark.read.parquet(f"{place}/rows").withColumn("block", F.col("block").cast("string"))
+    rows = spark.read.parquet(f"{place}/rows")
     if blocks is not None:
-        rows = rows.where(F.col("block").isin(*blocks) if blocks else F.lit(False))
+        rows = rows.where(F.col("block").isin(*(f"x{b}" for b in blocks)) if blocks else F.lit(False))
     return rows.drop("block")
 
 
