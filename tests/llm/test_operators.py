@@ -510,6 +510,50 @@ def test_nearest(spark, monkeypatch):
     assert nearest.nearest(spark.createDataFrame([], "vec_id long, embedding array<double>")).count() == 0
 
 
+def test_nearest_where_projections_reduce(spark, monkeypatch):
+    """Several cells and parts of 60 numbers each, longer vectors among them; an empty cell's queries too."""
+    monkeypatch.setattr(nearest, "CELL_ROWS", 400)
+    monkeypatch.setattr(nearest, "BLOCK", 7)
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((2000, 60)) * rng.uniform(0.5, 2, (2000, 1))
+    got = collections.defaultdict(list)
+    for r in nearest.nearest(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")).collect():
+        got[r.query_id].append((r["rank"], r.vec_id, r.score))
+    assert set(got) == set(range(0, 2000, 20))
+    hits = 0
+    for q, found in got.items():
+        scores = x @ x[q]
+        hits += len({v for _, v, _ in found} & {i for i in np.argsort(-scores)[:21] if i != q})
+        assert [r for r, *_ in sorted(found)] == list(range(1, 21))
+        assert [s for *_, s in sorted(found)] == sorted((s for *_, s in found), reverse=True)
+        assert all(abs(s - scores[v]) < 1e-9 for _, v, s in found)
+    assert hits / (20 * len(got)) > 0.9
+
+
+def test_nearest_stops_as_the_chi_square_test_says():
+    """Ratios of projected and true distances have the mean and variance that the stop assumes, and the
+    stop leaves about that share of them beyond it; a block verifies a part of its cell only."""
+    rng = np.random.default_rng(3)
+    width, m = nearest.directions(64), nearest.PROJECTED
+    gaps = rng.standard_normal((20_000, 65))
+    ratio = np.square(gaps @ width).sum(1) / np.square(gaps).sum(1)
+    degrees = nearest.freedom(64)
+    assert abs(ratio.mean() / m - 1) < 0.01 and abs(ratio.var() / (2 * m * m / degrees) - 1) < 0.1
+    assert 0.07 < (ratio > nearest.stop_factor(64, 0.1)).mean() < 0.11
+    assert nearest.freedom(20) == 0 and nearest.stop_factor(20, 0.1) > 21
+    x = rng.standard_normal((4000, 64))
+    most = float(np.linalg.norm(x, axis=1).max())
+    points = nearest.lift(x, most, query=False) @ width
+    tree = nearest.KdTree(points, nearest.LEAF)
+    tree.finish()
+    asked = nearest.lift(x[:50], most, query=True) @ width
+    stop = nearest.stop_factor(64, nearest.MISS)
+    found = list(nearest.search(tree, x[tree.order], points[tree.order], x[:50], asked, most, 21, np.full(50, np.inf), stop))
+    right = sum(len(set(tree.order[at[np.argsort(-score)[:21]]]) & set(np.argsort(-(x @ q))[:21])) for (at, score, _, _), q in zip(found, x[:50], strict=True))
+    assert right / (21 * 50) > 0.9
+    assert sum(n for *_, n in found) < 0.6 * 50 * len(x)
+
+
 def test_nearest_ties_go_to_smaller_ids(spark):
     rows = [(i, [1.0, float(i % 3)]) for i in range(40)]
     got = [(r.query_id, r["rank"], r.vec_id) for r in nearest.nearest(spark.createDataFrame([*rows, (7, [1.0, 1.0]), (None, [1.0, 1.0])], "vec_id long, embedding array<double>"), k=5).collect()]
