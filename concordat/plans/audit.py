@@ -234,3 +234,49 @@ def raw_against_canonical(s, d):
     names = [c.strip() for c in _PAIR.split(",")]
     found = compare.differences(derived.raw(s, d, "event").select(*names), derived.events(s, d).select(*names))
     return found.select(*names, F.abs("balance").alias("n_rows"), "side")
+
+
+_PAYMENT, _SETTLING = "('CAPTURE','REFUND','CHARGEBACK','REVERSAL')", "('SETTLEMENT','FEE','RESERVE')"
+
+
+def _record_sql(view: str, family: str, identity: str, json: str, texts: str, numbers: str, moment: str, optional: str, **tests: str) -> str:
+    """Every broken rule of every record of a view in one scan; tests are a family's own rules, named by number."""
+    shown, filled = texts.split(), [c for c in f"{texts} {numbers} received_at".split() if c not in optional.split()]
+    rules = {f"SCHEMA_VIOLATION:{c} is null": f"{c} IS NULL" for c in filled}
+    rules |= {f"SCHEMA_VIOLATION:{c} is empty or has outer blanks": f"{c} = '' OR {c} <> trim({c})" for c in shown if c != "settlement_reference"}
+    rules |= {"SCHEMA_VIOLATION:schema version": "schema_version <> '2.0'", "SCHEMA_VIOLATION:unsupported currency": "currency NOT IN ('INR','JPY','USD')"}
+    stamp = f"{moment} NOT LIKE '____-__-__T__:__:__Z' OR TRY_CAST(replace(left({moment}, 19), 'T', ' ') AS TIMESTAMP) IS NULL"
+    rules |= {f"SCHEMA_VIOLATION:{moment} is no moment": stamp, "SOURCE_IDENTITY_MISMATCH:payload digest": f"payload_sha256 <> sha256('{{' || {json.replace('{{', '{').replace('}}', '}').replace('AS STRING', 'AS VARCHAR')} || '}}')"}
+    rules |= {name: test for name, test in (t.split(" IF ") for t in tests.values())}
+    broken = ", ".join(f"CASE WHEN {test} THEN '{name}' END" for name, test in rules.items())
+    return query(f"SELECT split_part(b, ':', 1) AS rule, '{family}' AS family, {identity} AS identity, split_part(b, ':', 2) AS detail FROM (SELECT *, unnest([{broken}]) AS b FROM {view}) WHERE b IS NOT NULL")
+
+
+@with_sql(_record_sql("v_raw_settlement", "PROCESSOR_SETTLEMENTS", "processor || '/' || source_record_id", derived.SETTLEMENT_JSON,
+    "schema_version source_batch_id source_record_id processor merchant_id settlement_id settlement_cycle currency occurred_at", "gross_minor fee_minor refund_minor chargeback_minor reserve_minor reported_net_minor", "occurred_at", "",
+    **{c: f"SCHEMA_VIOLATION:{c} is negative IF {c} < 0" for c in ("gross_minor", "fee_minor", "refund_minor", "chargeback_minor", "reserve_minor")}))
+def admission_settlements(s, d):
+    """Every broken rule of every planted settlement record."""
+    return admission.row_violations(derived.raw(s, d, "settlement").drop("mark"), "PROCESSOR_SETTLEMENTS", registry.DEFAULT)
+
+
+@with_sql(_record_sql("v_raw_bank", "BANK_ENTRIES", "concat_ws('/', bank_account_id, bank_record_id)", derived.BANK_JSON,
+    "schema_version source_batch_id bank_record_id bank_account_id merchant_id settlement_reference direction currency value_at", "amount_minor", "value_at", "settlement_reference",
+    side="SCHEMA_VIOLATION:unknown direction IF direction NOT IN ('CREDIT', 'DEBIT')", amount="SCHEMA_VIOLATION:amount_minor is not positive IF amount_minor <= 0"))
+def admission_bank(s, d):
+    """Every broken rule of every planted bank entry."""
+    return admission.row_violations(derived.raw(s, d, "bank").drop("mark"), "BANK_ENTRIES", registry.DEFAULT)
+
+
+_DEBITS = "CASE WHEN side_1 = 'DEBIT' THEN amount_1 ELSE 0 END + CASE WHEN line_2 IS NOT NULL AND side_2 = 'DEBIT' THEN amount_2 ELSE 0 END"
+
+
+@with_sql(_record_sql("v_raw_ledger", "LEDGER_JOURNALS", "ledger_system || '/' || journal_id", derived.LEDGER_JSON,
+    "schema_version ledger_system journal_id source_batch_id processor merchant_id payment_id settlement_id settlement_cycle entry_type currency effective_at", "", "effective_at", "payment_id settlement_id settlement_cycle",
+    kind=f"SCHEMA_VIOLATION:unknown entry_type IF entry_type NOT IN {_PAYMENT} AND entry_type NOT IN {_SETTLING}",
+    key=f"UNBALANCED_JOURNAL:business key IF CASE WHEN entry_type IN {_PAYMENT} THEN payment_id IS NULL OR settlement_id IS NOT NULL OR settlement_cycle IS NOT NULL ELSE payment_id IS NOT NULL OR settlement_id IS NULL OR settlement_cycle IS NULL END",
+    few="UNBALANCED_JOURNAL:TOO_FEW_POSTINGS IF line_2 IS NULL", repeated="UNBALANCED_JOURNAL:REPEATED_LINE IF line_1 = line_2", amount="UNBALANCED_JOURNAL:AMOUNT_NOT_POSITIVE IF amount_1 <= 0 OR (line_2 IS NOT NULL AND amount_2 <= 0)",
+    side="UNBALANCED_JOURNAL:UNKNOWN_SIDE IF side_1 NOT IN ('DEBIT', 'CREDIT') OR (line_2 IS NOT NULL AND side_2 NOT IN ('DEBIT', 'CREDIT'))", sums=f"UNBALANCED_JOURNAL:UNBALANCED IF {_DEBITS} <> {_DEBITS.replace('DEBIT', 'CREDIT')}"))
+def admission_journals(s, d):
+    """Every broken rule of every planted journal, its postings among them."""
+    return admission.row_violations(derived.raw_ledger(s, d), "LEDGER_JOURNALS", registry.DEFAULT)

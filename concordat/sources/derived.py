@@ -13,6 +13,27 @@ from pyspark.sql import functions as F
 
 from concordat.sources.tables import table
 
+def json_text(texts: tuple[str, ...], numbers: tuple[str, ...] = (), **written: str) -> str:
+    """SQL for a flat record's canonical JSON without its braces: members by name, nulls left out; written holds members as SQL."""
+    members = {c: f"'\"{c}\":\"' || {c} || '\"'" for c in texts} | {c: f"'\"{c}\":' || CAST({c} AS STRING)" for c in numbers} | written
+    return f"concat_ws(',', {', '.join(members[c] for c in sorted(members))})"
+
+
+def _posting(i: int) -> str:
+    return f"""'{{{{"account_role":"' || role_{i} || '","amount_minor":' || CAST(amount_{i} AS STRING) || ',"line_id":"' || line_{i} || '","side":"' || side_{i} || '"}}}}'"""
+
+
+# Members of the records' canonical JSON; a journal's second posting is left out where it has none.
+SETTLEMENT_JSON = json_text(("schema_version", "source_record_id", "processor", "merchant_id", "settlement_id", "settlement_cycle", "currency", "occurred_at"), ("gross_minor", "fee_minor", "refund_minor", "chargeback_minor", "reserve_minor", "reported_net_minor"))
+BANK_JSON = json_text(("schema_version", "bank_record_id", "bank_account_id", "merchant_id", "settlement_reference", "direction", "currency", "value_at"), ("amount_minor",))
+LEDGER_JSON = json_text(("schema_version", "ledger_system", "journal_id", "processor", "merchant_id", "payment_id", "settlement_id", "settlement_cycle", "entry_type", "currency", "effective_at"), postings=f"""'"postings":[' || concat_ws(',', {_posting(1)}, {_posting(2)}) || ']'""")
+
+
+def _digested(view: str, json: str, m: int) -> str:
+    """A view with payload digests, wrong where the mark is divisible by m."""
+    return f"""SELECT *, {{sha}}CASE WHEN mark % {m} = 0 THEN 'x' ELSE '' END || '{{{{' || {json} || '}}}}'{{ahs}} AS payload_sha256 FROM {view}"""
+
+
 VIEWS: dict[str, str] = {
     "v_customer": """SELECT c_custkey, c_nationkey, CASE c_nationkey % 3 WHEN 0 THEN 'INR' WHEN 1 THEN 'JPY' ELSE 'USD' END AS currency,
         'm-' || CAST(c_nationkey AS STRING) AS merchant_id FROM customer""",
@@ -66,6 +87,26 @@ VIEWS: dict[str, str] = {
         CASE WHEN k % 71 = 0 THEN CAST(0 AS BIGINT) WHEN k % 79 = 0 AND side = 2 THEN amount_minor + 1 ELSE amount_minor END AS amount_minor
         FROM v_journal, (SELECT 1 AS side UNION ALL SELECT 2) sides WHERE side = 1 OR k % 61 <> 0""",
     "v_raw_target": "SELECT processor, merchant_id, 'set-' || merchant_id || '-' || cycle AS settlement_id, cycle AS settlement_cycle, currency FROM v_net WHERE gross_minor % 2 = 0",
+    "v_settlement_record": """SELECT CASE WHEN gross_minor % 107 = 0 THEN '1.0' ELSE '2.0' END AS schema_version, 'b-1' AS source_batch_id, 'rec-' || settlement_id AS source_record_id,
+        CASE WHEN gross_minor % 109 = 0 THEN processor || ' ' ELSE processor END AS processor, CASE WHEN gross_minor % 113 = 0 THEN '' ELSE merchant_id END AS merchant_id, settlement_id, cycle AS settlement_cycle,
+        CASE WHEN gross_minor % 127 = 0 THEN 'EUR' ELSE currency END AS currency, gross_minor, CASE WHEN gross_minor % 131 = 0 THEN -fee_minor - 1 ELSE fee_minor END AS fee_minor, refund_minor, chargeback_minor,
+        CASE WHEN gross_minor % 137 = 0 THEN NULL ELSE reserve_minor END AS reserve_minor, net_minor AS reported_net_minor, CASE WHEN gross_minor % 139 = 0 THEN '2020-02-30T00:00:00Z' ELSE '2020-01-01T00:00:00Z' END AS occurred_at,
+        CASE WHEN gross_minor % 149 = 0 THEN NULL ELSE '2020-01-01T00:00:00.5+00:00' END AS received_at, gross_minor AS mark FROM v_net""",
+    "v_raw_settlement": _digested("v_settlement_record", SETTLEMENT_JSON, 151),
+    "v_bank_record": """SELECT CASE WHEN amount_minor % 107 = 0 THEN '1.0' ELSE '2.0' END AS schema_version, 'b-1' AS source_batch_id, bank_record_id, CASE WHEN amount_minor % 109 = 0 THEN '' ELSE bank_account_id END AS bank_account_id,
+        CASE WHEN amount_minor % 113 = 0 THEN ' ' || merchant_id ELSE merchant_id END AS merchant_id, settlement_reference, CASE WHEN amount_minor % 127 = 0 THEN 'LEFT' ELSE direction END AS direction,
+        CASE WHEN amount_minor % 131 = 0 THEN NULL ELSE currency END AS currency, CASE WHEN amount_minor % 137 = 0 THEN CAST(0 AS BIGINT) ELSE amount_minor END AS amount_minor,
+        CASE WHEN amount_minor % 139 = 0 THEN '2020-01-01 00:00:00Z' ELSE '2020-01-01T00:00:00Z' END AS value_at, CASE WHEN amount_minor % 149 = 0 THEN NULL ELSE '2020-01-01T00:00:00.5+00:00' END AS received_at, amount_minor AS mark FROM v_bank""",
+    "v_raw_bank": _digested("v_bank_record", BANK_JSON, 151),
+    "v_ledger_record": """SELECT '2.0' AS schema_version, CASE WHEN mark % 307 = 0 THEN ' led' ELSE ledger_system END AS ledger_system, journal_id, 'b-1' AS source_batch_id, processor, merchant_id,
+        CASE WHEN mark % 311 = 0 THEN NULL ELSE payment_id END AS payment_id, settlement_id, CASE WHEN mark % 29 = 0 THEN NULL ELSE settlement_cycle END AS settlement_cycle, CASE WHEN mark % 313 = 0 THEN 'VOID' ELSE entry_type END AS entry_type,
+        CASE WHEN mark % 317 = 0 THEN 'EUR' ELSE currency END AS currency, CASE WHEN mark % 331 = 0 THEN '2020-13-01T00:00:00Z' ELSE '2020-01-01T00:00:00Z' END AS effective_at,
+        CASE WHEN mark % 337 = 0 THEN NULL ELSE '2020-01-01T00:00:00.5+00:00' END AS received_at, 'l1' AS line_1, 'PROCESSOR_CLEARING' AS role_1, clearing_side AS side_1, CASE WHEN mark % 347 = 0 THEN CAST(0 AS BIGINT) ELSE amount_minor END AS amount_1,
+        CASE WHEN mark % 349 = 0 THEN NULL WHEN mark % 353 = 0 THEN 'l1' ELSE 'l2' END AS line_2, counter_role AS role_2, CASE WHEN mark % 359 = 0 THEN 'LEFT' WHEN clearing_side = 'DEBIT' THEN 'CREDIT' ELSE 'DEBIT' END AS side_2,
+        amount_minor + CASE WHEN mark % 367 = 0 THEN 1 ELSE 0 END AS amount_2, mark FROM (
+        SELECT ledger_system, journal_id, processor, merchant_id, payment_id, CAST(NULL AS STRING) AS settlement_id, CAST(NULL AS STRING) AS settlement_cycle, entry_type, currency, amount_minor, clearing_side, counter_role, k AS mark FROM v_journal
+        UNION ALL SELECT ledger_system, journal_id, processor, merchant_id, CAST(NULL AS STRING), settlement_id, settlement_cycle, entry_type, currency, amount_minor, clearing_side, counter_role, amount_minor FROM v_set_journal)""",
+    "v_raw_ledger": _digested("v_ledger_record", LEDGER_JSON, 373),
 }
 DIALECTS = {
     "spark": {"div": "DIV", "month": "date_format(o_orderdate, 'yyyy-MM')", "oday": "datediff(o_orderdate, DATE'1992-01-01')", "lday": "datediff(l_shipdate, DATE'1992-01-01')", "sha": "sha2(", "ahs": ", 256)"},
@@ -112,6 +153,14 @@ def raw_journals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw(spark, sf_dir, "posting").groupBy("journal_id").agg(F.collect_list(line).alias("postings"))
 
 
+def raw_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Journal records with faults in their fields, keys and postings; one posting where the second has no line."""
+    rows = raw(spark, sf_dir, "ledger").drop("mark")
+    line = lambda i: F.struct(*(F.col(f"{c}_{i}").alias(name) for c, name in (("line", "line_id"), ("role", "account_role"), ("side", "side"), ("amount", "amount_minor"))))
+    parts = [f"{c}_{i}" for i in (1, 2) for c in ("line", "role", "side", "amount")]
+    return rows.withColumn("postings", F.when(F.col("line_2").isNull(), F.array(line(1))).otherwise(F.array(line(1), line(2)))).drop(*parts)
+
+
 def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _view(spark, sf_dir, "v_account")
 
