@@ -1,9 +1,13 @@
-"""python -m concordat admit | reconcile-transaction | reconcile-settlement | finalize | correct | verify."""
+"""python -m concordat admit | reconcile-transaction | reconcile-settlement | finalize | correct | verify.
+
+Arguments are strict: options are written out, given once, and attempts and digests have their form.
+"""
 
 from __future__ import annotations
 
 import argparse
 import json
+import re
 import sys
 
 from pyspark.sql import SparkSession
@@ -12,18 +16,38 @@ from concordat.operators.policy import check_manifest, read_policy
 from concordat.plans import engine
 from concordat.session import guard, local_session
 from concordat.sources import files, publication
+from concordat.sources.documents import read_document
+
+ATTEMPT, DIGEST = r"[A-Za-z0-9][A-Za-z0-9._-]{0,127}", r"[0-9a-f]{64}"
 
 
 def _document(spark: SparkSession, path: str) -> dict:
-    folder, _, name = path.rpartition("/")
-    return json.loads(publication.Files(spark, folder or ".").read(name))
+    return read_document(spark, path).content
+
+
+class _Once(argparse.Action):
+    """An option that may be given once."""
+
+    def __call__(self, parser, namespace, values, option_string=None):
+        if getattr(namespace, self.dest, None) is not None:
+            parser.error(f"{option_string} is given twice")
+        setattr(namespace, self.dest, values)
+
+
+def _shaped(pattern: str):
+    def text(value: str) -> str:
+        if not re.fullmatch(pattern, value):
+            raise argparse.ArgumentTypeError(f"{value!r} is not of the form {pattern}")
+        return value
+
+    return text
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
-    parser = argparse.ArgumentParser(prog="concordat")
+    parser = argparse.ArgumentParser(prog="concordat", allow_abbrev=False)
     verbs = parser.add_subparsers(dest="verb", required=True)
     for verb in ("admit", "reconcile-transaction", "reconcile-settlement", "finalize", "correct"):
-        p = verbs.add_parser(verb)
+        p = verbs.add_parser(verb, allow_abbrev=False)
         p.add_argument("manifest")
         p.add_argument("root", help="folder of local objects")
         p.add_argument("policy", help="policy document")
@@ -31,10 +55,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             p.add_argument("out", help="bundle to write, or the log's folder")
         if verb == "correct":
             p.add_argument("correction", help="correction document")
-            p.add_argument("--prior-policy", help="policy document of the run before, if another")
+            p.add_argument("--prior-policy", action=_Once, help="policy document of the run before, if another")
         if verb in ("finalize", "correct"):
-            p.add_argument("--attempt", required=True)
-            p.add_argument("--head", help="digest of the entry this one follows; none for the first")
+            p.add_argument("--attempt", required=True, action=_Once, type=_shaped(ATTEMPT))
+            p.add_argument("--head", action=_Once, type=_shaped(DIGEST), help="digest of the entry this one follows; none for the first")
     verbs.add_parser("verify").add_argument("out")
     args = parser.parse_args(argv)
     spark = spark or local_session()

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import sys
+
 from pyspark.sql import SparkSession
 
+#: The first versions with all that the engine uses: VARIANT, recursive queries and keyed state with timers.
+PYTHON, SPARK = (3, 11), (4, 1)
 REQUIRED = {"spark.sql.ansi.enabled": "true", "spark.sql.session.timeZone": "UTC"}
 
 
@@ -25,7 +29,10 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, **conf: st
 
 
 def guard(spark: SparkSession) -> None:
-    """Refuse sessions in which money could wrap or times shift (ANSI off, not UTC)."""
+    """Refuse runtimes too old for the engine, and sessions in which money could wrap or times shift (ANSI off, not UTC)."""
+    version = tuple(map(int, spark.version.split(".")[:2]))
+    if version < SPARK or sys.version_info[:2] < PYTHON:
+        raise RuntimeError(f"EXECUTION_ENVIRONMENT: Python {PYTHON} and Spark {SPARK} at least, got {sys.version_info[:2]} and {version}")
     wrong = {k: spark.conf.get(k) for k, v in REQUIRED.items() if spark.conf.get(k) != v}
     if wrong:
         raise RuntimeError(f"EXECUTION_ENVIRONMENT: session must have {REQUIRED}, got {wrong}")
