@@ -24,9 +24,12 @@ the set. A set whose similar sets can be in the next bucket is indexed for that
 bucket's sets are too small for an extended prefix, k is lowered for the bucket.
 
 Verification is exact on whole sets, of which only those are read again that are in a pair which
-sizes and parity sketches don't rule out. Under each key all members are first compared with the
-key's smallest member (links to it join most of a group of near copies); then only members that are
-still in different components are compared. Links found then join whole components, not documents.
+sizes and parity sketches don't rule out: a sketch of fixed width first, then one as wide as the set.
+Each member of a key is first compared with the key's smallest member, its pivot (links to it join
+most of a group of near copies). Then members of one pivot that are still in different components
+are compared, once for all keys that they share: near copies share hundreds. Where a pivot's keys
+have little in common, so that its members are more pairs than the keys' are, they meet by key.
+Links found then join whole components, not documents.
 
 Defined results: lower-casing is A-Z only; words are runs between ASCII blanks; fewer than k words
 make one shingle of the whole sequence; null or wordless texts have an empty set and no links, also
@@ -47,7 +50,7 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from concordat.llm.common import Steps
@@ -63,7 +66,12 @@ RARE_MOST, COMMON_TIMES = 8, 8
 #: Tokens that a task holds before it writes them or their counts.
 HELD = 1 << 20
 _SINGLE = np.uint64(0x6A09E667F3BCC909)
-SKETCH_BITS = 512
+#: Bits of the narrow sketch; the wide one has as many at least, and a power of two that is WIDE_TIMES the set's size or more.
+SKETCH_BITS, WIDE_TIMES = 512, 4
+#: Pairs of a pivot's members above which its keys are counted to see which way has fewer.
+PIVOT_PAIRS = 1 << 14
+#: Members outside the pivot's component that one task compares with a whole group, about.
+CHUNK = 256
 #: Bits of the filter that spares documents without candidates the second reading.
 FILTER_BITS = 1 << 25
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], dtype=np.uint64)
@@ -223,13 +231,24 @@ def _rank(group: np.ndarray) -> np.ndarray:
     return rank
 
 
-def parity_sketch(tokens: np.ndarray) -> np.ndarray:
-    """Parities of the token counts of SKETCH_BITS buckets, as 64-bit words. Sets that differ in d
-    tokens differ in at most d bits, so a larger difference rules a pair out exactly."""
-    odd = np.bincount((tokens & np.uint64(SKETCH_BITS - 1)).astype(np.int64), minlength=SKETCH_BITS) & 1
+def parity_sketch(tokens: np.ndarray, bits: int = SKETCH_BITS) -> np.ndarray:
+    """Parities of the token counts of so many buckets (a power of two), as 64-bit words. Sets that differ
+    in d tokens differ in at most d bits, so a larger difference rules a pair out exactly. A sketch of
+    half the width is the exclusive or of both halves."""
+    odd = np.bincount((tokens & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def wide_sketch(tokens: np.ndarray) -> np.ndarray:
+    """A sketch that grows with the set, so that it isn't full of odd counts."""
+    return parity_sketch(tokens, max(SKETCH_BITS, 1 << (WIDE_TIMES * len(tokens) - 1).bit_length()))
+
+
+def narrowed(wide: np.ndarray) -> np.ndarray:
+    """The sketch of SKETCH_BITS from a wide one."""
+    return np.bitwise_xor.reduce(wide.reshape(-1, SKETCH_BITS // 64), axis=0)
+
+
 def _ids(column: pd.Series) -> list:
     return column.astype(object).where(column.notna(), None).tolist()
 
@@ -321,7 +340,7 @@ def _kinds(tokens: np.ndarray, kinds: np.ndarray) -> np.ndarray:
 
 
 def _index(documents: DataFrame, k: int, num: int, den: int, kinds: Broadcast) -> DataFrame:
-    """doc_id, n (set size), h1, h2 (hashes of the set), keys, parity sketch (of documents with keys)."""
+    """doc_id, n (set size), h1, h2 (hashes of the set), keys, narrow and wide parity sketch (of documents with keys)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingle, of_slot = Shingler(k), kinds.value
@@ -331,10 +350,11 @@ def _index(documents: DataFrame, k: int, num: int, den: int, kinds: Broadcast) -
                 tokens = shingle(text)
                 keys = index_keys(tokens, _kinds(tokens, of_slot), num, den).view(np.int64) if len(tokens) else np.empty(0, np.int64)
                 raw = tokens.tobytes()
-                rows.append((doc, len(tokens), xxhash.xxh3_64_intdigest(raw) - (1 << 63), xxhash.xxh64_intdigest(raw) - (1 << 63), keys, parity_sketch(tokens) if len(keys) else None))
-            yield pd.DataFrame(rows, columns=["doc_id", "n", "h1", "h2", "keys", "sketch"]).astype({"doc_id": "Int64"})
+                wide = wide_sketch(tokens) if len(keys) else None
+                rows.append((doc, len(tokens), xxhash.xxh3_64_intdigest(raw) - (1 << 63), xxhash.xxh64_intdigest(raw) - (1 << 63), keys, None if wide is None else narrowed(wide), wide))
+            yield pd.DataFrame(rows, columns=["doc_id", "n", "h1", "h2", "keys", "sketch", "wide"]).astype({"doc_id": "Int64"})
 
-    return documents.select("doc_id", "text").mapInPandas(run, "doc_id long, n long, h1 long, h2 long, keys array<long>, sketch array<long>")
+    return documents.select("doc_id", "text").mapInPandas(run, "doc_id long, n long, h1 long, h2 long, keys array<long>, sketch array<long>, wide array<long>")
 
 
 def _filter_bits(ids: DataFrame) -> np.ndarray:
@@ -376,12 +396,27 @@ def _sets(documents: DataFrame, pairs: DataFrame, k: int, steps: Steps) -> DataF
 
 
 def _possible(pairs: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs that sizes (na, nb) and parity sketches (sa, sb) don't rule out."""
+    """Pairs that sizes (na, nb) and narrow parity sketches (sa, sb) don't rule out."""
     fits = (F.col("na") * num <= F.col("nb") * den) & (F.col("nb") * num <= F.col("na") * den)
     bits = sum((F.bit_count(F.get("sa", F.lit(i)).bitwiseXOR(F.get("sb", F.lit(i)))) for i in range(SKETCH_BITS // 64)), F.lit(0))
     return pairs.where(fits & (bits * (num + den) <= (F.col("na") + F.col("nb")) * (den - num)))
 
 
+def _sharpened(pairs: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a, b, other columns) that wide parity sketches, brought to the width of the narrower one, don't rule out."""
+    side = lambda end: nodes.select(F.col("doc_id").alias(end), F.col("n").alias("n" + end), F.col("wide").alias("w" + end))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("width", F.least(F.size("wa"), F.size("wb")))
+
+    def folded(wide: str) -> Column:
+        parts = F.sequence(F.lit(0), (F.size(wide) / F.col("width")).cast("int") - 1)
+        half = lambda i: F.slice(F.col(wide), i * F.col("width") + 1, F.col("width"))
+        return F.aggregate(parts, F.array_repeat(F.lit(0).cast("long"), F.col("width")), lambda all_, i: F.zip_with(all_, half(i), lambda x, y: x.bitwiseXOR(y)))
+
+    apart = F.zip_with(folded("wa"), folded("wb"), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    bits = F.aggregate(apart, F.lit(0), lambda total, x: total + x)
+    return both.where(bits * (num + den) <= (F.col("na") + F.col("nb")) * (den - num)).select(*pairs.columns).distinct()
+
+
 def _verify(documents: DataFrame, pairs: DataFrame, k: int, num: int, den: int, steps: Steps, name: str) -> DataFrame:
     """Links among saved pairs (a, b, other columns): num (|A| + |B|) <= (num + den) |A & B|, row by row in the JVM."""
     sets = _sets(documents, pairs, k, steps)
@@ -403,21 +438,24 @@ def linked(documents: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> Data
     multiple = steps.save(same.where("copies > 1").drop("copies"), "multiple")
     # Members of a class point at its representative. The join is one of its own, so that Spark can split a hot class.
     own = F.when(F.col("rep").isNull() | (F.col("rep") == F.col("doc_id")), F.col("keys"))
-    classes = steps.save(index.join(multiple, ["n", "h1", "h2"], "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep"), own.alias("keys"), "sketch"), "classes")
+    classes = steps.save(index.join(multiple, ["n", "h1", "h2"], "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep"), own.alias("keys"), "sketch", "wide"), "classes")
     steps.drop(index, multiple)
     inverted = classes.where("size(keys) > 0 AND doc_id IS NOT NULL").select(F.explode("keys").alias("key"), F.col("doc_id").alias("id"))
     pivots = steps.save(inverted.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("other")).where("pivot < other").drop("other"), "pivots")
     groups = steps.save(inverted.join(pivots, "key"), "groups")
     steps.drop(pivots)
-    nodes = classes.where("size(keys) > 0 AND doc_id IS NOT NULL").select("doc_id", "n", "sketch")
+    nodes = classes.where("size(keys) > 0 AND doc_id IS NOT NULL").select("doc_id", "n", "sketch", "wide")
     end = lambda e: nodes.select(F.col("doc_id").alias(e), F.col("n").alias("n" + e), F.col("sketch").alias("s" + e))
-    first = groups.where("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
-    pairs = steps.save(_possible(first.join(end("a"), "a").join(end("b"), "b"), num, den).select("a", "b").distinct(), "pairs")
+    spokes = steps.save(groups.where("id <> pivot").select("pivot", "id").distinct(), "spokes")
+    first = spokes.select(F.col("id").alias("a"), F.col("pivot").alias("b"))
+    possible = steps.save(_possible(first.join(end("a"), "a").join(end("b"), "b"), num, den).select("a", "b").distinct(), "possible")
+    pairs = steps.save(_sharpened(possible, nodes, num, den), "pairs")
+    steps.drop(possible)
     links = _verify(documents, pairs, k, num, den, steps, "links")
     known = components(links, steps)
     steps.drop(links)
-    rest = _unsettled(groups, known, nodes, num, den, steps)
-    steps.drop(groups)
+    rest = _unsettled(groups, spokes, known, nodes, num, den, steps)
+    steps.drop(groups, spokes)
     joins = _shared_ids(classes, known)
     if not rest.isEmpty():
         joins = joins.unionByName(_verify(documents, rest, k, num, den, steps, "more").select(F.col("ca").alias("a"), F.col("cb").alias("b")))
@@ -448,27 +486,61 @@ def _relabel(known: DataFrame, over: DataFrame) -> DataFrame:
     return moved.unionByName(over.join(known.select("node"), "node", "left_anti"))
 
 
-def _unsettled(groups: DataFrame, known: DataFrame, nodes: DataFrame, num: int, den: int, steps: Steps) -> DataFrame:
-    """Pairs under one key that are in different components and were not compared with the pivot.
+def _unsettled(groups: DataFrame, spokes: DataFrame, known: DataFrame, nodes: DataFrame, num: int, den: int, steps: Steps) -> DataFrame:
+    """Pairs with a common key that are in different components and were not compared with the pivot.
 
-    In each key, members outside the pivot's component meet all members of other components; in a
-    group of near copies these are the few that the pivot doesn't reach. Sizes and parity sketches
-    rule out, exactly, most pairs that can't be similar.
+    Members of a pivot (spokes) outside its component meet all its members in other components; in a
+    group of near copies these are the few that the pivot doesn't reach. Documents with a common key
+    have that key's pivot in common, so no pair is left out, and it is met once a pivot, not once a key.
     """
-    named = groups.join(known.withColumnRenamed("node", "id"), "id", "left").select("key", "id", "pivot", F.coalesce("component", "id").alias("component"))
-    centre = F.max(F.when(F.col("id") == F.col("pivot"), F.col("component"))).alias("centre")
-    split = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), centre).where("low < high").select("key", "centre")
-    split = steps.save(split, "split")
-    # Sizes and sketches only for members of keys that hold more than one component.
-    members = steps.save(named.join(split, "key").join(nodes.withColumnRenamed("doc_id", "id"), "id"), "members")
-    outside = members.where("component <> centre").select("key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), F.col("sketch").alias("sa"))
-    inside = members.where("id <> pivot").select("key", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), F.col("sketch").alias("sb"))
-    met = _possible(outside.join(inside, "key").where((F.col("ca") != F.col("cb")) & (F.col("a") != F.col("b"))), num, den)
-    pairs = steps.save(met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"), F.greatest("ca", "cb").alias("ca"), F.least("ca", "cb").alias("cb")).distinct(), "rest")
-    steps.drop(split, members)
+    members = _members(groups, spokes, known, nodes, steps)
+    met = _possible(_meetings(members), num, den)
+    met = steps.save(met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"), F.greatest("ca", "cb").alias("ca"), F.least("ca", "cb").alias("cb")).distinct(), "met")
+    pairs = steps.save(_sharpened(met, nodes, num, den), "rest")
+    steps.drop(members, met)
     return pairs
 
 
+def _members(groups: DataFrame, spokes: DataFrame, known: DataFrame, nodes: DataFrame, steps: Steps) -> DataFrame:
+    """pivot, key, id, component, outside (the pivot's component), n, sketch, of groups that hold several components.
+
+    key is 0 where all members of a pivot are one group, which a pivot with few pairs, or with fewer than
+    its keys have, always is.
+    """
+    up = known.select(F.col("node").alias("id"), "component")
+    centres = known.select(F.col("node").alias("pivot"), F.col("component").alias("centre"))
+    outside = F.coalesce("component", "id") != F.coalesce("centre", "pivot")
+    named = spokes.join(up, "id", "left").join(centres, "pivot", "left").select("pivot", "id", F.coalesce("component", "id").alias("component"), outside.alias("outside"))
+    named = steps.save(named, "named")
+    several, product = F.count_if("outside"), (F.count_if("outside") * F.count("*").cast("double"))
+    counts = steps.save(named.groupBy("pivot").agg(several.alias("several"), product.alias("pairs")).where("several > 0"), "counts")
+    large = counts.where(F.col("pairs") > PIVOT_PAIRS).select("pivot", "pairs")
+    keyed = groups.where("id <> pivot").join(large.select("pivot"), "pivot").join(named, ["pivot", "id"])
+    by_key = keyed.groupBy("pivot", "key").agg(product.alias("here")).groupBy("pivot").agg(F.sum("here").alias("by_key"))
+    apart = steps.save(by_key.join(large, "pivot").where("by_key < pairs").select("pivot"), "apart")
+    columns = ["pivot", "key", "id", "component", "outside"]
+    whole = named.join(counts.select("pivot"), "pivot").join(apart, "pivot", "left_anti").withColumn("key", F.lit(0).cast("long")).select(*columns)
+    single = groups.where("id <> pivot").join(apart, "pivot").join(named, ["pivot", "id"]).select(*columns)
+    members = steps.save(whole.unionByName(single).join(nodes.select(F.col("doc_id").alias("id"), "n", "sketch"), "id"), "members")
+    steps.drop(named, counts, apart)
+    return members
+
+
+def _meetings(members: DataFrame) -> DataFrame:
+    """Pairs of different components in a group, one of them outside the pivot's component, with sizes and sketches.
+
+    Members outside are dealt to chunks that each meet the whole group, so a large group is several tasks' work.
+    """
+    chunks = members.groupBy("pivot", "key").agg(F.ceil(F.count_if("outside") / CHUNK).cast("int").alias("chunks")).where("chunks > 0")
+    rows = members.join(chunks, ["pivot", "key"])
+    group = ["pivot", "key", "chunk"]
+    left = rows.where("outside").select("*", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int").alias("chunk"))
+    right = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
+    side = lambda df, x, *more: df.select(*group, F.col("id").alias(x), F.col("n").alias("n" + x), F.col("component").alias("c" + x), F.col("sketch").alias("s" + x), *more)
+    # Two members outside meet once; the one inside can have either id.
+    return side(left, "a").join(side(right, "b", "outside"), group).where((F.col("ca") != F.col("cb")) & (~F.col("outside") | (F.col("a") > F.col("b"))))
+
+
 def first_of_each(documents: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
     """documents without near duplicates: of each component the row with the smallest doc_id stays.
 
