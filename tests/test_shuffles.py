@@ -34,3 +34,7 @@ def test_histories_equal_runs_one_by_one(spark):
 def test_latest_heads_shuffles_records_once(spark):
     # Two sides of the references, and the contributions; heads stay where their key's runs were summed.
     assert shuffles("latest_heads", spark) <= 4
+
+
+def test_case_transitions_shuffles_records_once(spark):
+    assert shuffles("case_transitions", spark) <= 4
