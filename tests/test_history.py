@@ -90,6 +90,15 @@ def test_every_fault_of_a_chain_is_found(spark):
     assert faults(chain(spark, [(3, "txn:a")])) == {(3, "txn:a", "CASE")}
 
 
+def test_faults_of_repeated_rows(spark):
+    tables = chain(spark)
+    twice = lambda df: df.unionByName(df.where("run = 2 AND reconciliation_key = 'txn:b'"))
+    other = lambda df: df.unionByName(df.where("run = 2 AND reconciliation_key = 'txn:b'").withColumn("status", F.lit("EXCEPTION")))
+    assert faults(tables, {"rows": twice}) == set()
+    assert faults(tables, {"rows": other}) == {(2, "txn:b", "RESULT")}
+    assert (2, "txn:b", "BROKEN_CHAIN") in faults(tables, {"proofs": twice})
+
+
 def packed(rows, grain):
     own = rows.where(F.startswith("reconciliation_key", F.lit("txn:" if grain == "transactions" else "stl:")))
     codes = F.when(F.col("reason_codes") == "", F.array().cast("array<string>")).otherwise(F.split("reason_codes", r"\|"))

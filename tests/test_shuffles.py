@@ -38,3 +38,8 @@ def test_latest_heads_shuffles_records_once(spark):
 
 def test_case_transitions_shuffles_records_once(spark):
     assert shuffles("case_transitions", spark) <= 4
+
+
+def test_chain_audit_meets_without_a_further_shuffle(spark):
+    # Proofs, results and cases are three readings of one history: the contributions and a side or two of the references each.
+    assert shuffles("chain_audit", spark) <= 9
