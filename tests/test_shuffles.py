@@ -43,3 +43,7 @@ def test_case_transitions_shuffles_records_once(spark):
 def test_chain_audit_meets_without_a_further_shuffle(spark):
     # Proofs, results and cases are three readings of one history: the contributions and a side or two of the references each.
     assert shuffles("chain_audit", spark) <= 9
+
+
+def test_txn_packed_lists_sources_where_they_are_summed(spark):
+    assert shuffles("txn_packed", spark) <= 3
