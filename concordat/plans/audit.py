@@ -14,7 +14,7 @@ from concordat.plans import registry
 from concordat.plans.oracle import FIRST, FULL, HISTORY, STL, THREE, query
 from concordat.plans.registry import Query
 from concordat.sources import derived, lines
-from concordat.sources.scratch import deleted, shared_folder
+from concordat.sources.scratch import deleted, shared_folder, written
 from concordat.sources.tables import table
 from concordat.streaming import replays, windows
 
@@ -47,8 +47,10 @@ def replay_classes(s, d):
 
 
 def _audited(s, d) -> tuple[DataFrame, DataFrame]:
-    """Transaction results, and the same with planted differences: changed, missing and extra rows."""
-    rows = registry._reconciled(s, d).select(*RESULT, F.expr("CAST(substring(payment_id, 5) AS BIGINT)").alias("k"))
+    """Transaction results, a table written once, and the same with planted differences: changed, missing and extra rows."""
+    at = derived.stored(s, d, "v_movement")
+    rows = written(registry._reconciled(s, at).select(*RESULT, F.expr("CAST(substring(payment_id, 5) AS BIGINT)").alias("k")), "results")
+    deleted(*at.views.values())
     actual = rows.where("k % 997 <> 3").withColumn("difference_minor", F.col("difference_minor") + F.when(F.col("k") % 499 == 1, 1).otherwise(0))
     actual = actual.withColumn("reconciliation_key", F.when(F.col("k") % 1009 == 5, F.concat("reconciliation_key", F.lit("x"))).otherwise(F.col("reconciliation_key")))
     return rows.select(*RESULT), actual.select(*RESULT)
