@@ -3,7 +3,9 @@
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
+from concordat.operators import digests
 from concordat.operators import transactions as txn
 from concordat.plans import audit, registry
 from concordat.sources import derived
@@ -47,3 +49,15 @@ def test_chain_audit_meets_without_a_further_shuffle(spark):
 
 def test_txn_packed_lists_sources_where_they_are_summed(spark):
     assert shuffles("txn_packed", spark) <= 3
+
+
+def test_audited_results_are_reconciled_once(spark):
+    for df in audit._audited(spark, str(FOLDER)):
+        assert not any(t in f for f in df.inputFiles() for t in ("lineitem", "orders", "v_movement"))
+
+
+def test_leaves_shuffle_digests_as_bytes(spark):
+    leaf = digests.leaves(digests.placed(spark.range(10).withColumn("t", F.col("id") % 3), ("id",)), 2)
+    keys = [line for line in leaf._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange" in line or "Scan" in line]
+    assert len(keys) > 1 and "unhex" in leaf._jdf.queryExecution().optimizedPlan().toString()
+    assert leaf.schema["digest"].dataType.typeName() == "string" and {len(r.node) for r in leaf.collect()} == {2}
