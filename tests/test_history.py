@@ -37,6 +37,11 @@ def test_ancestry(spark):
     assert history.ancestry(frame.limit(0)).isEmpty()
 
 
+def test_ancestry_of_many_generations(spark):
+    links = spark.range(1500).selectExpr("id", "CASE WHEN id > 0 THEN id - 1 END AS prior")
+    assert sorted((r.id, r.root, r.depth, r.fault) for r in history.ancestry(links).collect()) == [(i, 0, i + 1, None) for i in range(1500)]
+
+
 STATUS = "reconciliation_key string, status string, reason_codes string, difference_minor bigint"
 RUNS = [
     [("txn:a", "EXCEPTION", "X", 5), ("txn:b", "MATCHED", "", 0)],
