@@ -42,7 +42,8 @@ _SEEN = """seen AS (SELECT *, MIN(line) OVER (PARTITION BY processor, source_rec
   FROM seen GROUP BY 1, 2, 3, 4""", _SEEN))
 def replay_classes(s, d):
     """Records by class against the first payload of their identity, in the order of lines."""
-    found = replays.first_arrivals(derived.raw(s, d, "event"), registry.IDENTITY, "line")
+    rows = derived.raw(s, d, "event").select(*registry.IDENTITY, "payload_sha256", "line")
+    found = replays.first_arrivals(rows, registry.IDENTITY, "line")
     return found.select(*registry.IDENTITY, "payload_sha256", "replay_class", "n_rows", "line")
 
 

@@ -61,3 +61,9 @@ def test_leaves_shuffle_digests_as_bytes(spark):
     keys = [line for line in leaf._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange" in line or "Scan" in line]
     assert len(keys) > 1 and "unhex" in leaf._jdf.queryExecution().optimizedPlan().toString()
     assert leaf.schema["digest"].dataType.typeName() == "string" and {len(r.node) for r in leaf.collect()} == {2}
+
+
+def test_replay_classes_meet_in_one_shuffle(spark):
+    found = QUERIES["replay_classes"](spark, str(FOLDER))
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert not any("lineitem" in f for f in found.inputFiles())
