@@ -14,7 +14,7 @@ from concordat.plans import registry
 from concordat.plans.oracle import FIRST, FULL, HISTORY, STL, THREE, query
 from concordat.plans.registry import Query
 from concordat.sources import derived, lines
-from concordat.sources.scratch import deleted, shared_folder, written
+from concordat.sources.scratch import deleted, freed, shared_folder, written
 from concordat.sources.tables import table
 from concordat.streaming import replays, windows
 
@@ -155,13 +155,14 @@ def chain_audit(s, d):
 @with_sql(query("""SELECT processor, source_record_id, payload_sha256, ROW_NUMBER() OVER (ORDER BY line, processor, source_record_id, payload_sha256) AS position,
   ROW_NUMBER() OVER w AS occurrence, ROW_NUMBER() OVER w > 1 AS replayed FROM v_raw_event WINDOW w AS (PARTITION BY processor, source_record_id ORDER BY line, payload_sha256)"""))
 def occurrence_inventory(s, d):
-    """Events as lines of text files: each record's place over all files, and its occurrence by file and line."""
+    """Events as lines of compressed text files: each record's place over all files, and its occurrence by file and line."""
     order = ("line", *registry.IDENTITY, "payload_sha256")
     place = f"{shared_folder(s)}/events-{uuid.uuid4().hex}"
-    written = derived.raw(s, d, "event").orderBy(*order).select(F.to_json(F.struct(*registry.IDENTITY, "payload_sha256")).alias("value"))
-    written.write.text(place)
+    texts = derived.raw(s, d, "event").select(*order).orderBy(*order).select(F.to_json(F.struct(*registry.IDENTITY, "payload_sha256")).alias("value"))
+    with freed(s):
+        texts.write.text(place, compression="gzip")
     record = F.from_json("value", "processor string, source_record_id string, payload_sha256 string")
-    rows = lines.numbered(s, [place], r=record).select("path", "line", "position", "r.*")
+    rows = lines.numbered(s, [place], r=record).select("position", "r.*")
     deleted(s.read.text(place))
     found = lines.occurrences(rows, registry.IDENTITY)
     return found.select(*registry.IDENTITY, "payload_sha256", "position", F.col("occurrence").cast("bigint").alias("occurrence"), "replayed")

@@ -38,12 +38,14 @@ def numbered(spark: SparkSession, paths: list[str], **keep: Column) -> DataFrame
     start = F.element_at(F.create_map(*(F.lit(x).cast("bigint") for pair in sums.items() for x in pair)), F.col("part").cast("bigint")) if sums else F.lit(0)
     before = Window.partitionBy("part").orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
     offsets = ranged.withColumn("files_before", F.coalesce(F.sum("in_file").over(before), F.lit(0)) + start).select("path", "files_before")
-    out = written(kept.join(shift.select("path", "block", "skip"), ["path", "block"]).join(offsets, "path").select("path", (F.col("place") + F.col("skip") + 1).alias("line"), (F.col("place") + F.col("skip") + F.col("files_before") + 1).alias("position"), *keep), "numbered")
-    deleted(kept, ranged)
+    # A table of its own, so that its size is known before the join: as long as it is small, lines aren't shuffled to meet it.
+    shown = written(shift.join(offsets, "path").select("path", "block", (F.col("skip") + 1).alias("to_line"), (F.col("skip") + F.col("files_before") + 1).alias("to_position")), "blocks")
+    out = written(kept.join(shown, ["path", "block"]).select("path", (F.col("place") + F.col("to_line")).alias("line"), (F.col("place") + F.col("to_position")).alias("position"), *keep), "numbered")
+    deleted(kept, ranged, shown)
     return out
 
 
 def occurrences(rows: DataFrame, identity: tuple[str, ...]) -> DataFrame:
     """Numbered records with occurrence (1 for the first of an identity by path, then line) and replayed."""
-    seen = F.row_number().over(Window.partitionBy(*identity).orderBy("path", "line"))
+    seen = F.row_number().over(Window.partitionBy(*identity).orderBy("position"))
     return rows.withColumn("occurrence", seen).withColumn("replayed", F.col("occurrence") > 1)

@@ -67,3 +67,9 @@ def test_replay_classes_meet_in_one_shuffle(spark):
     found = QUERIES["replay_classes"](spark, str(FOLDER))
     assert found._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
     assert not any("lineitem" in f for f in found.inputFiles())
+
+
+def test_occurrences_keep_no_texts_and_one_shuffle(spark):
+    found = QUERIES["occurrence_inventory"](spark, str(FOLDER))
+    shown = found._jdf.queryExecution().executedPlan().toString()
+    assert shown.count("Exchange") == 1 and not any(c in shown for c in ("path#", "line#"))
