@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from concordat.functions.columns import MONEY, business_digest, canonical_timestamp, nfc, plain_ascii, reasons
+from concordat.functions.columns import MONEY, business_digest, moment, nfc, plain_ascii, reasons
 from concordat.operators import settlements as stl
 from concordat.operators import transactions as txn
 from concordat.operators.policy import Policy
@@ -59,7 +59,7 @@ def row_rules(df: DataFrame, family: str, policy: Policy) -> dict[str, Column]:
     for c in texts:
         rules[f"SCHEMA_VIOLATION:{c} holds control characters"] = F.col(c).rlike(r"[\x00-\x1F]")
         if c != "settlement_reference":
-            rules[f"SCHEMA_VIOLATION:{c} is empty or has outer blanks"] = F.col(c).rlike(r"(?U)^$|^\s|\s$")
+            rules[f"SCHEMA_VIOLATION:{c} is empty or has outer blanks"] = F.concat(F.substring(c, 1, 1), F.substring(c, -1, 1)).rlike(r"(?U)^$|\s")
     for c, allowed in DOMAINS.get(family, {}).items():
         rules[f"SCHEMA_VIOLATION:unknown {c}"] = ~F.col(c).isin(*allowed)
     for c in POSITIVE.get(family, ()):
@@ -68,7 +68,7 @@ def row_rules(df: DataFrame, family: str, policy: Policy) -> dict[str, Column]:
         rules[f"SCHEMA_VIOLATION:{c} is negative"] = F.col(c) < 0
     for c in MOMENTS[family]:
         if c in names:
-            rules[f"SCHEMA_VIOLATION:{c} is no moment"] = F.col(c).isNotNull() & canonical_timestamp(F.col(c)).isNull()
+            rules[f"SCHEMA_VIOLATION:{c} is no moment"] = F.col(c).isNotNull() & moment(F.col(c)).isNull()
     rules["SCHEMA_VIOLATION:schema version"] = F.col("schema_version") != "2.0"
     rules["SCHEMA_VIOLATION:unsupported currency"] = ~F.col("currency").isin(*policy.currencies)
     if family == "PROCESSOR_EVENTS":
@@ -84,10 +84,14 @@ def row_rules(df: DataFrame, family: str, policy: Policy) -> dict[str, Column]:
 
 
 def row_violations(df: DataFrame, family: str, policy: Policy) -> DataFrame:
-    """All broken rules of all records: one scan, one row for each."""
-    found = df.withColumn("broken", reasons({k: F.coalesce(v, F.lit(False)) for k, v in row_rules(df, family, policy).items()})).where(F.size("broken") > 0)
+    """All broken rules of all records: one scan, one row for each.
+
+    Rules stand in the generator itself: as a column that a filter tests, they would be pushed into the
+    scan with all that the record's columns are derived from, computed again for every mention.
+    """
+    broken = reasons({k: F.coalesce(v, F.lit(False)) for k, v in row_rules(df, family, policy).items()})
     identity = F.concat_ws("/", *IDENTITIES[family])
-    each = found.select(identity.alias("identity"), F.explode("broken").alias("b"))
+    each = df.select(identity.alias("identity"), F.explode(broken).alias("b"))
     return _row(each, F.split_part("b", F.lit(":"), F.lit(1)), family, F.col("identity"), F.split_part("b", F.lit(":"), F.lit(2)))
 
 

@@ -5,7 +5,8 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from concordat.operators import digests
+from concordat.functions.columns import canonical_timestamp
+from concordat.operators import admission, digests
 from concordat.operators import transactions as txn
 from concordat.plans import audit, registry
 from concordat.sources import derived
@@ -73,3 +74,22 @@ def test_occurrences_keep_no_texts_and_one_shuffle(spark):
     found = QUERIES["occurrence_inventory"](spark, str(FOLDER))
     shown = found._jdf.queryExecution().executedPlan().toString()
     assert shown.count("Exchange") == 1 and not any(c in shown for c in ("path#", "line#"))
+
+
+def test_rules_are_computed_once_a_record(spark):
+    spark.conf.set("spark.sql.debug.maxToStringFields", "10000")
+    shown = QUERIES["admission_journals"](spark, str(FOLDER))._jdf.queryExecution().optimizedPlan().toString()
+    spark.conf.unset("spark.sql.debug.maxToStringFields")
+    assert shown.count("sha2(") == 4  # the digest of each of three kinds of records, and the one that it must equal
+
+
+def test_outer_blanks_and_moments(spark):
+    texts = ["", " ", "a", " a", "a ", "a b", "a\n", "\na", "a ", " ", "a\u0085", " a", "ab\r\n", "한", "\U0001f600", "\U0001f600 ", None, "2020-01-01T00:00:00Z", "2020-13-01T00:00:00Z", "2020-01-01T00:00:00.5+00:00", "0001-01-01T00:00:00+14:00", "9999-12-31T23:59:59-14:00"]
+    df = spark.createDataFrame([(t,) for t in texts], "schema_version string")
+    every = ("source_batch_id", "source_record_id", "processor", "merchant_id", "settlement_id", "settlement_cycle", "currency", "received_at", "payload_sha256")
+    rows = df.select("schema_version", F.col("schema_version").alias("occurred_at"), *(F.lit("x").alias(c) for c in every), *(F.lit(1).alias(c) for c in admission.NOT_NEGATIVE["PROCESSOR_SETTLEMENTS"]))
+    rules = admission.row_rules(rows, "PROCESSOR_SETTLEMENTS", registry.DEFAULT)
+    blank, moment = rules["SCHEMA_VIOLATION:schema_version is empty or has outer blanks"], rules["SCHEMA_VIOLATION:occurred_at is no moment"]
+    text = F.col("schema_version")
+    for r in rows.select(text.alias("t"), blank.alias("b"), text.rlike(r"(?U)^$|^\s|\s$").alias("was"), moment.alias("m"), (text.isNotNull() & canonical_timestamp(text).isNull()).alias("never")).collect():
+        assert (r.b, r.m) == (r.was, r.never), repr(r.t)
